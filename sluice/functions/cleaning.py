@@ -9,8 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Whitespace as the csv and text tools of most languages see it, beyond ASCII.
-_SPACE = r"(?U)[\s\x1c-\x1f]"
+# What counts as a space at the ends of a text, beyond plain blanks.
+SPACES = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def whole_number(c: Column) -> Column:
@@ -52,10 +55,8 @@ def ascii_only(c: Column) -> Column:
 
 def strip_quotes(c: Column) -> Column:
     """Outer double quotes off, spaces at the end off, then both again at the end."""
-    c = F.regexp_replace(c, r'\A"+|"+\z', "")
-    c = F.regexp_replace(c, _SPACE + r"+\z", "")
-    c = F.regexp_replace(c, r'"+\z', "")
-    return F.regexp_replace(c, _SPACE + r"+\z", "")
+    quote, spaces = F.lit('"'), F.lit(SPACES)
+    return F.rtrim(F.rtrim(F.rtrim(F.btrim(c, quote), spaces), quote), spaces)
 
 
 def number_list(c: Column) -> Column:
@@ -69,10 +70,9 @@ def word_list(c: Column, keep_empty: bool = False) -> Column:
     return words if keep_empty else F.array_remove(words, "")
 
 
-def positional(c: Column, digits: int = 10) -> Column:
-    """A double as plain digits without an exponent and without trailing zeros."""
-    text = F.format_string(f"%.{digits}f", c)
-    return F.regexp_replace(text, r"(?<=\.\d)0+\z|(?<=\.\d{1,%d}?)0+\z" % digits, "")
+def positional(c: Column) -> Column:
+    """A number as plain digits: no exponent, no trailing zeros, 18 decimals at most."""
+    return F.regexp_replace(c.try_cast("decimal(38,18)").cast("string"), r"(\.\d+?)0+\z", "$1")
 
 
 def header_value_record(c: Column) -> Column:

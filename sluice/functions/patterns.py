@@ -2,36 +2,42 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _MARK = "\x1f\x1e\x1f"
 
 
-def first_match_groups(line: Column, groups: Sequence[str], prefix: str = "", commas: int | None = None) -> Column:
-    """The groups of the first match of a comma-joined pattern, as an array; NULL without a match.
+def first_match_groups(line: Column, pattern: str, groups: int, min_commas: int = 0) -> Column:
+    """The groups of the first match anywhere in ``line`` as an array, NULL without a match.
+
+    ``regexp_extract`` would run the pattern once per group. Here the line is
+    rewritten once into its groups with a mark between them, then split. A line
+    that itself holds the mark is read group by group, so no text is misread.
+
+    ``min_commas`` is the number of commas any match must contain: lines with fewer
+    are not tried at all, which spares the backtracking they would cause.
 
-    ``regexp_extract`` runs the whole pattern once per group. Here the line is
-    rewritten once into its groups with a mark between them and split. A line that
-    itself holds the mark is read group by group, so no text is misread. Lines with
-    too few commas cannot match and are not tried at all, which also spares the
-    backtracking such lines would cause.
+    Select the result through :func:`evaluated_once` when several columns read it.
     """
-    pattern = prefix + ",".join(f"({g})" for g in groups)
-    n = len(groups)
-    if commas is None:
-        commas = n - 1 + prefix.count(",")
-    marked = F.regexp_replace(
-        line, rf"(?s)\A.*?{pattern}.*\z", _MARK + _MARK.join(f"${{g{i}}}" for i in range(n))
-    ) if False else F.regexp_replace(
-        line, rf"(?s)\A.*?{pattern}.*\z", _MARK + _MARK.join(f"${i + 1}" for i in range(n))
-    )
-    quick = F.when(F.startswith(marked, F.lit(_MARK)), F.slice(F.split(marked, _MARK), 2, n))
-    careful = F.when(
+    marked_groups = "".join(f"{_MARK}${i}" for i in range(1, groups + 1))
+    rewritten = F.regexp_replace(line, rf"(?s)\A.*?{pattern}.*\z", marked_groups)
+    at_once = F.when(F.startswith(rewritten, F.lit(_MARK)), F.slice(F.split(rewritten, _MARK), 2, groups))
+    one_by_one = F.when(
         F.rlike(line, F.lit(f"(?s){pattern}")),
-        F.array(*(F.regexp_extract(line, f"(?s){pattern}", i + 1) for i in range(n))),
+        F.array(*(F.regexp_extract(line, f"(?s){pattern}", i) for i in range(1, groups + 1))),
+    )
+    commas = F.length(line) - F.length(F.replace(line, F.lit(","), F.lit("")))
+    return F.when(
+        commas >= min_commas, F.when(F.contains(line, F.lit(_MARK)), one_by_one).otherwise(at_once)
     )
-    enough = F.length(line) - F.length(F.replace(line, F.lit(","), F.lit(""))) >= commas
-    return F.when(enough, F.when(F.contains(line, F.lit(_MARK)), careful).otherwise(quick))
+
+
+def evaluated_once(c: Column) -> Column:
+    """A costly column as the only row of an ``explode``.
+
+    The optimizer copies a plain column into every expression and filter that
+    reads it, here the whole match for each of its groups; it leaves generated
+    columns alone.
+    """
+    return F.explode(F.array(c))
