@@ -33,44 +33,71 @@ def _per_text(texts, lexicon, id_column, text_column, aggregates) -> DataFrame:
     return spread.join(small_side(lexicon), "token", "left").groupBy(id_column).agg(*aggregates)
 
 
+def _sums_of_valence() -> list[Column]:
+    v = F.coalesce("valence", F.lit(0).cast("decimal(10,4)"))
+    return [
+        F.sum(F.when(v > 0, v + 1).otherwise(0)).cast("double").alias("_p"),
+        F.sum(F.when(v < 0, 1 - v).otherwise(0)).cast("double").alias("_n"),
+        F.count_if(F.col("token").isNotNull() & (v == 0)).cast("double").alias("_u"),
+        F.sum(v).cast("double").alias("_s"),
+    ]
+
+
+def _shares_and_compound() -> list[Column]:
+    total = F.col("_p") + F.col("_n") + F.col("_u")
+    shares = (("neg", "_n"), ("neu", "_u"), ("pos", "_p"))
+    return [
+        *(
+            F.round(F.coalesce(F.try_divide(F.col(part), total), F.lit(0.0)), 3).alias(name)
+            for name, part in shares
+        ),
+        F.round(F.col("_s") / F.sqrt(F.col("_s") * F.col("_s") + ALPHA), 4).alias("compound"),
+    ]
+
+
+def _means_of_assessed() -> list[Column]:
+    return [
+        F.coalesce(F.round(F.sum(c).cast("double") / F.count(c), 6), F.lit(0.0)).alias(c)
+        for c in ("polarity", "subjectivity")
+    ]
+
+
+def _exact(lexicon: DataFrame, *scores: str) -> DataFrame:
+    """Scores as decimals: their sums do not depend on the order of addition."""
+    return lexicon.select("token", *(F.col(c).cast("decimal(10,4)").alias(c) for c in scores))
+
+
 def lexicon_sentiment(texts: DataFrame, lexicon: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """``neg, neu, pos, compound`` per text.
 
     Shares weigh each positive (negative) word one more than its valence and each
     other word one; compound is the valence sum squeezed into -1..1.
     """
-    v = F.coalesce("valence", F.lit(0).cast("decimal(10,4)"))
-    sums = _per_text(
-        texts, lexicon.select("token", F.col("valence").cast("decimal(10,4)").alias("valence")),
-        id_column, text_column,
-        [
-            F.sum(F.when(v > 0, v + 1).otherwise(0)).cast("double").alias("p"),
-            F.sum(F.when(v < 0, 1 - v).otherwise(0)).cast("double").alias("n"),
-            F.count_if(F.col("token").isNotNull() & (v == 0)).cast("double").alias("u"),
-            F.sum(v).cast("double").alias("s"),
-        ],
-    )
-    total = F.col("p") + F.col("n") + F.col("u")
-    return sums.select(
-        id_column,
-        *(
-            F.round(F.coalesce(F.try_divide(F.col(part), total), F.lit(0.0)), 3).alias(name)
-            for name, part in (("neg", "n"), ("neu", "u"), ("pos", "p"))
-        ),
-        F.round(F.col("s") / F.sqrt(F.col("s") * F.col("s") + ALPHA), 4).alias("compound"),
-    )
+    sums = _per_text(texts, _exact(lexicon, "valence"), id_column, text_column, _sums_of_valence())
+    return sums.select(id_column, *_shares_and_compound())
 
 
 def lexicon_polarity(texts: DataFrame, lexicon: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """Mean ``polarity`` and ``subjectivity`` over the assessed words, 0 without any."""
-    scores = lexicon.select(
-        "token", *(F.col(c).cast("decimal(10,4)").alias(c) for c in ("polarity", "subjectivity"))
+    exact = _exact(lexicon, "polarity", "subjectivity")
+    return _per_text(texts, exact, id_column, text_column, _means_of_assessed())
+
+
+def all_scores(texts: DataFrame, lexicon: DataFrame, id_column: str, text_column: str) -> DataFrame:
+    """Sentiment, polarity and word sample of each text, from one pass over its tokens."""
+    spread = texts.select(id_column, F.posexplode_outer(tokens(F.col(text_column))).alias("pos", "token"))
+    exact = _exact(lexicon, "valence", "polarity", "subjectivity").withColumn("_known", F.lit(True))
+    hits = F.collect_list(F.when(F.col("_known"), F.struct("pos", "token")))
+    folded = spread.join(small_side(exact), "token", "left").groupBy(id_column).agg(
+        *_sums_of_valence(), *_means_of_assessed(), F.sort_array(hits).alias("_hits")
+    )
+    return folded.select(
+        id_column,
+        *_shares_and_compound(),
+        "polarity",
+        "subjectivity",
+        F.transform("_hits", lambda h: h["token"]).alias("word_sample"),
     )
-    means = [
-        F.coalesce(F.round(F.sum(c).cast("double") / F.count(c), 6), F.lit(0.0)).alias(c)
-        for c in ("polarity", "subjectivity")
-    ]
-    return _per_text(texts, scores, id_column, text_column, means)
 
 
 def word_sample(texts: DataFrame, lexicon: DataFrame, id_column: str, text_column: str) -> DataFrame:

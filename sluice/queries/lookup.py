@@ -37,10 +37,11 @@ _ORDER_COUNTS = """SELECT 'Customer#' || lpad(CAST(o_custkey AS VARCHAR), 9, '0'
     FROM orders GROUP BY 1"""
 
 
-@query(
-    """SELECT c_name AS customer, c_nationkey AS nation, c_mktsegment AS segment,
+ORACLE_LOOKUP = """SELECT c_name AS customer, c_nationkey AS nation, c_mktsegment AS segment,
     CAST(round(c_acctbal * 100) AS BIGINT) AS cents FROM customer"""
-)
+
+
+@query(ORACLE_LOOKUP)
 def lookup_explode(spark, sf_dir):
     return customer_lookup(spark, sf_dir)
 

@@ -40,7 +40,7 @@ def _decoy(key: str) -> str:
     return f"CAST(900000000 + {key} % 99999999 AS STRING)"
 
 
-_MESSAGE = f"""CASE c_custkey % 4
+MESSAGE = f"""CASE c_custkey % 4
     WHEN 0 THEN 'My name is ' || c_name || ', and I have nothing to tell'
     WHEN 1 THEN 'My account number is ' || {_decoy("c_custkey")}
     WHEN 2 THEN 'My social is ' || {_dashed("c_custkey")} || '.'
@@ -52,7 +52,7 @@ _KNOWN_ORDERS = "o_orderpriority = '1-URGENT'"
 
 def messages(spark, sf_dir):
     customers = table(spark, sf_dir, "customer")
-    return customers.select("c_custkey", F.expr(_MESSAGE).alias("text"))
+    return customers.select("c_custkey", F.expr(MESSAGE).alias("text"))
 
 
 def known_numbers(spark, sf_dir):
@@ -68,7 +68,7 @@ _FINDING = r"'\b(?:\d{3}-\d{2}-\d{4}|\d{9})\b'"
 
 
 @query(
-    f"""WITH texts AS (SELECT 'customer' AS source, c_custkey AS id, {_MESSAGE} AS text FROM customer
+    f"""WITH texts AS (SELECT 'customer' AS source, c_custkey AS id, {MESSAGE} AS text FROM customer
         UNION ALL SELECT 'document', doc_id, text FROM documents
         UNION ALL SELECT 'page', page_id, html FROM pages),
     found AS (SELECT source, id, unnest(regexp_extract_all(text, {_FINDING})) AS quote FROM texts)

@@ -30,7 +30,7 @@ def lexicon(spark):
     return spark.createDataFrame(LEXICON, "token string, valence double, polarity double, subjectivity double")
 
 
-_SENTIMENT = f"""WITH sums AS (SELECT d.doc_id,
+SENTIMENT = f"""WITH sums AS (SELECT d.doc_id,
         CAST(coalesce(sum(valence + 1) FILTER (WHERE valence > 0), 0) AS DOUBLE) AS p,
         CAST(coalesce(sum(1 - valence) FILTER (WHERE valence < 0), 0) AS DOUBLE) AS n,
         CAST(count(t.token) FILTER (WHERE coalesce(valence, 0) = 0) AS DOUBLE) AS u,
@@ -43,7 +43,11 @@ _SENTIMENT = f"""WITH sums AS (SELECT d.doc_id,
     round(s / sqrt(s * s + 15), 4) AS compound FROM sums"""
 
 
-@query(_SENTIMENT)
+CLEAN_SQL = r"""regexp_replace(regexp_replace(text, '[^\x00-\x7F]', '', 'g'), '[\t\n\v\f\r\x1c-\x1f ]{2,}', ' ', 'g')"""
+SENTIMENT_OF_CLEAN = SENTIMENT.replace("lower(text)", f"lower({CLEAN_SQL})")
+
+
+@query(SENTIMENT)
 def lexicon_sentiment(spark, sf_dir):
     return scoring.lexicon_sentiment(table(spark, sf_dir, "documents"), lexicon(spark), "doc_id", "text")
 
@@ -58,11 +62,11 @@ def lexicon_polarity(spark, sf_dir):
     return scoring.lexicon_polarity(table(spark, sf_dir, "documents"), lexicon(spark), "doc_id", "text")
 
 
-_SAMPLE = """SELECT doc_id, array_to_string(list_filter(regexp_extract_all(lower(text), '[a-z]+'),
+SAMPLE = """SELECT doc_id, array_to_string(list_filter(regexp_extract_all(lower(text), '[a-z]+'),
     lambda w: w IN ({})), ' ') AS word_sample FROM documents""".format(", ".join(f"'{w[0]}'" for w in LEXICON))
 
 
-@query(f"SELECT * FROM ({_SAMPLE}) WHERE word_sample <> ''")
+@query(f"SELECT * FROM ({SAMPLE}) WHERE word_sample <> ''")
 def word_sample(spark, sf_dir):
     found = scoring.word_sample(table(spark, sf_dir, "documents"), lexicon(spark), "doc_id", "text")
     return found.select("doc_id", F.array_join("word_sample", " ").alias("word_sample"))
@@ -70,7 +74,7 @@ def word_sample(spark, sf_dir):
 
 @query(
     f"""SELECT doc_id, compound, CASE WHEN compound < -0.5 THEN 'neg' ELSE 'pos' END AS label
-    FROM ({_SENTIMENT}) WHERE compound < -0.5 OR compound > 0.6"""
+    FROM ({SENTIMENT}) WHERE compound < -0.5 OR compound > 0.6"""
 )
 def sentiment_route(spark, sf_dir):
     return scored.route(lexicon_sentiment(spark, sf_dir)).select("doc_id", "compound", "label")
@@ -110,9 +114,6 @@ def mean_vector(spark, sf_dir):
     return spread.select("label", F.col("dim").cast("bigint").alias("dim"), F.round("mean", 6).alias("mean"))
 
 
-_CLEAN_SQL = r"""regexp_replace(regexp_replace(text, '[^\x00-\x7F]', '', 'g'), '[\t\n\v\f\r\x1c-\x1f ]{2,}', ' ', 'g')"""
-
-
 def _thousandths(number: str) -> str:
     """The text of a number of thousandths between -0.999 and 0.999."""
     return f"concat(CASE WHEN {number} < 0 THEN '-' ELSE '' END, '0.', lpad(CAST(abs({number}) AS STRING), 3, '0'))"
@@ -151,7 +152,7 @@ _SCORED_OK = "doc_id % 89 <> 0"
     "SELECT "
     + ", ".join(f"(({n}) / 1000)::DOUBLE AS {name}" for name, n in _SCORE_NUMBERS.items())
     + f""", 'good bad' AS word_sample, CAST('0.' || (doc_id % 10) AS DOUBLE) AS first_dim, doc_id AS tweet_id,
-    rtrim(rtrim(rtrim(trim('"' || {_CLEAN_SQL} || '"', '"'), E' \\n\\t\\r\\x0b\\x0c'), '"'), E' \\n\\t\\r\\x0b\\x0c') AS tweet
+    rtrim(rtrim(rtrim(trim('"' || {CLEAN_SQL} || '"', '"'), E' \\n\\t\\r\\x0b\\x0c'), '"'), E' \\n\\t\\r\\x0b\\x0c') AS tweet
     FROM documents WHERE {_SCORED_OK}"""
 )
 def scored_parse(spark, sf_dir):

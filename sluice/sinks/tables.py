@@ -71,10 +71,14 @@ def overwrite_both(rows: DataFrame, path: str, derive, derived_path: str, schema
     return table, overwrite(derive(table), derived_path)
 
 
-def write_scored_csv(df: DataFrame, path: str) -> None:
-    """Scores and texts as CSV, arrays as JSON text, quotes doubled."""
+def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """CSV that :func:`sluice.sources.files.read_csv` reads back unchanged: all fields
+    quoted, quotes doubled, spaces kept, arrays as JSON text. NULL and blank text both
+    come back as NULL unless asked for otherwise."""
     flat = [
         (F.to_json(f.name) if isinstance(f.dataType, T.ArrayType) else F.col(f.name)).alias(f.name)
         for f in df.schema.fields
     ]
-    df.select(*flat).write.mode("errorifexists").options(header=True, escape='"', quoteAll=True, emptyValue='""').csv(path)
+    df.select(*flat).write.mode(mode).options(
+        header=True, escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
