@@ -21,14 +21,24 @@ def whole_number(c: Column) -> Column:
     return c.try_cast("bigint")
 
 
+def _or_null(c: Column) -> Column:
+    """Blank text as NULL: what is common should not take the costly path of a failed parse."""
+    return F.nullif(F.trim(c), F.lit(""))
+
+
 def real_number(c: Column) -> Column:
     """Text as double; blank or unreadable is NULL."""
-    return c.try_cast("double")
+    return _or_null(c).try_cast("double")
 
 
 def month_day_year(c: Column) -> Column:
     """``7/4/2019`` or ``07/04/2019`` as a date; blank or impossible is NULL."""
-    return F.try_to_date(F.trim(c), "M/d/yyyy")
+    text = F.trim(c)
+    part = F.split(text, "/")
+    # Put in ISO order for the plain cast to date, which a pattern parser is slower than
+    # by far, all the more on text it cannot read.
+    iso = F.concat_ws("-", F.get(part, F.lit(2)), F.get(part, F.lit(0)), F.get(part, F.lit(1)))
+    return F.when(F.rlike(text, F.lit(r"\A[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}\z")), iso.try_cast("date"))
 
 
 def one_line(c: Column, literal_slash_n: bool = False) -> Column:

@@ -8,29 +8,61 @@ from pyspark.sql import functions as F
 _MARK = "\x1f\x1e\x1f"
 
 
-def first_match_groups(line: Column, pattern: str, groups: int, min_commas: int = 0) -> Column:
+def _bound(c: Column, use) -> Column:
+    """``use(c)`` with ``c`` computed once, however often ``use`` reads it."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
+def _rewritten(line: Column, pattern: str, groups: int) -> Column:
+    """The groups of the first match with a mark before each, or the line as it was."""
+    marked_groups = "".join(f"{_MARK}${i}" for i in range(1, groups + 1))
+    return F.regexp_replace(line, pattern, marked_groups)
+
+
+def first_match_groups(
+    line: Column,
+    pattern: str,
+    groups: int,
+    possible: Column | None = None,
+    plain: str | None = None,
+    maybe_plain: Column | None = None,
+) -> Column:
     """The groups of the first match anywhere in ``line`` as an array, NULL without a match.
 
     ``regexp_extract`` would run the pattern once per group. Here the line is
     rewritten once into its groups with a mark between them, then split. A line
     that itself holds the mark is read group by group, so no text is misread.
 
-    ``min_commas`` is the number of commas any match must contain: lines with fewer
-    are not tried at all, which spares the backtracking they would cause.
+    ``possible``  a cheap condition that every matching line meets. Lines that do not
+                  are not tried, which spares the backtracking they would cause.
+    ``plain``     a pattern for whole lines without ambiguity: where it matches, it
+                  must give the groups that ``pattern`` gives. It is tried first; as
+                  its fields cannot overlap, it needs no backtracking. With
+                  ``maybe_plain`` only lines that meet this condition are tried.
 
     Select the result through :func:`evaluated_once` when several columns read it.
     """
-    marked_groups = "".join(f"{_MARK}${i}" for i in range(1, groups + 1))
-    rewritten = F.regexp_replace(line, rf"(?s)\A.*?{pattern}.*\z", marked_groups)
-    at_once = F.when(F.startswith(rewritten, F.lit(_MARK)), F.slice(F.split(rewritten, _MARK), 2, groups))
+
+    def split(text: Column) -> Column:
+        return F.slice(F.split(text, _MARK), 2, groups)
+
+    def is_rewritten(text: Column) -> Column:
+        return F.startswith(text, F.lit(_MARK))
+
+    anywhere = _rewritten(line, rf"(?s)\A.*?{pattern}.*\z", groups)
+    general = _bound(anywhere, lambda text: F.when(is_rewritten(text), split(text)))
+    if plain is None:
+        quick = general
+    else:
+        whole = _rewritten(line, rf"(?s)\A{plain}\z", groups)
+        quick = _bound(whole, lambda text: F.when(is_rewritten(text), split(text)).otherwise(general))
+        quick = quick if maybe_plain is None else F.when(maybe_plain, quick).otherwise(general)
     one_by_one = F.when(
         F.rlike(line, F.lit(f"(?s){pattern}")),
         F.array(*(F.regexp_extract(line, f"(?s){pattern}", i) for i in range(1, groups + 1))),
     )
-    commas = F.length(line) - F.length(F.replace(line, F.lit(","), F.lit("")))
-    return F.when(
-        commas >= min_commas, F.when(F.contains(line, F.lit(_MARK)), one_by_one).otherwise(at_once)
-    )
+    found = F.when(F.contains(line, F.lit(_MARK)), one_by_one).otherwise(quick)
+    return found if possible is None else F.when(possible, found)
 
 
 def evaluated_once(c: Column) -> Column:

@@ -43,6 +43,11 @@ _LINE_GROUPS = [
     r"\d+", r"\d+",
 ]
 LINE_PATTERN = ",".join(f"({g})" for g in _LINE_GROUPS)
+# The same for a line whose only commas are the 15 between the fields: then each
+# field is what stands between two commas, and there is one way to read it.
+_PLAIN_LINE = ",".join(
+    "(" + g.replace(r"\D*", r"[^\d,]*").replace(".*", "[^,]*") + ")" for g in _LINE_GROUPS
+)
 
 _READ = {"bigint": cleaning.whole_number, "double": cleaning.real_number, "date": cleaning.month_day_year}
 # A blank is allowed (and becomes NULL) in reals and dates; whole numbers must be there.
@@ -89,7 +94,11 @@ def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     A line that does not match has all listing columns NULL and ``_parse_ok`` false.
     """
     others = [c for c in lines.columns if c != column]
-    fields = first_match_groups(F.col(column), LINE_PATTERN, len(LISTING), min_commas=len(LISTING) - 1)
+    line, n = F.col(column), len(LISTING)
+    commas = F.length(line) - F.length(F.replace(line, F.lit(","), F.lit("")))
+    fields = first_match_groups(
+        line, LINE_PATTERN, n, possible=commas >= n - 1, plain=_PLAIN_LINE, maybe_plain=commas == n - 1
+    )
     split = lines.select(*others, F.col(column).alias("_line"), evaluated_once(fields).alias("_fields"))
     raw = split.select(
         *others, "_line", *(F.get("_fields", F.lit(i)).alias(f.name) for i, f in enumerate(LISTING.fields))

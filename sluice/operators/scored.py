@@ -15,6 +15,11 @@ SCORED_FIELDS = [*SCORES, "word_sample", "tok2vec", "tweet_id", "tweet"]
 # Fixed value: the pattern of a scored line.
 SCORED_PATTERN = r"\d+," + r"(.*\.\d+)," * 6 + r"(.*\[.*\].*),.(\[.*\]).,(\d+),(.*)"
 
+# The same for a line with exactly two lists, both before the id, and plain numbers:
+# the six numbers and the lists can then be found in one way only.
+_LIST = r"\[[^\[\]]*\]"
+_PLAIN_SCORED = r"\d+," + r"(-?\d*\.\d+)," * 6 + rf'("?{_LIST}"?),.({_LIST}).,(\d+),([^\[\]]*)'
+
 # Bounds of the compound score, both exclusive.
 NEGATIVE_BELOW = -0.5
 POSITIVE_ABOVE = 0.6
@@ -23,7 +28,16 @@ POSITIVE_ABOVE = 0.6
 def scored_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """Raw hand-off lines to the ten text fields; all NULL when a line does not match."""
     others = [c for c in lines.columns if c != column]
-    fields = first_match_groups(F.col(column), SCORED_PATTERN, len(SCORED_FIELDS), min_commas=10)
+    line = F.col(column)
+    # Both lists start with a bracket, so the numbers stand before the last but one.
+    before_lists = F.left(line, F.length(line) - F.length(F.substring_index(line, "[", -2)))
+    fields = first_match_groups(
+        line,
+        SCORED_PATTERN,
+        len(SCORED_FIELDS),
+        possible=F.regexp_count(before_lists, F.lit(r"\.\d+,")) >= len(SCORES),
+        plain=_PLAIN_SCORED,
+    )
     split = lines.select(*others, evaluated_once(fields).alias("_fields"))
     return split.select(
         *others, *(F.get("_fields", F.lit(i)).alias(name) for i, name in enumerate(SCORED_FIELDS))

@@ -57,7 +57,7 @@ def _shares_and_compound() -> list[Column]:
 
 def _means_of_assessed() -> list[Column]:
     return [
-        F.coalesce(F.round(F.sum(c).cast("double") / F.count(c), 6), F.lit(0.0)).alias(c)
+        F.coalesce(F.try_divide(F.sum(c).cast("double"), F.count(c)), F.lit(0.0)).alias(c)
         for c in ("polarity", "subjectivity")
     ]
 

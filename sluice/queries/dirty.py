@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sluice.functions import cleaning
 from sluice.functions.regions import REGIONS, state_to_region as to_region
 from sluice.operators import counts, listings
-from sluice.queries.registry import query, table
+from sluice.queries.registry import query, spread_table, table
 from sluice.sources.tables import validated_projection as projection
 
 # Every listing field as the text a CSV would hold, from an order.
@@ -58,7 +58,7 @@ LISTING_ORACLE = ", ".join(f"{sql} AS {name}" for name, sql in _LISTING_SQL.item
 
 def raw_listings(spark, sf_dir):
     """String columns as a tolerant CSV reader gives them."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread_table(spark, sf_dir, "orders")
     return orders.select(*(F.expr(sql).alias(name) for name, sql in _RAW_LISTING.items()))
 
 
@@ -68,7 +68,7 @@ def raw_lines(spark, sf_dir):
     whole = F.concat_ws(",", *(F.expr(sql) for sql in fields.values()))
     cut = F.concat_ws(",", *(F.expr(sql) for sql in list(fields.values())[:9]))
     value = F.when(F.col("o_orderkey") % 97 == 0, cut).otherwise(whole)
-    return table(spark, sf_dir, "orders").select("o_orderkey", value.alias("value"))
+    return spread_table(spark, sf_dir, "orders").select("o_orderkey", value.alias("value"))
 
 
 def _dates_as_text(df):

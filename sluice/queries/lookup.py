@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sluice.operators import enrichment, joins
 from sluice.operators.counts import count_per_key
-from sluice.queries.registry import query, table
+from sluice.queries.registry import query, spread_table, table
 from sluice.sources import lookups
 
 _ENTRY = "struct<nation:int,segment:string,cents:bigint>"
@@ -64,7 +64,7 @@ def _arrays(spark, sf_dir):
     second = F.create_map(
         F.col("o_custkey").cast("string"), F.struct(F.lit("later").alias("priority"), F.lit(2).alias("place"))
     )
-    return table(spark, sf_dir, "orders").select("o_orderkey", F.to_json(F.array(first, second)).alias("value"))
+    return spread_table(spark, sf_dir, "orders").select("o_orderkey", F.to_json(F.array(first, second)).alias("value"))
 
 
 _FIRST = """SELECT CAST(o_custkey AS VARCHAR) AS customer, arg_min(o_orderpriority, o_orderkey) AS priority, 1 AS place
@@ -216,7 +216,7 @@ def census_replies(spark, sf_dir):
         FROM ({_NATION_NUMBERS}) JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2)
     SELECT neighbourhood, n_listings, coalesce(lpad(CAST(r_regionkey AS VARCHAR), 5, '0'), '') AS puma_code,
     n AS median_rent, total AS median_home_value,
-    CASE WHEN r_regionkey <> 1 THEN round(100 * f / n, 2) END AS percent_adults_bachdeg,
+    CASE WHEN r_regionkey <> 1 THEN CAST(round(CAST(100 * f / n AS DECIMAL(20, 10)), 2) AS DOUBLE) END AS percent_adults_bachdeg,
     total AS population, r_name AS puma_name
     FROM ({_NATION_COUNTS}) JOIN nation ON n_name = neighbourhood
     LEFT JOIN r ON r_regionkey = CASE WHEN n_nationkey <> 5 THEN n_regionkey END"""

@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from sluice.operators.layout import spread
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -24,3 +26,8 @@ def query(oracle: str | None = None):
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose rows are costly to work on; see :func:`sluice.operators.layout.spread`."""
+    return spread(table(spark, sf_dir, name))

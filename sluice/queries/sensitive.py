@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.hashing import HashKey
 from sluice.operators import sensitive
-from sluice.queries.registry import query, table
+from sluice.queries.registry import query, spread_table, table
 
 # A key and salt for trying things out; real ones come from a secret store.
 DEMO_KEY = bytes(range(1, 65))
@@ -79,7 +79,7 @@ def ssn_scan(spark, sf_dir):
     """Candidates in messages, documents and pages, all searched whole."""
     texts = messages(spark, sf_dir).select(F.lit("customer").alias("source"), F.col("c_custkey").alias("id"), "text")
     for name, key, column in (("document", "doc_id", "text"), ("page", "page_id", "html")):
-        more = table(spark, sf_dir, name + "s")
+        more = spread_table(spark, sf_dir, name + "s")
         texts = texts.unionAll(more.select(F.lit(name), F.col(key), F.col(column)))
     return sensitive.scan(texts, "text")
 

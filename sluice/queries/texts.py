@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions import cleaning
 from sluice.operators import scored, scoring
-from sluice.queries.registry import query, table
+from sluice.queries.registry import query, spread_table, table
 
 # A small lexicon over frequent words of the test texts: valence, polarity, subjectivity.
 LEXICON = [
@@ -37,10 +37,10 @@ SENTIMENT = f"""WITH sums AS (SELECT d.doc_id,
         CAST(coalesce(sum(valence), 0) AS DOUBLE) AS s
         FROM documents d LEFT JOIN ({_TOKENS_SQL}) t USING (doc_id) LEFT JOIN {_LEXICON_SQL} USING (token)
         GROUP BY d.doc_id)
-    SELECT doc_id, CASE WHEN p + n + u = 0 THEN 0.0::DOUBLE ELSE round(n / (p + n + u), 3) END AS neg,
-    CASE WHEN p + n + u = 0 THEN 0.0::DOUBLE ELSE round(u / (p + n + u), 3) END AS neu,
-    CASE WHEN p + n + u = 0 THEN 0.0::DOUBLE ELSE round(p / (p + n + u), 3) END AS pos,
-    round(s / sqrt(s * s + 15), 4) AS compound FROM sums"""
+    SELECT doc_id, CASE WHEN p + n + u = 0 THEN 0.0::DOUBLE ELSE CAST(round(CAST(n / (p + n + u) AS DECIMAL(20, 14)), 3) AS DOUBLE) END AS neg,
+    CASE WHEN p + n + u = 0 THEN 0.0::DOUBLE ELSE CAST(round(CAST(u / (p + n + u) AS DECIMAL(20, 14)), 3) AS DOUBLE) END AS neu,
+    CASE WHEN p + n + u = 0 THEN 0.0::DOUBLE ELSE CAST(round(CAST(p / (p + n + u) AS DECIMAL(20, 14)), 3) AS DOUBLE) END AS pos,
+    CAST(round(CAST(s / sqrt(s * s + 15) AS DECIMAL(20, 14)), 4) AS DOUBLE) AS compound FROM sums"""
 
 
 CLEAN_SQL = r"""regexp_replace(regexp_replace(text, '[^\x00-\x7F]', '', 'g'), '[\t\n\v\f\r\x1c-\x1f ]{2,}', ' ', 'g')"""
@@ -49,17 +49,17 @@ SENTIMENT_OF_CLEAN = SENTIMENT.replace("lower(text)", f"lower({CLEAN_SQL})")
 
 @query(SENTIMENT)
 def lexicon_sentiment(spark, sf_dir):
-    return scoring.lexicon_sentiment(table(spark, sf_dir, "documents"), lexicon(spark), "doc_id", "text")
+    return scoring.lexicon_sentiment(spread_table(spark, sf_dir, "documents"), lexicon(spark), "doc_id", "text")
 
 
 @query(
-    f"""SELECT d.doc_id, coalesce(round(CAST(sum(polarity) AS DOUBLE) / count(polarity), 6), 0.0::DOUBLE) AS polarity,
-    coalesce(round(CAST(sum(subjectivity) AS DOUBLE) / count(subjectivity), 6), 0.0::DOUBLE) AS subjectivity
+    f"""SELECT d.doc_id, coalesce(CAST(sum(polarity) AS DOUBLE) / count(polarity), 0.0::DOUBLE) AS polarity,
+    coalesce(CAST(sum(subjectivity) AS DOUBLE) / count(subjectivity), 0.0::DOUBLE) AS subjectivity
     FROM documents d LEFT JOIN ({_TOKENS_SQL}) USING (doc_id) LEFT JOIN {_LEXICON_SQL} USING (token)
     GROUP BY d.doc_id"""
 )
 def lexicon_polarity(spark, sf_dir):
-    return scoring.lexicon_polarity(table(spark, sf_dir, "documents"), lexicon(spark), "doc_id", "text")
+    return scoring.lexicon_polarity(spread_table(spark, sf_dir, "documents"), lexicon(spark), "doc_id", "text")
 
 
 SAMPLE = """SELECT doc_id, array_to_string(list_filter(regexp_extract_all(lower(text), '[a-z]+'),
@@ -68,7 +68,7 @@ SAMPLE = """SELECT doc_id, array_to_string(list_filter(regexp_extract_all(lower(
 
 @query(f"SELECT * FROM ({SAMPLE}) WHERE word_sample <> ''")
 def word_sample(spark, sf_dir):
-    found = scoring.word_sample(table(spark, sf_dir, "documents"), lexicon(spark), "doc_id", "text")
+    found = scoring.word_sample(spread_table(spark, sf_dir, "documents"), lexicon(spark), "doc_id", "text")
     return found.select("doc_id", F.array_join("word_sample", " ").alias("word_sample"))
 
 
@@ -86,7 +86,7 @@ def sentiment_route(spark, sf_dir):
 def clean_words(spark, sf_dir):
     """Word lists as text, ``['a', 'b']``, of whole documents, read back into words."""
     listed = F.concat(F.lit("['"), F.array_join(scoring.tokens(F.col("text")), "', '"), F.lit("']"))
-    texts = table(spark, sf_dir, "documents").select("doc_id", listed.alias("words"))
+    texts = spread_table(spark, sf_dir, "documents").select("doc_id", listed.alias("words"))
     return texts.select("doc_id", F.array_join(cleaning.word_list(F.col("words")), " ").alias("words"))
 
 
@@ -142,7 +142,7 @@ def scored_line(spark, sf_dir):
         F.col("doc_id").cast("string"),
         F.concat(F.lit('"'), cleaning.ascii_only(F.col("text")), F.lit('"')),
     )
-    return table(spark, sf_dir, "documents").select(line.alias("value"))
+    return spread_table(spark, sf_dir, "documents").select(line.alias("value"))
 
 
 _SCORED_OK = "doc_id % 89 <> 0"

@@ -14,7 +14,7 @@ from sluice.queries import dirty
 from sluice.queries import lookup as lookup_queries
 from sluice.queries import sensitive as sensitive_queries
 from sluice.queries import texts as text_queries
-from sluice.queries.registry import query, table
+from sluice.queries.registry import query, spread_table, table
 from sluice.scratch import scratch_dir
 from sluice.sinks import tables as sinks
 from sluice.sources import files, lookups
@@ -113,7 +113,7 @@ _SCORED = f"SELECT doc_id AS tweet_id, s.compound, w.word_sample FROM ({text_que
 def scored_csv_roundtrip(spark, sf_dir):
     """Scores and word lists through the CSV hand-off, arrays as JSON."""
     folder = scratch_dir(spark, "scored")
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("tweet_id"), F.col("text").alias("tweet"))
+    docs = spread_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("tweet_id"), F.col("text").alias("tweet"))
     scores = scoring.all_scores(docs, text_queries.lexicon(spark), "tweet_id", "tweet")
     sinks.write_csv(scores, folder)
     back = files.read_csv(spark, folder, files.all_strings(scores.schema))
@@ -297,7 +297,7 @@ def job_load_with_area_statistics(spark, sf_dir):
 def job_sentiment_feed(spark, sf_dir):
     """Documents scored, handed over as CSV, routed, and appended by label."""
     folder = scratch_dir(spark, "feed")
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("tweet_id"), F.col("text").alias("tweet"))
+    docs = spread_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("tweet_id"), F.col("text").alias("tweet"))
     jobs.hand_off_scores(docs, text_queries.lexicon(spark), f"{folder}/csv")
     routed = jobs.route_scores(spark, f"{folder}/csv", f"{folder}/out")
     return routed.select("tweet_id", "compound", "label", "tweet")
