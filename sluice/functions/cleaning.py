@@ -16,29 +16,24 @@ SPACES = (
 )
 
 
-def whole_number(c: Column) -> Column:
-    """Text as bigint; blank or unreadable is NULL."""
-    return c.try_cast("bigint")
+def or_null(c: Column) -> Column:
+    """Blank text as NULL. Blanks are common, and a failed parse costs far more than a test."""
+    return F.nullif(F.trim(c), F.lit(""))
 
 
-def _or_null(c: Column) -> Column:
-    """Blank text as NULL: what is common should not take the costly path of a failed parse."""
-    return F.nullif(F.trim(c), F.lit(""))
+def whole_number(c: Column) -> Column:
+    """Text as bigint; blank or unreadable is NULL."""
+    return or_null(c).try_cast("bigint")
 
 
 def real_number(c: Column) -> Column:
     """Text as double; blank or unreadable is NULL."""
-    return _or_null(c).try_cast("double")
+    return or_null(c).try_cast("double")
 
 
 def month_day_year(c: Column) -> Column:
     """``7/4/2019`` or ``07/04/2019`` as a date; blank or impossible is NULL."""
-    text = F.trim(c)
-    part = F.split(text, "/")
-    # Put in ISO order for the plain cast to date, which a pattern parser is slower than
-    # by far, all the more on text it cannot read.
-    iso = F.concat_ws("-", F.get(part, F.lit(2)), F.get(part, F.lit(0)), F.get(part, F.lit(1)))
-    return F.when(F.rlike(text, F.lit(r"\A[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}\z")), iso.try_cast("date"))
+    return F.try_to_date(or_null(c), "M/d/yyyy")
 
 
 def one_line(c: Column, literal_slash_n: bool = False) -> Column:
@@ -50,7 +45,7 @@ def one_line(c: Column, literal_slash_n: bool = False) -> Column:
 
 def grouped_number(c: Column) -> Column:
     """``609,513`` as 609513; numbers in text without separators pass, NaN and other text is NULL."""
-    return F.replace(c, F.lit(","), F.lit("")).try_cast("bigint")
+    return whole_number(F.replace(c, F.lit(","), F.lit("")))
 
 
 def percent(part: Column, whole: Column) -> Column:
@@ -71,7 +66,7 @@ def strip_quotes(c: Column) -> Column:
 
 def number_list(c: Column) -> Column:
     """``['0.1', '-0.2']`` as an array of doubles."""
-    return F.transform(F.split(F.regexp_replace(c, r"[\[\]']", ""), ","), lambda x: F.trim(x).try_cast("double"))
+    return F.transform(F.split(F.regexp_replace(c, r"[\[\]']", ""), ","), real_number)
 
 
 def word_list(c: Column, keep_empty: bool = False) -> Column:

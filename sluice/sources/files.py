@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.functions.cleaning import or_null
+
 
 def all_strings(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
@@ -65,7 +67,7 @@ class Loaded:
 
 def _typed(field: T.StructField) -> Column:
     text = F.col(field.name)
-    return text if isinstance(field.dataType, T.StringType) else text.try_cast(field.dataType)
+    return text if isinstance(field.dataType, T.StringType) else or_null(text).try_cast(field.dataType)
 
 
 def _unreadable(schema: T.StructType) -> Column:
