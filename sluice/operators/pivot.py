@@ -188,19 +188,20 @@ def pivot(
         *((_addend(df, v) if kind[v] == "sum" else F.col(_quoted(v))).alias(c) for v, c in value_col.items()),
     )
 
-    listed = [c for v, c in value_col.items() if kind[v] == "list"]
+    strings = [c for v, c in value_col.items() if kind[v] != "sum"]
     narrow = len(cells) <= narrow_cells
-    if listed or (not narrow and len(label_cols) > 1):
-        others = [c for c in value_col.values() if c not in listed]
+    if strings or (not narrow and len(label_cols) > 1):
+        numbers = [c for c in value_col.values() if c not in strings]
         source = source.select(
             *key_cols, *value_col.values(), F.explode(F.array_distinct(F.array(*label_cols))).alias("__p")
         )
         label_cols = ["__p"]
-        if listed:
-            # Distinct strings by hash aggregation first: the lists are then
-            # collected from what they will hold, not from all rows of a key.
-            source = source.groupBy(*key_cols, "__p", *listed).agg(
-                F.count(F.lit(1)).alias("__n"), *(F.sum(c).alias(c) for c in others)
+        if strings:
+            # Distinct strings by hash aggregation first. Lists and minima of strings
+            # need sorting or object buffers, which then see what the cells will hold
+            # instead of all rows of a key.
+            source = source.groupBy(*key_cols, "__p", *strings).agg(
+                F.count(F.lit(1)).alias("__n"), *(F.sum(c).alias(c) for c in numbers)
             )
 
     if not value_col:

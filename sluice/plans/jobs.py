@@ -82,8 +82,9 @@ def load_with_demographics(
 def score_texts(texts: DataFrame, lexicon: DataFrame) -> DataFrame:
     """``(tweet_id, tweet)`` to the columns of a scored text, the vector left out.
 
-    The texts are split and matched once for all scores; only their ids and scores
-    go through the exchange, and the texts are joined back by id.
+    The texts are split and matched once for all scores; only ids and scores go through
+    the exchange of the aggregate. The texts are then joined back by id, which moves
+    them once. A text table bucketed by its id needs neither exchange.
     """
     clean = texts.withColumn("tweet", cleaning.ascii_only(F.col("tweet")))
     return clean.join(scoring.all_scores(clean, lexicon, "tweet_id", "tweet"), "tweet_id")
@@ -116,11 +117,15 @@ def route_scores(spark: SparkSession, folder: str, target: str) -> DataFrame:
 
 def pivot_table(
     spark: SparkSession, source: str, target: str, keys: Sequence[str], pivots: Sequence[str], values: Sequence[str],
-    **options,
+    path: str | None = None, **options,
 ) -> DataFrame:
-    """Pivot a catalog table into another; the result brings its own schema."""
+    """Pivot a catalog table into another, which is replaced; the result brings its own schema.
+
+    ``path`` keeps the files of the target there instead of in the warehouse folder.
+    """
     rows = validated_projection(validate_table(spark, source), [*keys, *pivots, *values])
-    pivot.pivot(rows, keys, pivots, values, **options).write.mode("overwrite").saveAsTable(target)
+    writer = pivot.pivot(rows, keys, pivots, values, **options).write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(target)
     return spark.table(target)
 
 

@@ -156,8 +156,7 @@ def tumbling_count(spark, sf_dir):
     stream = streams.tumbling_counts(_event_stream(spark, sf_dir))
     streams.drain(stream, f"{folder}/closed", f"{folder}/checkpoint")
     closed = spark.read.schema(stream.schema).parquet(f"{folder}/closed")
-    events = streams.event_time(table(spark, sf_dir, "events").select("ts"))
-    counts = streams.with_open_windows(closed, events)
+    counts = streams.with_open_windows(closed, table(spark, sf_dir, "events").select("ts"))
     return counts.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "n")
 
 
@@ -176,7 +175,7 @@ def stream_dedup(spark, sf_dir):
     """Events delivered twice, kept once."""
     folder = scratch_dir(spark, "dedup")
     twice = _event_stream(spark, sf_dir).unionAll(_event_stream(spark, sf_dir))
-    streams.drain(streams.deduplicated(twice, ["event_id"]), f"{folder}/rows", f"{folder}/checkpoint")
+    streams.drain(streams.deduplicated(twice, ["event_id"], salts=4), f"{folder}/rows", f"{folder}/checkpoint")
     return spark.read.parquet(f"{folder}/rows").select("event_id", "user_id", "event_type")
 
 
@@ -289,6 +288,24 @@ def job_load_with_area_statistics(spark, sf_dir):
     return counted.select("neighbourhood", "n_listings", "puma_code", "population")
 
 
+@query(
+    """SELECT o_custkey, count(*) FILTER (WHERE o_orderstatus = 'F') > 0 AS has_f,
+    CAST(sum(o_orderkey) FILTER (WHERE o_orderstatus = 'F') AS BIGINT) AS "F_o_orderkey",
+    CAST(sum(o_orderkey) FILTER (WHERE o_orderstatus = 'O') AS BIGINT) AS "O_o_orderkey",
+    CAST(sum(o_orderkey) FILTER (WHERE o_orderstatus = 'P') AS BIGINT) AS "P_o_orderkey"
+    FROM orders GROUP BY o_custkey"""
+)
+def job_pivot_table(spark, sf_dir):
+    """A table pivoted into another one by their names."""
+    folder = scratch_dir(spark, "pivot-table")
+    table(spark, sf_dir, "orders").createOrReplaceTempView("orders_to_pivot")
+    name = "pivoted_" + folder.rsplit("-", 1)[-1]
+    wide = jobs.pivot_table(
+        spark, "orders_to_pivot", name, ["o_custkey"], ["o_orderstatus"], ["o_orderkey"], path=folder
+    )
+    return wide.withColumn("has_f", F.col("F_o_orderkey").isNotNull())
+
+
 @query(
     f"""SELECT doc_id AS tweet_id, compound, CASE WHEN compound < -0.5 THEN 'neg' ELSE 'pos' END AS label,
     rtrim(rtrim(rtrim(trim({text_queries.CLEAN_SQL}, '"'), E' \\n\\t\\r\\x0b\\x0c'), '"'), E' \\n\\t\\r\\x0b\\x0c') AS tweet

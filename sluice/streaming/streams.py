@@ -7,6 +7,7 @@ count exactly once across runs.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,10 +81,9 @@ def confirmed_messages(messages: DataFrame, key: HashKey, known: DataFrame, **bo
 
 
 def event_time(df: DataFrame, column: str = "ts") -> DataFrame:
-    """Watermarks need a timestamp with zone; readings without one are taken as UTC."""
-    if isinstance(df.schema[column].dataType, T.TimestampNTZType):
-        return df.withColumn(column, F.to_utc_timestamp(F.col(column).cast("timestamp"), F.current_timezone()))
-    return df
+    """Watermarks need a timestamp with zone; readings without one are taken in the
+    session's zone, which should be UTC."""
+    return df.withColumn(column, F.col(column).cast("timestamp"))
 
 
 def windowed(df: DataFrame, ts: str = "ts", length: str = "30 seconds") -> DataFrame:
@@ -111,17 +111,30 @@ def with_open_windows(closed: DataFrame, rows: DataFrame, ts: str = "ts", length
     Rows at or after the last emitted window's end are in no emitted window, so
     only the tail of ``rows`` is counted.
     """
-    last_end = closed.select(F.max("window_end")).scalar()
-    tail = rows.filter(F.coalesce(F.col(ts) >= last_end, F.lit(True)))
+    earliest = F.lit(datetime.datetime(1, 1, 1))
+    kind = rows.schema[ts].dataType
+    # Compared in the column's own type, so that the scan can skip what is older.
+    last_end = closed.select(F.coalesce(F.max("window_end"), earliest).cast(kind)).scalar()
+    tail = event_time(rows.filter(F.col(ts) >= last_end), ts)
     return closed.unionByName(_window_counts(tail, ts, length))
 
 
-def deduplicated(stream: DataFrame, keys: Sequence[str], ts: str = "ts", late: str = "10 minutes") -> DataFrame:
+def deduplicated(
+    stream: DataFrame, keys: Sequence[str], ts: str = "ts", late: str = "10 minutes", salts: int = 1
+) -> DataFrame:
     """The first arrival of each key; redeliveries within ``late`` are dropped.
 
     State holds the keys seen within ``late`` of the watermark, not all of them.
+
+    Copies of a key meet in one task. Where one key may have a large part of all rows,
+    ``salts`` drops copies in that many tasks per key first, by where they were read,
+    and leaves at most so many rows of a key to the task that decides.
     """
-    return stream.withWatermark(ts, late).dropDuplicatesWithinWatermark(list(keys))
+    marked = stream.withWatermark(ts, late)
+    if salts > 1:
+        salted = marked.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+        marked = salted.dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt")
+    return marked.dropDuplicatesWithinWatermark(list(keys))
 
 
 def object_name(path: Column) -> Column:

@@ -101,12 +101,13 @@ def test_open_windows_without_any_closed(spark):
     assert [r["n"] for r in streams.with_open_windows(none, rows_).collect()] == [2]
 
 
-def test_redelivery_is_dropped_across_batches(spark, folder):
+@pytest.mark.parametrize("salts", [1, 3])
+def test_redelivery_is_dropped_across_batches(spark, folder, salts):
     schema = "event_id bigint, ts timestamp_ntz"
     for part in ([(1, 0), (2, 10), (1, 0)], [(2, 10), (3, 20)]):
         events(spark, part).coalesce(1).write.mode("append").parquet(f"{folder}/in")
         stream = streams.event_time(streams.file_stream(spark, f"{folder}/in", schema))
-        streams.drain(streams.deduplicated(stream, ["event_id"]), f"{folder}/out", f"{folder}/checkpoint")
+        streams.drain(streams.deduplicated(stream, ["event_id"], salts=salts), f"{folder}/out", f"{folder}/checkpoint")
     assert sorted(r["event_id"] for r in spark.read.parquet(f"{folder}/out").collect()) == [1, 2, 3]
 
 
