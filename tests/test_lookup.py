@@ -129,3 +129,29 @@ def test_records_of_replies(spark):
     out = lookups.extract_records(df, "reply", {"id": "tweet_id", "text": "tweet"})
     assert rows(out) == [(7, "1", "a"), (7, "2", None)]
     assert lookups.extract_records(df, "reply", {"id": "tweet_id"}, max_results=1).count() == 1
+
+
+def test_hot_left_keys_are_split_beyond_the_bound(spark):
+    """A key with a third of all rows does not end up in one task of a shuffle join."""
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    for name, value in small.items():
+        spark.conf.set(name, value)
+    try:
+        key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k")
+        left = spark.range(0, 60_000, 1, 6).select(key, F.sha2(F.col("id").cast("string"), 256).alias("t"))
+        known = spark.range(0, 60_000, 7).select(F.col("id").alias("k"))
+        for join in (joins.exists_in, joins.missing_in, joins.lookup_join):
+            out = join(left, known, "k", max_rows=1)
+            expected = out.count()
+            out.collect()
+            assert "skew=true" in plan(out), join.__name__
+            assert expected == join(left, known, "k").count()
+    finally:
+        for name in small:
+            spark.conf.unset(name)
