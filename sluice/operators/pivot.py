@@ -204,7 +204,7 @@ def pivot(
                 F.count(F.lit(1)).alias("__n"), *(F.sum(c).alias(c) for c in numbers)
             )
 
-    if not value_col:
+    if not value_col or not cells:
         wide = source.select(*key_cols).distinct()
     elif narrow:
         wide = _conditional_aggregates(source, key_cols, label_cols, cells, kind, value_col)
@@ -213,7 +213,7 @@ def pivot(
 
     result = wide.select(
         *(F.col(c).alias(k) for k, c in zip(keys, key_cols)),
-        *(_cell(i, cell, kind[cell.value], df).alias(cell.name) for i, cell in enumerate(cells)),
+        *(_cell(i, cell, kind[cell.value]).alias(cell.name) for i, cell in enumerate(cells)),
     )
     return result if fill is None else result.fillna(fill, subset=[_quoted(c.name) for c in cells])
 
@@ -235,7 +235,7 @@ def _parts(kind: str, value: Column, present: Column) -> dict[str, Column]:
     return {"set": F.collect_set(value), "n": F.count(present)}
 
 
-def _cell(i: int, cell: Cell, kind: str, df: DataFrame) -> Column:
+def _cell(i: int, cell: Cell, kind: str) -> Column:
     if kind == "drop":
         return F.lit(None).cast("string")
     if kind == "sum":

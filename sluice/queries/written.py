@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sluice.operators import listings, scored, scoring, sensitive
+from sluice.operators import listings, scoring, sensitive
 from sluice.operators.counts import count_per_key
 from sluice.plans import jobs
 from sluice.queries import dirty
@@ -24,11 +24,11 @@ _LISTING_ROWS = f"SELECT {dirty.LISTING_ORACLE} FROM orders"
 _LISTING_COUNTS = f"SELECT neighbourhood, count(*) AS n_listings FROM ({_LISTING_ROWS}) GROUP BY 1"
 
 
-@query("SELECT doc_id, text, lang FROM documents WHERE text <> ''")
+@query("SELECT doc_id, nullif(text, '') AS text, lang FROM documents")
 def csv_roundtrip(spark, sf_dir):
-    """Whole texts with commas, quotes and newlines through a CSV file."""
+    """Whole texts with commas, quotes and newlines through CSV files; a blank field is NULL."""
     folder = scratch_dir(spark, "csv")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang").filter("text <> ''")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     sinks.write_csv(docs, folder)
     back = files.read_csv(spark, folder, files.all_strings(docs.schema))
     return back.withColumn("doc_id", F.col("doc_id").try_cast("bigint"))
@@ -106,7 +106,8 @@ def lookup_file(spark, sf_dir):
     return lookups.explode_lookup(spark.read.text(folder), "value", _FIELD, "customer")
 
 
-_SCORED = f"SELECT doc_id AS tweet_id, s.compound, w.word_sample FROM ({text_queries.SENTIMENT}) s JOIN ({text_queries.SAMPLE}) w USING (doc_id)"
+_SCORED = f"""SELECT doc_id AS tweet_id, s.compound, w.word_sample
+    FROM ({text_queries.SENTIMENT}) s JOIN ({text_queries.SAMPLE}) w USING (doc_id)"""
 
 
 @query(_SCORED)

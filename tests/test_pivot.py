@@ -108,6 +108,11 @@ def test_fill_and_given_labels(spark, cells):
     assert rows(out) == [("a", 1, 0), ("b", 0, 2), ("c", 0, 0)]
 
 
+def test_no_rows_at_all(spark, cells):
+    out = pv.pivot(frame(spark, []), ["name"], ["gender"], ["number"], narrow_cells=cells)
+    assert out.columns == ["name"] and out.count() == 0
+
+
 def test_twice(spark):
     data = [("ann", "F", "South", 1), ("ann", "F", "West", 2), ("ann", "M", "South", 4), ("bob", "M", "West", 8)]
     by_region = pv.pivot(frame(spark, data), ["name", "gender"], ["state"], ["number"])
