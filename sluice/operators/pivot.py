@@ -232,7 +232,7 @@ def _parts(kind: str, value: Column, present: Column) -> dict[str, Column]:
         return {"s": F.sum(value)}
     if kind == "single":
         return {"lo": F.min(value), "hi": F.max(value)}
-    return {"set": F.collect_set(value), "n": F.count(present)}
+    return {"list": F.collect_list(value), "n": F.count(present)}  # distinct already
 
 
 def _cell(i: int, cell: Cell, kind: str) -> Column:
@@ -241,7 +241,7 @@ def _cell(i: int, cell: Cell, kind: str) -> Column:
     if kind == "sum":
         return F.col(f"__c{i}_s")
     if kind == "list":
-        return F.when(F.col(f"__c{i}_n") > 0, F.sort_array(F.col(f"__c{i}_set")))
+        return F.when(F.col(f"__c{i}_n") > 0, F.sort_array(F.col(f"__c{i}_list")))
     low, high = F.col(f"__c{i}_lo"), F.col(f"__c{i}_hi")
     several = F.raise_error(F.lit(f"several distinct strings for {cell.name}"))
     return F.when(low == high, high).when(low.isNotNull(), several)
