@@ -43,15 +43,21 @@ def _sums_of_valence() -> list[Column]:
     ]
 
 
+def _rounded(c: Column, digits: int) -> Column:
+    """Ties go by the decimal value and not by the last bit of a double: 0.1625, computed
+    as 0.16249999999999998, is 0.163."""
+    return F.round(F.round(c, 14), digits)
+
+
 def _shares_and_compound() -> list[Column]:
     total = F.col("_p") + F.col("_n") + F.col("_u")
     shares = (("neg", "_n"), ("neu", "_u"), ("pos", "_p"))
     return [
         *(
-            F.round(F.coalesce(F.try_divide(F.col(part), total), F.lit(0.0)), 3).alias(name)
+            _rounded(F.coalesce(F.try_divide(F.col(part), total), F.lit(0.0)), 3).alias(name)
             for name, part in shares
         ),
-        F.round(F.col("_s") / F.sqrt(F.col("_s") * F.col("_s") + ALPHA), 4).alias("compound"),
+        _rounded(F.col("_s") / F.sqrt(F.col("_s") * F.col("_s") + ALPHA), 4).alias("compound"),
     ]
 
 
