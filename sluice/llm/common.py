@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +53,11 @@ def str_texts(column) -> list[str]:
     return [x or "" for x in column.to_pylist()]
 
 
+def shipped(spark: SparkSession, value):
+    """A broadcast of ``value`` pickled with its class, for ``pickle.loads`` on workers without the package."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
 def slices(batches, rows: int) -> Iterator:
     """Arrow batches cut to at most ``rows`` rows, so that Python holds few texts at once."""
     for batch in batches:
