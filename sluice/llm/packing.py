@@ -20,7 +20,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import materialise, slices, str_texts
+from sluice.llm.common import byte_texts, materialise, slices
 from sluice.llm.tokens import encoder, read_tokenizer
 
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -55,7 +55,7 @@ def pieces(
         end, task, seen = np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId(), Counter()
         for batch in slices(batches, 256):
             owners, numbers, starts, lengths, sums, places, ids = [], [], [], [], [], [], []
-            for row, content in enumerate(encode(str_texts(batch.column(1)))):
+            for row, content in enumerate(encode(byte_texts(batch.column(1)))):
                 content += end
                 total = len(content) // 4
                 at, number = 0, 0

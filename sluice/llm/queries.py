@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontaminate, packing, records, simhash
+from sluice.llm import decontaminate, packing, quality, records, simhash
 from sluice.queries.registry import table
 from sluice.scratch import scratch_dir
 
@@ -47,6 +47,45 @@ def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+OP8_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
+             regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+             list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+           FROM documents),
+     windows AS (SELECT r, i, array_to_string(w[i:i + 7], ' ') AS k FROM d, unnest(range(1, len(w) - 6)) AS u(i)),
+     twice AS (SELECT r, k FROM windows GROUP BY r, k HAVING count(*) > 1),
+     places AS (SELECT r, count(DISTINCT p) AS n FROM windows JOIN twice USING (r, k), unnest(range(i, i + 8)) AS u(p)
+                GROUP BY r),
+     m AS (SELECT doc_id, t, w, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+             length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+             len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+             coalesce(n, 0) AS n_repeat_words,
+             length(regexp_replace(t, '[^A-Z]', '', 'g')) AS upper_letters,
+             length(regexp_replace(t, '[^a-z]', '', 'g')) AS lower_letters,
+             length(regexp_replace(t, '[^!]', '', 'g')) AS exclamations,
+             len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS stutters,
+             len(list_filter(w, lambda x: regexp_matches(x, '[^\x00-\x40\x5B-\x60\x7B-\x7F]'))) AS lettered
+           FROM d LEFT JOIN places USING (r)),
+     f AS (SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT 10 * n_symbols > n_words
+         AND NOT 10 * upper_letters > 3 * (upper_letters + lower_letters)
+         AND NOT 10 * exclamations > 3 * n_words
+         AND NOT 10 * n_dup_lines > 3 * n_lines
+         AND NOT 5 * stutters > n_words
+         AND word_chars BETWEEN 2 * n_words AND 20 * n_words
+         AND NOT 10 * lettered < 6 * n_words AS kept
+FROM f
+"""
+
+
+@query(OP8_SQL)
+def op8_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return judged.select("row.doc_id", *measures)
+
+
 OP9_SQL = """
 WITH d AS (SELECT row_number() OVER () AS r, doc_id,
              regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

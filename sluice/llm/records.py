@@ -34,7 +34,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import partitions, slices, str_texts
+from sluice.llm.common import byte_texts, partitions, slices
 from sluice.llm.tokens import encoder, read_tokenizer
 
 MASK_DELTA = 0xA282EAD8
@@ -128,7 +128,7 @@ def write_records(
         encode, end = encoder(tokenizer.value), np.array([end_id], "<u4").tobytes()
         for batch in slices(batches, 256):
             ids = batch.column(0).to_pylist()
-            made = [frame(i, c + end, width) for i, c in zip(ids, encode(str_texts(batch.column(1))), strict=True)]
+            made = [frame(i, c + end, width) for i, c in zip(ids, encode(byte_texts(batch.column(1))), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(made, pa.binary())], names=["frame"])
 
     lines = ordered.mapInArrow(framed, "frame binary").select(F.col("frame").cast("string").alias("value"))

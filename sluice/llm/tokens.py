@@ -1,22 +1,31 @@
 """Token ids of whole texts by a public tokenizer file, encoded segment by segment.
 
-A text is cut only where a character that is no white space is followed by white space (for
-word tokenizers, which drop white space, the white space is dropped). No token and no
-pre-token spans such a place, so the ids of the text are those of its segments one after the
-other, and a segment seen before is looked up and not encoded again.
+A text is cut where a character that is no white space is followed by white space, and where an
+ASCII letter is followed by one of a few punctuation marks. The patterns of these tokenizers end a
+pre-token at every such place and look at nothing before it, so the ids of the text are those of its
+segments one after the other, and a segment seen before is looked up and not encoded again.
+Tokenizers that mark word ends drop white space, so there it is no part of a segment.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import re
-from collections.abc import Callable, Iterable, Iterator
+import sys
+from collections.abc import Callable, Iterator
+
+from sluice.llm import segments
 
 #: Unicode's White_Space, which the tokenizers' patterns mean by ``\\s``.
 WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-KEPT_SPACE = f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+"
-DROPPED_SPACE = f"[^{WHITE}]+"
-#: Segments a worker remembers before it starts afresh; about 250 bytes each.
-REMEMBERED = 600_000
+#: The white space beyond ASCII, as UTF-8.
+WIDE_SPACE = rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
+MARKS = b'!"),.:;?'
+#: Segments a worker remembers, at about 250 bytes each.
+REMEMBERED = 1_000_000
+#: Texts above this many bytes are cut by the pattern, a part at a time.
+LONG = 1 << 23
 
 
 def read_tokenizer(path: str) -> str:
@@ -25,35 +34,132 @@ def read_tokenizer(path: str) -> str:
         return file.read()
 
 
-def drops_space(tokenizer_json: str) -> bool:
-    """Whether the tokenizer marks word ends and drops white space."""
-    import json
+def memory() -> dict:
+    """A dict that lives as long as the Python worker, so that later tasks find what earlier ones learned."""
+    return sys.__dict__.setdefault("_sluice_memory", {})
+
+
+class Known:
+    """Ids of segments by their hash, in one growing array."""
+
+    def __init__(self):
+        import numpy as np
+
+        self.numbers: dict[int, int] = {}
+        self.firsts, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.ids, self.used = np.zeros(1 << 18, "<u4"), 0
+
+    def add(self, hashes: list[int], ids: list[list[int]]) -> None:
+        import numpy as np
+
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        first, last = len(self.numbers), len(self.numbers) + len(hashes)
+        end = self.used + int(lengths.sum())
+        while last > len(self.firsts):
+            self.firsts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.firsts, self.lengths))
+        while end > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.numbers.update(zip(hashes, range(first, last), strict=True))
+        self.lengths[first:last] = lengths
+        self.firsts[first:last] = self.used + np.cumsum(lengths) - lengths
+        self.ids[self.used : end] = np.fromiter((i for own in ids for i in own), np.uint32, end - self.used)
+        self.used = end
+
+
+class SegmentEncoder:
+    """Ids of texts, given as UTF-8, as little-endian unsigned 32-bit numbers."""
+
+    def __init__(self, tokenizer_json: str, remembered: int = REMEMBERED):
+        from tokenizers import Tokenizer
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the unit of parallel work
+        content = json.loads(tokenizer_json)
+        self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.remembered = remembered
+        self.words_only = bool(content["model"].get("end_of_word_suffix"))
+        special = [t["content"] for t in content["added_tokens"]]
+        self.marks = b"" if any(chr(c) in t for t in special for c in MARKS) else MARKS
+        # texts that are cut by the pattern: wide space, or what may be the start of a special token
+        odd = [re.escape(t[:2].encode()) for t in special]
+        self.odd = re.compile(b"|".join([rb"(?:%s)" % WIDE_SPACE, *odd])).search
+        self.pattern = re.compile(f"[^{WHITE}]+" if self.words_only else f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
+        self.hasher = segments.Hasher()
+        self.known = Known()
+
+    def _encoded(self, parts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
+
+    def _by_pattern(self, text: bytes) -> bytes:
+        import numpy as np
+
+        out, parts = [], []
+        for match in self.pattern.finditer(text.decode()):
+            parts.append(match[0])
+            if len(parts) == 65_536:
+                out += [np.array(i, "<u4").tobytes() for i in self._encoded(parts)]
+                parts = []
+        out += [np.array(i, "<u4").tobytes() for i in self._encoded(parts)]
+        return b"".join(out)
 
-    return bool(json.loads(tokenizer_json)["model"].get("end_of_word_suffix"))
+    def _cut(self, data, offsets):
+        """Starts and ends of the segments of all texts, in order."""
+        import numpy as np
 
+        starts, ends = segments.words(data, offsets)
+        edge = np.zeros(len(data) + 1, bool)
+        edge[offsets] = edge[ends] = True
+        if self.marks:
+            letters = segments.flags(bytes(c for c in range(128) if chr(c).isalpha()))
+            edge[1:-1] |= letters[data[:-1]] & segments.flags(self.marks)[data[1:]]
+        if self.words_only:
+            edge[starts] = True
+        cuts = np.flatnonzero(edge)
+        first, last = cuts[:-1], cuts[1:]
+        if self.words_only and len(first):  # white space between words is dropped
+            plain = ~segments.flags(segments.ASCII_SPACE)[data[first]]
+            first, last = first[plain], last[plain]
+        return first, last
 
-def encoder(tokenizer_json: str, remembered: int = REMEMBERED) -> Callable[[Iterable[str]], Iterator[bytes]]:
-    """A function from texts to their ids as little-endian unsigned 32-bit numbers."""
-    import os
+    def _block(self, texts: list[bytes]) -> Iterator[bytes]:
+        import numpy as np
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the unit of parallel work
-    import numpy as np
-    from tokenizers import Tokenizer
+        raw = b"".join(texts)
+        data, offsets = segments.joined([raw.lower()] if self.words_only else [raw])
+        offsets = np.r_[0, np.cumsum([len(t) for t in texts], dtype=np.int64)]
+        if not len(data):
+            yield from (b"" for _ in texts)
+            return
+        first, last = self._cut(data, offsets)
+        hashes, sample, inverse = np.unique(self.hasher(data, first, last), return_index=True, return_inverse=True)
+        hashes, known = hashes.tolist(), self.known
+        new = [i for i, h in enumerate(hashes) if h not in known.numbers]
+        content = data.tobytes()
+        for at in range(0, len(new), 4096):
+            some = new[at : at + 4096]
+            places = sample[some]
+            parts = [content[a:b].decode() for a, b in zip(first[places].tolist(), last[places].tolist(), strict=True)]
+            known.add([hashes[i] for i in some], self._encoded(parts))
+        numbers = np.fromiter(map(known.numbers.__getitem__, hashes), np.int64, len(hashes))[inverse]
+        lengths = known.lengths[numbers]
+        after = np.cumsum(lengths)
+        ids = known.ids[np.repeat(known.firsts[numbers] - after + lengths, lengths) + np.arange(after[-1] if len(after) else 0)]
+        bounds = np.r_[0, after][np.searchsorted(first, offsets)].tolist()
+        out = ids.tobytes()
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            yield out[4 * a : 4 * b]
+        if len(known.numbers) > self.remembered:
+            self.known = Known()
 
-    tokenizer = Tokenizer.from_str(tokenizer_json)
-    cut = re.compile(DROPPED_SPACE if drops_space(tokenizer_json) else KEPT_SPACE).findall
-    known: dict[str, bytes] = {}
+    def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
+        odd = [len(t) > LONG or self.odd(t) is not None for t in texts]
+        plain = (ids for block in segments.blocks([t for t, o in zip(texts, odd, strict=True) if not o]) for ids in self._block(block))
+        for text, is_odd in zip(texts, odd, strict=True):
+            yield self._by_pattern(text) if is_odd else next(plain)
 
-    def encode(texts: Iterable[str]) -> Iterator[bytes]:
-        segments = [cut(t) for t in texts]
-        if len(known) > remembered:
-            known.clear()
-        new = list(set().union(*segments).difference(known))
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
-            for segment, encoded in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[segment] = np.array(encoded.ids, "<u4").tobytes()
-        for own in segments:
-            yield b"".join(map(known.__getitem__, own))
 
-    return encode
+def encoder(tokenizer_json: str) -> Callable[[list[bytes]], Iterator[bytes]]:
+    """The worker's encoder for a tokenizer; it remembers segments across tasks."""
+    key = ("encoder", tokenizer_json)
+    if key not in memory():
+        memory()[key] = SegmentEncoder(tokenizer_json)
+    return memory()[key]
