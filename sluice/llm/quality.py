@@ -82,9 +82,9 @@ def exclaiming(raw: bytes, words: list[bytes]) -> bool:
 
 
 def repeated_lines(raw: bytes, words: list[bytes]) -> bool:
-    """Over 30 % of the lines with a word equal an earlier one."""
+    """Over half of the lines with a word equal an earlier one."""
     lines, repeats = lines_and_repeats(raw)
-    return 10 * repeats > 3 * lines
+    return 2 * repeats > lines
 
 
 def stuttering(raw: bytes, words: list[bytes]) -> bool:

@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontaminate, packing, quality, records, simhash
+from sluice.llm import decontaminate, language_id, packing, quality, records, simhash
+from sluice.llm.common import remainder
 from sluice.queries.registry import table
 from sluice.scratch import scratch_dir
 
@@ -28,6 +29,16 @@ def query(oracle: str | None = None):
     return register
 
 
+@query()
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = remainder(F.col("doc_id"), 3) == 1
+    pieces = language_id.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    model = language_id.learn(docs.filter(~held_out), pieces)
+    predicted = language_id.identify(docs, model)
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query()
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
@@ -71,7 +82,7 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND NOT 10 * n_symbols > n_words
          AND NOT 10 * upper_letters > 3 * (upper_letters + lower_letters)
          AND NOT 10 * exclamations > 3 * n_words
-         AND NOT 10 * n_dup_lines > 3 * n_lines
+         AND NOT 2 * n_dup_lines > n_lines
          AND NOT 5 * stutters > n_words
          AND word_chars BETWEEN 2 * n_words AND 20 * n_words
          AND NOT 10 * lettered < 6 * n_words AS kept
