@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.scratch import scratch_dir
 
@@ -65,6 +66,28 @@ def slices(batches, rows: int) -> Iterator:
             yield batch.slice(start, rows)
 
 
+class Carried:
+    """Columns that travel beside the text through a Python stage, under names that clash with nothing.
+
+    ``rows`` has the text first. If the text is to be kept it is sent once.
+    """
+
+    def __init__(self, docs: DataFrame, text_col: str, keep: Sequence[str]):
+        self.keep, self.text_col = list(keep), text_col
+        others = [c for c in keep if c != text_col]
+        self.names = {text_col: "text", **{c: f"kept_{i}" for i, c in enumerate(others)}}
+        text = F.col(f"`{text_col}`").cast("string").alias("text")
+        self.rows = docs.select(text, *[F.col(f"`{c}`").alias(self.names[c]) for c in others])
+        self.first = 0 if text_col in keep else 1
+
+    def schema(self, *added: T.StructField) -> T.StructType:
+        return T.StructType([*self.rows.schema.fields[self.first :], *added])
+
+    def restored(self) -> list[Column]:
+        """The kept columns under their own names."""
+        return [F.col(self.names[c]).alias(c) for c in self.keep]
+
+
 def partitions(spark: SparkSession) -> int:
     """The partitions a shuffle of the input should have: the session's own setting."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

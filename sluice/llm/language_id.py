@@ -16,11 +16,13 @@ from __future__ import annotations
 
 import pickle
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sluice.llm.common import shipped, slices, str_texts
+from sluice.llm.common import Carried, shipped, slices, str_texts
 
 LETTERS = r"[^\W\d_]+"
 #: Labelled texts per language, about, from which the piece probabilities are learned.
@@ -282,8 +284,8 @@ def learn(
     return Model(languages, pieces, probability)
 
 
-def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id``, ``lang_pred``, ``score`` per row, and the columns in ``keep`` as ``kept_0``, ``kept_1``, ...
+def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), text_col: str = "text") -> DataFrame:
+    """The columns ``keep`` as ``row``, ``lang_pred`` and ``score`` per row.
 
     Only the text is looked at. ``score`` is the probability of the predicted language among those
     learned, all equally likely beforehand. Texts that are NULL or have no letter are ``und`` with
@@ -291,16 +293,11 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     name is taken. Repeated rows give repeated results.
     """
     import pyarrow as pa
-    from pyspark.sql import types as T
-
-    own = [F.col(f"`{c}`").alias(f"kept_{i}") for i, c in enumerate(keep)]
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), *own)
-    package = shipped(docs.sparkSession, model)
-    passed = [i for i, f in enumerate(rows.schema) if i != 1]
-    schema = T.StructType(
-        [rows.schema[i] for i in passed]
-        + [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
-    )
+
+    carried = Carried(docs, text_col, keep)
+    package, first = shipped(docs.sparkSession, model), carried.first
+    schema = carried.schema(T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()))
+    names = schema.names
 
     def scored(batches):
         import numpy as np
@@ -309,7 +306,7 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
         lattice, numbers = Lattice(known.pieces, known.probability), {}
         table = np.zeros((0, len(known.languages)))
         for batch in slices(batches, 256):
-            texts = [words_of(t) for t in str_texts(batch.column(1))]
+            texts = [words_of(t) for t in str_texts(batch.column(0))]
             if len(numbers) > REMEMBERED:
                 numbers, table = {}, table[:0]
             new = list(set().union(*texts).difference(numbers))
@@ -325,9 +322,8 @@ def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
                 best = int(total.argmax())
                 langs.append(known.languages[best])
                 scores.append(float(1.0 / np.exp(total - total[best]).sum()))
-            columns = [batch.column(i) for i in passed]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=schema.names
-            )
+            added = [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[first:], *added], names=names)
 
-    return rows.mapInArrow(scored, schema)
+    row = F.struct(*carried.restored()).alias("row")
+    return carried.rows.mapInArrow(scored, schema).select(row, "lang_pred", "score")

@@ -11,12 +11,13 @@ from __future__ import annotations
 
 import pickle
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from sluice.llm.common import byte_texts, shipped, slices
+from sluice.llm.common import Carried, byte_texts, shipped, slices
 
 SYMBOLS = b"#*$%&|<>"
 UPPER, LOWER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz"
@@ -161,42 +162,41 @@ def calibrate(
     return order
 
 
+MEASURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
 def judge(
     docs: DataFrame,
     rules: dict[str, Callable] = RULES,
+    keep: Sequence[str] = ("doc_id",),
     text_col: str = "text",
     sample_rows: int = SAMPLE_ROWS,
     min_words: int = 20,
     max_repeat_percent: int = 30,
 ) -> DataFrame:
-    """``docs``, all columns under ``row``, with the base measures, ``base_failed`` and ``kept``.
+    """The columns ``keep`` as ``row``, the base measures, ``base_failed`` and ``kept`` per row.
 
-    ``n_words``, ``word_chars``, ``n_symbols``, ``n_dup_lines`` and ``n_repeat_words`` are measured on the
-    whole text; NULL is empty and has no words. A text of under ``min_words`` words, or with more than
-    ``max_repeat_percent`` percent of them in repeated windows, fails before the cascade; it meets no rule.
-    Repeated rows are judged alike.
+    The measures are of the whole text; NULL is empty and has no words. A text of under
+    ``min_words`` words, or with more than ``max_repeat_percent`` percent of them in repeated
+    windows, fails before the cascade and meets no rule. Repeated rows are judged alike.
     """
     import pyarrow as pa
-    from pyspark.sql import types as T
 
     order = calibrate(docs, rules, text_col, sample_rows)
     package = shipped(docs.sparkSession, [rules[o["rule"]] for o in order])
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).cast("string").alias("text"))
-    measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    schema = T.StructType(
-        [
-            T.StructField("row", rows.schema["row"].dataType),
-            *(T.StructField(m, T.LongType()) for m in measures),
-            T.StructField("base_failed", T.BooleanType()),
-            T.StructField("kept", T.BooleanType()),
-        ]
+    carried = Carried(docs, text_col, keep)
+    schema = carried.schema(
+        *(T.StructField(m, T.LongType()) for m in MEASURES),
+        T.StructField("base_failed", T.BooleanType()),
+        T.StructField("kept", T.BooleanType()),
     )
+    first, names = carried.first, schema.names
 
     def judged(batches):
         cascade = pickle.loads(package.value)
         for batch in slices(batches, 256):
             out = []
-            for raw in byte_texts(batch.column(1)):
+            for raw in byte_texts(batch.column(0)):
                 words = raw.split()
                 n_words, repeats = len(words), repeat_words(words)
                 failed = n_words < min_words or 100 * repeats > max_repeat_percent * n_words
@@ -204,7 +204,8 @@ def judge(
                 out.append(
                     (n_words, word_chars(words), n_of(raw, SYMBOLS), lines_and_repeats(raw)[1], repeats, failed, kept)
                 )
-            columns = [pa.array(c) for c in zip(*out, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=schema.names)
+            added = [pa.array(c) for c in zip(*out, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[first:], *added], names=names)
 
-    return rows.mapInArrow(judged, schema)
+    row = F.struct(*carried.restored()).alias("row")
+    return carried.rows.mapInArrow(judged, schema).select(row, *MEASURES, "base_failed", "kept")

@@ -35,7 +35,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = remainder(F.col("doc_id"), 3) == 1
     pieces = language_id.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
     model = language_id.learn(docs.filter(~held_out), pieces)
-    predicted = language_id.identify(docs, model)
+    predicted = language_id.identify(docs, model, keep=["doc_id"]).select("row.doc_id", "lang_pred", "score")
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
@@ -92,9 +92,8 @@ FROM f
 
 @query(OP8_SQL)
 def op8_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality.judge(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
-    return judged.select("row.doc_id", *measures)
+    judged = quality.judge(table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return judged.select("row.doc_id", *quality.MEASURES, "base_failed", "kept")
 
 
 OP9_SQL = """
