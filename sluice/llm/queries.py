@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontaminate, language_id, packing, quality, records, simhash
+from sluice.llm import decontaminate, language_id, lm_bloom, packing, quality, records, simhash
 from sluice.llm.common import remainder
 from sluice.queries.registry import table
 from sluice.scratch import scratch_dir
@@ -39,6 +39,22 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+@query()
+def op3_log_frequency_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder(F.col("doc_id"), 7) == 2
+    scores, model = lm_bloom.score_documents(docs, docs.filter(~held_out))
+    return scores.select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model.tokens).cast("bigint").alias("train_tokens"),
+        "base_score",
+        "score",
+    )
+
+
 @query()
 def op4_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=4, max_bits=4)
