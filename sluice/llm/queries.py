@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontaminate, language_id, lm_bloom, packing, quality, records, simhash
+from sluice.llm import decontaminate, html_templates, language_id, lm_bloom, packing, quality, records, simhash
 from sluice.llm.common import remainder
 from sluice.queries.registry import table
 from sluice.scratch import scratch_dir
@@ -145,3 +145,9 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+@query()
+def op10_template_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_templates.main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
