@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontaminate, html_templates, language_id, lm_bloom, packing, quality, records, simhash
+from sluice.llm import decontaminate, html_templates, language_id, lm_bloom, packing, perspectives, quality, records, simhash, url_graph
 from sluice.llm.common import remainder
 from sluice.queries.registry import table
 from sluice.scratch import scratch_dir
@@ -29,6 +29,62 @@ def query(oracle: str | None = None):
     return register
 
 
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+def op1_sql(rounds: int = url_graph.ROUNDS, damping: float = url_graph.DAMPING) -> str:
+    """The rounds of :func:`url_graph.spread`, one after the other."""
+    ranks = "r0 AS (SELECT good, host, seed AS rank FROM seeds)"
+    for i in range(1, rounds + 1):
+        ranks += f""",
+     r{i} AS MATERIALIZED (SELECT good, host, sum(part) AS rank
+       FROM (SELECT good, taker AS host, {damping} * rank * share AS part
+             FROM r{i - 1} JOIN shares ON shares.g = r{i - 1}.good AND shares.giver = r{i - 1}.host
+             UNION ALL SELECT good, host, seed FROM seeds) GROUP BY good, host)"""
+    return rf"""
+WITH located AS (
+       SELECT page_id, html, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+              regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+     ruled AS (
+       SELECT *, CASE WHEN '.' || host LIKE '%.example.org' AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+                      WHEN '.' || host LIKE '%.example.org' AND starts_with(path, '/es/') THEN 'example.org/es/'
+                      WHEN '.' || host LIKE '%.com' AND starts_with(path, '/de/') THEN 'com/de/'
+                      WHEN '.' || host LIKE '%.com' AND starts_with(path, '/fr/') THEN 'com/fr/'
+                      WHEN '.' || host LIKE '%.org' AND starts_with(path, '/') THEN 'org/' END AS rule FROM located),
+     edges AS (
+       SELECT DISTINCT host AS src, translate(link, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst
+       FROM located, unnest(regexp_extract_all(coalesce(html, ''), '{url_graph.LINK.replace("'", "''")}', 1)) AS t(link)
+       WHERE host != '' AND host != translate(link, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')),
+     flows AS (SELECT true AS g, src AS giver, dst AS taker FROM edges UNION ALL SELECT false, dst, src FROM edges),
+     shares AS (SELECT *, 1.0::DOUBLE / count(*) OVER (PARTITION BY g, giver) AS share FROM flows),
+     hosts AS (SELECT host, count(*) FILTER (rule IN ('org/', 'com/fr/')) AS a, count(*) AS n FROM ruled
+               WHERE host != '' AND rule IS NOT NULL GROUP BY host),
+     seeds AS (SELECT * FROM (
+                 SELECT true AS good, host, {1 - damping}::DOUBLE * (a / n) AS seed FROM hosts
+                 UNION ALL SELECT false, host, {1 - damping}::DOUBLE * ((n - a) / n) FROM hosts) WHERE seed > 0),
+     {ranks},
+     verdicts AS (SELECT host, coalesce(sum(rank) FILTER (good), 0) AS trust, coalesce(sum(rank) FILTER (NOT good), 0) AS distrust
+                  FROM r{rounds} GROUP BY host)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN distrust > {url_graph.THRESHOLD} * (trust + distrust) THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled LEFT JOIN verdicts USING (host)
+"""
+
+
+@query(op1_sql())
+def op1_link_graph_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = url_graph.judge(table(spark, sf_dir, "pages"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 @query()
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -74,6 +130,31 @@ def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+OP7_SQL = """
+WITH t AS (SELECT conv_id, coalesce(turn, -1) AS turn, replace(coalesce(role, ''), '<|', '< |') AS role,
+             replace(coalesce(text, ''), '<|', '< |') AS said, floor(coalesce(turn, -1) / 512)::BIGINT AS block
+           FROM conversations),
+     placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id, block ORDER BY turn, role, said) AS place FROM t),
+     speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role NOT IN ('system', '')),
+     pieces AS (SELECT placed.conv_id, speaker, block, (place - 1) // 512 AS part, place, role = speaker AS own,
+                  CASE WHEN role = speaker THEN '<|assistant|>' WHEN role = 'system' THEN '<|system|>'
+                       WHEN role = '' THEN '<|user|>' ELSE '<|user|> name=' || role END || chr(10) AS head,
+                  said || '<|end|>' AS body
+                FROM placed JOIN speakers ON placed.conv_id IS NOT DISTINCT FROM speakers.conv_id),
+     ended AS (SELECT *, sum(length(head) + length(body) + 1) OVER (
+                 PARTITION BY conv_id, speaker, block, part ORDER BY place)::BIGINT - 1 AS last FROM pieces)
+SELECT conv_id, speaker, block, part, count(*) AS n_turns, count(*) FILTER (own) AS n_own,
+       string_agg(head || body || chr(10), '' ORDER BY place) AS text,
+       coalesce(string_agg((last - length(body)) || '-' || last, ',' ORDER BY place) FILTER (own), '') AS mask
+FROM ended GROUP BY conv_id, speaker, block, part
+"""
+
+
+@query(OP7_SQL)
+def op7_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.rotate(table(spark, sf_dir, "conversations"))
+
+
 OP8_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t,
              regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
