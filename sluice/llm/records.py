@@ -40,6 +40,8 @@ from sluice.llm.tokens import encoder, read_tokenizer
 MASK_DELTA = 0xA282EAD8
 HEAD, CHECK, META, END = "<Q", "<I", "<BBI", b"\n"
 META_BYTES = 6
+#: Files whose places a broadcast may hold, 24 bytes each; beyond, records meet them in a shuffle.
+BROADCAST_FILES = 1_000_000
 PART = r"part-(\d+)-.*?(?:-c(\d+))?\.txt$"
 
 
@@ -192,6 +194,8 @@ def read_records(spark: SparkSession, path: str, id_type: str = "bigint") -> Dat
     totals = index.groupBy("part", "chunk").agg(F.sum("n_tokens").alias("n"))  # a row per file
     order = Window.orderBy("part", "chunk").rowsBetween(Window.unboundedPreceding, -1)
     places = totals.select("part", "chunk", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("file_start"))
+    if totals.count() <= BROADCAST_FILES:
+        places = F.broadcast(places)
     return (
         parsed(spark, path, payloads=True)
         .join(places, ["part", "chunk"])

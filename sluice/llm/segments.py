@@ -12,7 +12,7 @@ BASE = 0x9E3779B97F4A7C15 | 1
 MIX = 0xBF58476D1CE4E5B9
 ASCII_SPACE = b"\t\n\x0b\x0c\r "
 #: Bytes worked on at once, about; the arrays take some 40 times as much.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
 
 
 def powers(length: int):

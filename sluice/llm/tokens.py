@@ -22,8 +22,8 @@ WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: The white space beyond ASCII, as UTF-8.
 WIDE_SPACE = rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
 MARKS = b'!"),.:;?'
-#: Segments a worker remembers, at about 250 bytes each.
-REMEMBERED = 1_000_000
+#: Segments a worker remembers, at about 35 bytes each.
+REMEMBERED = 3_000_000
 #: Texts above this many bytes are cut by the pattern, a part at a time.
 LONG = 1 << 23
 
@@ -40,30 +40,65 @@ def memory() -> dict:
 
 
 class Known:
-    """Ids of segments by their hash, in one growing array."""
+    """Ids of segments by their hash: sorted hashes, a large table and a small one of new ones, and all ids in one array."""
 
-    def __init__(self):
+    MERGED = 100_000
+
+    def __init__(self, kind: str):
+        import numpy as np
+
+        self.tables = [(np.zeros(0, np.uint64), np.zeros(0, np.int64)) for _ in range(2)]
+        self.ends, self.count = np.zeros(1 << 16, np.int64), 0  # of the segments' ids, by number
+        self.ids = np.zeros(1 << 18, kind)
+
+    def numbers(self, hashes):
+        """Numbers of sorted hashes, -1 for new ones."""
         import numpy as np
 
-        self.numbers: dict[int, int] = {}
-        self.firsts, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
-        self.ids, self.used = np.zeros(1 << 18, "<u4"), 0
+        out = np.full(len(hashes), -1, np.int64)
+        for keys, numbers in self.tables:
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+                out = np.where(keys[at] == hashes, numbers[at], out)
+        return out
 
-    def add(self, hashes: list[int], ids: list[list[int]]) -> None:
+    def add(self, hashes, ids: list[list[int]]) -> None:
+        """Takes up new segments, given by sorted hashes."""
         import numpy as np
 
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        first, last = len(self.numbers), len(self.numbers) + len(hashes)
-        end = self.used + int(lengths.sum())
-        while last > len(self.firsts):
-            self.firsts, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.firsts, self.lengths))
+        first, last = self.count, self.count + len(ids)
+        start = int(self.ends[first - 1]) if first else 0
+        ends = start + np.cumsum(lengths)
+        end = int(ends[-1])
+        while last > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
         while end > len(self.ids):
             self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.numbers.update(zip(hashes, range(first, last), strict=True))
-        self.lengths[first:last] = lengths
-        self.firsts[first:last] = self.used + np.cumsum(lengths) - lengths
-        self.ids[self.used : end] = np.fromiter((i for own in ids for i in own), np.uint32, end - self.used)
-        self.used = end
+        self.ends[first:last] = ends
+        self.ids[start:end] = np.fromiter((i for own in ids for i in own), self.ids.dtype, end - start)
+        self.count = last
+        self._merge(1, hashes, np.arange(first, last))
+        if len(self.tables[1][0]) > self.MERGED:
+            self._merge(0, *self.tables[1])
+            self.tables[1] = (hashes[:0], np.zeros(0, np.int64))
+
+    def _merge(self, table: int, hashes, numbers) -> None:
+        import numpy as np
+
+        keys, old = self.tables[table]
+        at = np.searchsorted(keys, hashes)
+        self.tables[table] = (np.insert(keys, at, hashes), np.insert(old, at, numbers))
+
+    def gathered(self, numbers):
+        """Lengths of numbered segments and their ids one after the other."""
+        import numpy as np
+
+        firsts = np.where(numbers > 0, self.ends[numbers - 1], 0)
+        lengths = self.ends[numbers] - firsts
+        after = np.cumsum(lengths)
+        total = int(after[-1]) if len(after) else 0
+        return after, self.ids[np.repeat(firsts - after + lengths, lengths) + np.arange(total)].astype("<u4")
 
 
 class SegmentEncoder:
@@ -84,7 +119,9 @@ class SegmentEncoder:
         self.odd = re.compile(b"|".join([rb"(?:%s)" % WIDE_SPACE, *odd])).search
         self.pattern = re.compile(f"[^{WHITE}]+" if self.words_only else f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
         self.hasher = segments.Hasher()
-        self.known = Known()
+        largest = max([*content["model"]["vocab"].values(), *(t["id"] for t in content["added_tokens"])])
+        self.kind = "<u2" if largest < 1 << 16 else "<u4"
+        self.known = Known(self.kind)
 
     def _encoded(self, parts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)]
@@ -131,24 +168,20 @@ class SegmentEncoder:
             return
         first, last = self._cut(data, offsets)
         hashes, sample, inverse = np.unique(self.hasher(data, first, last), return_index=True, return_inverse=True)
-        hashes, known = hashes.tolist(), self.known
-        new = [i for i, h in enumerate(hashes) if h not in known.numbers]
+        new = np.flatnonzero(self.known.numbers(hashes) < 0)
         content = data.tobytes()
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
+        for at in range(0, len(new), 16_384):
+            some = new[at : at + 16_384]
             places = sample[some]
             parts = [content[a:b].decode() for a, b in zip(first[places].tolist(), last[places].tolist(), strict=True)]
-            known.add([hashes[i] for i in some], self._encoded(parts))
-        numbers = np.fromiter(map(known.numbers.__getitem__, hashes), np.int64, len(hashes))[inverse]
-        lengths = known.lengths[numbers]
-        after = np.cumsum(lengths)
-        ids = known.ids[np.repeat(known.firsts[numbers] - after + lengths, lengths) + np.arange(after[-1] if len(after) else 0)]
+            self.known.add(hashes[some], self._encoded(parts))
+        after, ids = self.known.gathered(self.known.numbers(hashes)[inverse])
         bounds = np.r_[0, after][np.searchsorted(first, offsets)].tolist()
         out = ids.tobytes()
         for a, b in zip(bounds, bounds[1:], strict=False):
             yield out[4 * a : 4 * b]
-        if len(known.numbers) > self.remembered:
-            self.known = Known()
+        if self.known.count > self.remembered:
+            self.known = Known(self.kind)
 
     def __call__(self, texts: list[bytes]) -> Iterator[bytes]:
         odd = [len(t) > LONG or self.odd(t) is not None for t in texts]
