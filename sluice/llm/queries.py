@@ -99,7 +99,7 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_log_frequency_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     held_out = remainder(F.col("doc_id"), 7) == 2
-    scores, model = lm_bloom.score_documents(docs, docs.filter(~held_out))
+    scores, model = lm_bloom.score_documents(docs, ~held_out)
     return scores.select(
         "doc_id",
         held_out.alias("held_out"),
