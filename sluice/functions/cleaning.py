@@ -76,11 +76,35 @@ def word_list(c: Column, keep_empty: bool = False) -> Column:
 
 
 def positional(c: Column) -> Column:
-    """A number as plain digits: no exponent, no trailing zeros, 18 decimals at most."""
-    return F.regexp_replace(c.try_cast("decimal(38,18)").cast("string"), r"(\.\d+?)0+\z", "$1")
+    """A number as plain digits without an exponent: the shortest that read back as the same double.
+
+    NaN and the infinities are NULL, as is text that is no number.
+    """
+    shortest = r"\A(-?)(\d+)\.(\d+)(?:E(-?\d+))?\z"
+    text = c.try_cast("double").cast("string")
+    sign, whole, part = (F.regexp_extract(text, shortest, i) for i in (1, 2, 3))
+    shift = F.coalesce(F.regexp_extract(text, shortest, 4).try_cast("int"), F.lit(0))
+    digits = F.concat(whole, F.regexp_replace(part, r"0+\z", ""))
+    point = F.length(whole) + shift  # where the point stands in the digits
+    moved = (
+        F.when(point <= 0, F.concat(F.lit("0."), F.repeat(F.lit("0"), -point), digits))
+        .when(point >= F.length(digits), F.concat(F.rpad(digits, point, F.lit("0")), F.lit(".0")))
+        .otherwise(F.concat(F.substring(digits, F.lit(1), point), F.lit("."), F.substr(digits, point + 1)))
+    )
+    return F.when(F.rlike(text, F.lit(shortest)), F.when(shift == 0, text).otherwise(F.concat(sign, moved)))
 
 
 def header_value_record(c: Column) -> Column:
-    """``[["h1","h2"],["v1","v2"]]`` as a map from header to value."""
+    """``[["h1","h2"],["v1","v2"]]`` as a map from header to value.
+
+    A header that occurs again replaces the earlier one, missing values are NULL, values
+    beyond the headers and headers that are null are left out, and a reply without headers is NULL.
+    """
     rows = F.from_json(c, "array<array<string>>")
-    return F.map_from_arrays(rows[0], rows[1])
+    headers, values = F.get(rows, F.lit(0)), F.get(rows, F.lit(1))
+    entries = F.transform(headers, lambda h, i: F.struct(h.alias("h"), F.get(values, i).alias("v"), i.alias("i")))
+    last = F.filter(
+        entries,
+        lambda e: e["h"].isNotNull() & ~F.array_contains(F.slice(headers, e["i"] + 2, F.size(headers)), e["h"]),
+    )
+    return F.map_from_entries(F.transform(last, lambda e: F.struct(e["h"], e["v"])))

@@ -8,11 +8,11 @@ reduces them: the exchange carries one short row per text and never its words.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.operators.joins import small_side
-
 # Fixed value: the normalisation constant of the compound score.
 ALPHA = 15
 
@@ -25,12 +25,12 @@ def tokens(text: Column) -> Column:
 def assessed_tokens(texts: DataFrame, lexicon: DataFrame, id_column: str, text_column: str) -> DataFrame:
     """One row per token that the lexicon knows: id, position, token and its scores."""
     spread = texts.select(id_column, F.posexplode(tokens(F.col(text_column))).alias("pos", "token"))
-    return spread.join(small_side(lexicon), "token")
+    return spread.join(lexicon, "token")
 
 
 def _per_text(texts, lexicon, id_column, text_column, aggregates) -> DataFrame:
     spread = texts.select(id_column, F.explode_outer(tokens(F.col(text_column))).alias("token"))
-    return spread.join(small_side(lexicon), "token", "left").groupBy(id_column).agg(*aggregates)
+    return spread.join(lexicon, "token", "left").groupBy(id_column).agg(*aggregates)
 
 
 def _sums_of_valence() -> list[Column]:
@@ -89,16 +89,29 @@ def lexicon_polarity(texts: DataFrame, lexicon: DataFrame, id_column: str, text_
     return _per_text(texts, exact, id_column, text_column, _means_of_assessed())
 
 
-def all_scores(texts: DataFrame, lexicon: DataFrame, id_column: str, text_column: str) -> DataFrame:
-    """Sentiment, polarity and word sample of each text, from one pass over its tokens."""
-    spread = texts.select(id_column, F.posexplode_outer(tokens(F.col(text_column))).alias("pos", "token"))
+def all_scores(
+    texts: DataFrame, lexicon: DataFrame, id_column: str, text_column: str, carry: Sequence[str] = ()
+) -> DataFrame:
+    """Sentiment, polarity and word sample of each text, from one pass over its tokens.
+
+    The columns in ``carry`` come along with the first token of a text, so that they need no join back.
+    """
+    split = texts.select(
+        id_column, *carry, F.posexplode_outer(tokens(F.col(text_column))).alias("pos", "token")
+    )
+    first = F.coalesce(F.col("pos"), F.lit(0)) == 0
+    spread = split.select(
+        id_column, "pos", "token", *([F.when(first, F.struct(*carry)).alias("_carried")] if carry else [])
+    )
     exact = _exact(lexicon, "valence", "polarity", "subjectivity").withColumn("_known", F.lit(True))
     hits = F.collect_list(F.when(F.col("_known"), F.struct("pos", "token")))
-    folded = spread.join(small_side(exact), "token", "left").groupBy(id_column).agg(
-        *_sums_of_valence(), *_means_of_assessed(), F.sort_array(hits).alias("_hits")
+    folded = spread.join(exact, "token", "left").groupBy(id_column).agg(
+        *_sums_of_valence(), *_means_of_assessed(), F.sort_array(hits).alias("_hits"),
+        *([F.first("_carried", ignorenulls=True).alias("_carried")] if carry else []),
     )
     return folded.select(
         id_column,
+        *(F.col("_carried").getField(c).alias(c) for c in carry),
         *_shares_and_compound(),
         "polarity",
         "subjectivity",
@@ -127,3 +140,24 @@ def mean_vector(vectors: DataFrame, id_column: str, vector_column: str) -> DataF
     means = spread.groupBy(id_column, "dim").agg(F.avg("x").alias("m"))
     in_order = F.sort_array(F.collect_list(F.struct("dim", "m")))
     return means.groupBy(id_column).agg(F.transform(in_order, lambda e: e["m"]).alias(vector_column))
+
+
+def document_vector(
+    texts: DataFrame, vectors: DataFrame, id_column: str, text_column: str, token: str = "token", vector: str = "vector"
+) -> DataFrame:
+    """``id_column`` and the mean of the vectors of a text's tokens, each occurrence counted, as
+    ``array<double>``; tokens without a vector are left out, and NULL is the vector of a text without any.
+
+    Tokens are counted per text before they meet their vectors, and the vectors' numbers are summed by
+    (text, dimension) with map-side combining. ``vectors`` has one row per token; of several the largest counts.
+    """
+    words = texts.select(id_column, F.explode(tokens(F.col(text_column))).alias(token))
+    counts = words.groupBy(id_column, token).agg(F.count(F.lit(1)).alias("_n"))
+    one = vectors.groupBy(token).agg(F.max(vector).alias("_vector"))
+    spread = counts.join(one, token).select(id_column, "_n", F.posexplode("_vector").alias("_dim", "_x"))
+    means = spread.groupBy(id_column, "_dim").agg(
+        (F.sum(F.col("_x").cast("double") * F.col("_n")) / F.sum("_n")).alias("_m")
+    )
+    in_order = F.sort_array(F.collect_list(F.struct("_dim", "_m")))
+    found = means.groupBy(id_column).agg(F.transform(in_order, lambda e: e["_m"]).alias(vector))
+    return texts.select(id_column).distinct().join(found, id_column, "left")

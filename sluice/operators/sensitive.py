@@ -97,6 +97,6 @@ def known_hashes(numbers: DataFrame, column: str, key: HashKey) -> DataFrame:
     return _hash_valid(_valid(numbers.select(column), column).distinct(), column, key)
 
 
-def confirm(numbers: DataFrame, column: str, key: HashKey, known: DataFrame, **bounds: int) -> DataFrame:
+def confirm(numbers: DataFrame, column: str, key: HashKey, known: DataFrame, broadcast: bool = False) -> DataFrame:
     """The rows whose number is in the known set, with the hash in place of the number."""
-    return exists_in(hashed(numbers, column, key), known, "hash", **bounds)
+    return exists_in(hashed(numbers, column, key), known, "hash", broadcast)

@@ -237,3 +237,42 @@ def json_records_extract(spark, sf_dir):
     reply = F.struct(F.array(first, second).alias("data"), F.struct(F.lit(99).alias("result_count")).alias("meta"))
     replies = table(spark, sf_dir, "events").select("event_id", F.to_json(reply).alias("reply"))
     return lookups.extract_records(replies, "reply", {"id": "tweet_id", "text": "tweet"})
+
+
+@query(
+    """SELECT event_id // 150 AS reply, CAST(event_id AS VARCHAR) AS tweet_id, event_type AS tweet FROM events"""
+)
+def json_records_all(spark, sf_dir):
+    """Replies of up to 150 objects, all of which are wanted."""
+    item = F.struct(F.col("event_id").cast("string").alias("id"), F.col("event_type").alias("text"))
+    numbered = table(spark, sf_dir, "events").select(F.floor(F.col("event_id") / 150).alias("reply"), item.alias("item"))
+    replies = numbered.groupBy("reply").agg(F.to_json(F.struct(F.collect_list("item").alias("data"))).alias("text"))
+    return lookups.extract_records(replies, "text", {"id": "tweet_id", "text": "tweet"})
+
+
+@query(
+    """SELECT c_custkey, o.* FROM customer LEFT JOIN (
+        SELECT o_custkey, max(o_orderkey) AS last_order, arg_max(o_orderpriority, o_orderkey) AS priority
+        FROM orders GROUP BY o_custkey) AS o ON o_custkey = c_custkey"""
+)
+def lookup_repeated_keys(spark, sf_dir):
+    """A lookup that has a key several times: its last order counts, and no customer is multiplied."""
+    orders = table(spark, sf_dir, "orders")
+    lookup = orders.select(
+        F.col("o_custkey").alias("c_custkey"), F.col("o_orderkey").alias("last_order"), F.col("o_orderpriority").alias("priority")
+    )
+    found = joins.lookup_join(table(spark, sf_dir, "customer").select("c_custkey"), lookup, "c_custkey", order="last_order")
+    known = F.when(F.col("last_order").isNotNull(), F.col("c_custkey")).alias("o_custkey")
+    return found.select("c_custkey", known, "last_order", "priority")
+
+
+@query(
+    """SELECT 'n' || o_orderkey % 1000 AS name, max(o_orderkey) * 2 + 1 AS v FROM orders GROUP BY 1"""
+)
+def lookup_repeated_names(spark, sf_dir):
+    """JSON objects that hold a name twice, and names that come in several objects."""
+    name = F.concat(F.lit("n"), F.col("o_orderkey") % 1000)
+    entry = [F.concat(F.lit('"'), name, F.lit('": {"v": '), F.col("o_orderkey") * 2 + i, F.lit("}")) for i in (0, 1)]
+    text = F.concat(F.lit("{"), entry[0], F.lit(", "), entry[1], F.lit("}"))
+    texts = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("value"))
+    return lookups.explode_lookup(texts, "value", "struct<v:bigint>", "name", order="o_orderkey")

@@ -13,6 +13,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "64MB",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.adaptive.streaming.stateless.enabled": "true",
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
     "spark.sql.streaming.stateStore.providerClass":

@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 from sluice.functions.cleaning import or_null
 
 
+#: How CSV is read, by batch and by stream alike.
+CSV = {"header": True, "multiLine": True, "escape": '"', "mode": "PERMISSIVE", "enforceSchema": True}
+
+
 def all_strings(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
 
@@ -30,7 +34,7 @@ def read_csv(
     """
     return (
         spark.read.schema(schema)
-        .options(header=header, multiLine=multi_line, escape='"', mode="PERMISSIVE", enforceSchema=True)
+        .options(**{**CSV, "header": header, "multiLine": multi_line})
         .csv(path)
     )
 

@@ -16,10 +16,23 @@ def read_lookup(spark: SparkSession, path: str, value_type: str, key: str = "key
     return explode_lookup(spark.read.text(path, wholetext=True), "value", value_type, key)
 
 
-def explode_lookup(texts: DataFrame, column: str, value_type: str, key: str = "key") -> DataFrame:
-    """JSON objects in a column to one row per (name, inner object's fields)."""
-    entries = texts.select(F.explode(F.from_json(column, f"map<string,{value_type}>")).alias(key, "_entry"))
-    return entries.select(key, "_entry.*")
+def explode_lookup(
+    texts: DataFrame, column: str, value_type: str, key: str = "key", order: str | None = None
+) -> DataFrame:
+    """JSON objects in a column to one row per name with its inner object's fields.
+
+    A name that occurs again replaces the earlier entry. Later is what stands later in an
+    object, and of several rows the one with the larger ``order``; rows without an
+    order go by position and then by the larger entry. A maximum needs no sorting of the entries of a
+    name and combines on the map side.
+    """
+    place = F.lit(0) if order is None else F.col(order)
+    entries = texts.select(
+        place.alias("_order"),
+        F.posexplode(F.from_json(column, f"map<string,{value_type}>")).alias("_pos", key, "_entry"),
+    )
+    last = entries.groupBy(key).agg(F.max(F.struct("_order", "_pos", "_entry")).alias("_last"))
+    return last.select(key, "_last._entry.*")
 
 
 def first_match(texts: DataFrame, column: str, value_type: str, order: str, key: str = "key") -> DataFrame:
@@ -54,8 +67,10 @@ def to_map(table: DataFrame, key: str, value: str, order: str, name: str = "look
     return last.agg(F.map_from_entries(F.array_sort(pairs)).alias(name))
 
 
-def extract_records(replies: DataFrame, column: str, fields: dict[str, str], max_results: int = 100) -> DataFrame:
-    """Pick fields of the objects in a reply's ``data`` array, up to ``max_results`` each.
+def extract_records(
+    replies: DataFrame, column: str, fields: dict[str, str], max_results: int | None = None
+) -> DataFrame:
+    """Pick fields of all objects in a reply's ``data`` array, or of the first ``max_results`` if given.
 
     ``fields`` maps JSON names to output names; whatever number of objects is
     there is taken, even when the reply announces another.
@@ -63,5 +78,6 @@ def extract_records(replies: DataFrame, column: str, fields: dict[str, str], max
     inner = ", ".join(f"`{f}`: string" for f in fields)
     data = F.from_json(column, f"struct<data: array<struct<{inner}>>>")["data"]
     others = [c for c in replies.columns if c != column]
-    picked = replies.select(*others, F.explode(F.slice(data, 1, max_results)).alias("_r"))
+    wanted = data if max_results is None else F.slice(data, 1, max_results)
+    picked = replies.select(*others, F.explode(wanted).alias("_r"))
     return picked.select(*others, *(F.col(f"_r.`{f}`").alias(name) for f, name in fields.items()))

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from sluice.functions.hashing import HashKey
 from sluice.operators import sensitive
+from sluice.sources.files import CSV
 
 
 def file_stream(
@@ -25,10 +26,16 @@ def file_stream(
     file_format: str = "parquet",
     glob: str | None = None,
     max_files_per_trigger: int | None = None,
+    max_file_age: str = "36500d",
     **options,
 ) -> DataFrame:
-    """New files of a folder as a stream; ``max_files_per_trigger`` bounds a micro-batch."""
-    reader = spark.readStream.schema(schema).options(**options)
+    """New files of a folder as a stream; ``max_files_per_trigger`` bounds a micro-batch.
+
+    Spark would leave out files that are a week older than the newest one, such as files copied
+    with their old time. Here no file is too old; a shorter ``max_file_age`` keeps the list of files
+    seen short, where files are known to arrive in time.
+    """
+    reader = spark.readStream.schema(schema).option("maxFileAge", max_file_age).options(**options)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
@@ -69,14 +76,14 @@ def encoded(messages: DataFrame, column: str = "value") -> DataFrame:
     return messages.withColumn(column, F.encode(column, "UTF-8"))
 
 
-def confirmed_messages(messages: DataFrame, key: HashKey, known: DataFrame, **bounds: int) -> DataFrame:
+def confirmed_messages(messages: DataFrame, key: HashKey, known: DataFrame, broadcast: bool = False) -> DataFrame:
     """Numbers in ``value binary`` to the hashes of those that are known, as ``value binary``.
 
     No state is kept: each micro-batch is hashed in place and semi-joined with the
     known table. Messages that are not numbers are skipped; the same stream through
     :func:`sluice.operators.sensitive.rejected` shows where they came from.
     """
-    hits = sensitive.confirm(decoded(messages), "value", key, known, **bounds)
+    hits = sensitive.confirm(decoded(messages), "value", key, known, broadcast)
     return encoded(hits.withColumnRenamed("hash", "value"))
 
 
@@ -143,6 +150,11 @@ def object_name(path: Column) -> Column:
 
 
 def arrivals(spark: SparkSession, folder: str, schema: T.StructType, **options) -> DataFrame:
-    """Rows of every new ``.csv`` object below a folder, with the object's name."""
-    stream = file_stream(spark, folder, schema, "csv", glob="*.csv", header=True, escape='"', **options)
+    """Rows of every new ``.csv`` object below a folder, with the object's name.
+
+    The objects are read as :func:`sluice.sources.files.read_csv` reads them, quoted newlines
+    included, and so are those that :func:`sluice.sinks.tables.write_csv` writes. Give a string
+    schema and type the columns afterwards.
+    """
+    stream = file_stream(spark, folder, schema, "csv", glob="*.csv", **{**CSV, **options})
     return stream.select("*", object_name(F.col("_metadata.file_path")).alias("source_file"))

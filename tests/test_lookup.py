@@ -35,28 +35,52 @@ def test_lookup_keeps_all_left_rows(spark, tally):
     assert enrichment.add_area_code(tally.filter("n_listings = 3"), codes, strict=True).count() == 1
 
 
-def test_broadcast_only_below_the_bound(spark):
-    big = spark.range(1000).select(F.col("id").alias("k"), F.lit("x" * 50).alias("t"))
-    assert joins.measured(big) == (1000, 1000 * (16 + 50 + 16))
-    assert joins.small_side(big, max_rows=999) is big
-    assert joins.small_side(big, max_bytes=1000) is big
+def jobs_of(spark, build):
+    """Jobs that ``build`` starts."""
+    group = f"group-{build.__name__}"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        build()
+        return list(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_building_a_lookup_starts_no_job(spark):
     left = spark.range(10).select(F.col("id").alias("k"))
+    big = spark.range(1000).select(F.col("id").alias("k"), F.lit("x" * 50).alias("t"))
+
+    def build():
+        joins.lookup_join(left, big, "k")
+        joins.lookup_or_default(left.select(F.col("k").cast("string")), big.select(F.col("k").cast("string"), "t"), "k", "1")
+        joins.exists_in(left, big, "k")
+        joins.missing_in(left, big, "k")
+
+    assert jobs_of(spark, build) == []
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", -1)
     try:
-        hinted = joins.lookup_join(left, big, "k")
-        shuffled = joins.lookup_join(left, big, "k", max_rows=10)
+        shuffled, hinted = joins.lookup_join(left, big, "k"), joins.lookup_join(left, big, "k", broadcast=True)
         assert "BroadcastHashJoin" in plan(hinted) and "SortMergeJoin" in plan(shuffled)
         assert rows(hinted) == rows(shuffled)
-        assert rows(joins.exists_in(left, big, "k", max_rows=1)) == rows(joins.exists_in(left, big, "k"))
+        assert rows(joins.exists_in(left, big, "k", broadcast=True)) == rows(joins.exists_in(left, big, "k"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_repeated_keys_of_a_lookup_count_once(spark):
+    left = spark.createDataFrame([("a",), ("a",), ("b",)], "k string")
+    lookup = spark.createDataFrame([("a", 1, 9, None), ("a", 2, 5, "x"), ("a", 2, 5, "y"), ("c", 1, 1, "z")], "k string, o int, v int, t string")
+    assert rows(joins.lookup_join(left, lookup, "k", order="v")) == sorted([("a", 1, 9, None)] * 2 + [("b", None, None, None)], key=repr)
+    assert rows(joins.lookup_join(left, lookup, "k", order="o")) == sorted([("a", 2, 5, "y")] * 2 + [("b", None, None, None)], key=repr)
+    assert rows(joins.lookup_join(left, lookup.select("k"), "k", found="f")) == sorted([("a", True)] * 2 + [("b", False)])
 
 
-def test_measured_size_of_nested_values(spark):
-    df = spark.createDataFrame([(["ab", "c"], None)], "a array<string>, s string")
-    count, size = joins.measured(df)
-    assert count == 1 and size > 32
-    assert joins.measured(df.limit(0)) == (0, 0)
+def test_a_name_twice_in_json_is_its_last_entry(spark):
+    texts = spark.createDataFrame([(1, '{"a": {"v": 1}, "b": {"v": 2}, "a": {"v": 3}}'), (0, '{"b": {"v": 9}}')], "o int, t string")
+    assert rows(lookups.explode_lookup(texts, "t", "struct<v:int>", order="o")) == [("a", 3), ("b", 2)]
+    assert rows(lookups.explode_lookup(texts.filter("o = 1"), "t", "struct<v:int>")) == [("a", 3), ("b", 2)]
 
 
 def test_semi_and_anti_split_the_left_side(spark):
@@ -129,6 +153,8 @@ def test_records_of_replies(spark):
     out = lookups.extract_records(df, "reply", {"id": "tweet_id", "text": "tweet"})
     assert rows(out) == [(7, "1", "a"), (7, "2", None)]
     assert lookups.extract_records(df, "reply", {"id": "tweet_id"}, max_results=1).count() == 1
+    many = spark.createDataFrame([('{"data":[' + ",".join(f'{{"id":"{i}"}}' for i in range(150)) + "]}",)], "reply string")
+    assert lookups.extract_records(many, "reply", {"id": "i"}).count() == 150
 
 
 def test_hot_left_keys_are_split_beyond_the_bound(spark):
@@ -145,13 +171,12 @@ def test_hot_left_keys_are_split_beyond_the_bound(spark):
     try:
         key = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k")
         left = spark.range(0, 60_000, 1, 6).select(key, F.sha2(F.col("id").cast("string"), 256).alias("t"))
-        known = spark.range(0, 60_000, 7).select(F.col("id").alias("k"))
+        known = spark.range(0, 60_000, 7).select(F.col("id").alias("k"), F.lit("w").alias("w"))
         for join in (joins.exists_in, joins.missing_in, joins.lookup_join):
-            out = join(left, known, "k", max_rows=1)
-            expected = out.count()
+            out = join(left, known, "k")
             out.collect()
             assert "skew=true" in plan(out), join.__name__
-            assert expected == join(left, known, "k").count()
+            assert out.count() == join(left, known, "k", broadcast=True).count()
     finally:
         for name in small:
             spark.conf.unset(name)
