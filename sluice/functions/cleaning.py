@@ -105,6 +105,7 @@ def header_value_record(c: Column) -> Column:
     entries = F.transform(headers, lambda h, i: F.struct(h.alias("h"), F.get(values, i).alias("v"), i.alias("i")))
     last = F.filter(
         entries,
-        lambda e: e["h"].isNotNull() & ~F.array_contains(F.slice(headers, e["i"] + 2, F.size(headers)), e["h"]),
+        lambda e: e["h"].isNotNull()
+        & ~F.coalesce(F.array_contains(F.slice(headers, e["i"] + 2, F.size(headers)), e["h"]), F.lit(False)),
     )
     return F.map_from_entries(F.transform(last, lambda e: F.struct(e["h"], e["v"])))

@@ -15,7 +15,9 @@ Two physical shapes give the same result, and the width decides:
 * wide: ``explode`` the labels and use Spark's ``pivot``, whose work per row does
   not grow with the number of columns, at the price of a second exchange.
 
-In both, rows of a hot key are combined before the first exchange.
+In both, rows of a hot key are combined before the first exchange. String values are first
+reduced to one row per key and label, with the list or the string of each value field and the sums
+of the numeric ones; only these rows meet the work per cell.
 """
 
 from __future__ import annotations
@@ -191,21 +193,15 @@ def pivot(
     strings = [c for v, c in value_col.items() if kind[v] != "sum"]
     narrow = len(cells) <= narrow_cells
     if strings or (not narrow and len(label_cols) > 1):
-        numbers = [c for c in value_col.values() if c not in strings]
         source = source.select(
             *key_cols, *value_col.values(), F.explode(F.array_distinct(F.array(*label_cols))).alias("__p")
         )
         label_cols = ["__p"]
-        if strings:
-            # Distinct strings by hash aggregation first. Lists and minima of strings
-            # need sorting or object buffers, which then see what the cells will hold
-            # instead of all rows of a key.
-            source = source.groupBy(*key_cols, "__p", *strings).agg(
-                F.count(F.lit(1)).alias("__n"), *(F.sum(c).alias(c) for c in numbers)
-            )
 
     if not value_col or not cells:
         wide = source.select(*key_cols).distinct()
+    elif strings:
+        wide = _reduced_pivot(source, key_cols, cells, kind, value_col, narrow)
     elif narrow:
         wide = _conditional_aggregates(source, key_cols, label_cols, cells, kind, value_col)
     else:
@@ -232,7 +228,7 @@ def _parts(kind: str, value: Column, present: Column) -> dict[str, Column]:
         return {"s": F.sum(value)}
     if kind == "single":
         return {"lo": F.min(value), "hi": F.max(value)}
-    return {"list": F.collect_list(value), "n": F.count(present)}  # distinct already
+    return {"list": F.collect_set(value), "n": F.count(present)}
 
 
 def _cell(i: int, cell: Cell, kind: str) -> Column:
@@ -247,6 +243,29 @@ def _cell(i: int, cell: Cell, kind: str) -> Column:
     return F.when(low == high, high).when(low.isNotNull(), several)
 
 
+def _reduced_pivot(source, key_cols, cells, kind, value_col, narrow) -> DataFrame:
+    """One row per key and label first; then each cell has one row that is its own."""
+    parts = {
+        f"__{c}_{suffix}": (v, suffix, part)
+        for v, c in value_col.items()
+        for suffix, part in _parts(kind[v], F.col(c), F.lit(1)).items()
+    }
+    labels = list(dict.fromkeys(c.label for c in cells))
+    reduced = source.groupBy(*key_cols, "__p").agg(*(part.alias(name) for name, (_, _, part) in parts.items()))
+    index = {(c.label, c.value): i for i, c in enumerate(cells)}
+    if narrow:
+        aggregates = [
+            F.first(F.when(F.col("__p") == lb, F.col(name)), ignorenulls=True).alias(f"__c{index[lb, v]}_{suffix}")
+            for lb in labels
+            for name, (v, suffix, _) in parts.items()
+        ]
+        return reduced.groupBy(*key_cols).agg(*aggregates)
+    firsts = [F.first(name, ignorenulls=True).alias(f"a{i}") for i, name in enumerate(parts)]
+    grouped = reduced.groupBy(*key_cols).pivot("__p", labels).agg(*firsts)
+    names = [f"__c{index[lb, v]}_{suffix}" for lb in labels for v, suffix, _ in parts.values()]
+    return grouped.toDF(*key_cols, *names)
+
+
 def _conditional_aggregates(source, key_cols, label_cols, cells, kind, value_col) -> DataFrame:
     aggregates = []
     for i, cell in enumerate(cells):
@@ -335,11 +354,16 @@ def pivot_schema(df: DataFrame, keys: Sequence[str], pivots: Sequence[str], valu
     return fixed.unionByName(cells)
 
 
-def schema_text(fields: DataFrame) -> DataFrame:
+def schema_text(fields: DataFrame, max_fields: int | None = None) -> DataFrame:
     """One row with the ``name:TYPE,...`` text of :func:`pivot_schema` rows, keys first.
 
-    The grouped list has one entry per output column, never one per input row.
+    The grouped list has one entry per output column, and more than ``max_fields`` (Spark's
+    ``pivotMaxValues`` by default) are an error, found by a job that stops there.
     """
+    if max_fields is None:
+        max_fields = int(fields.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    if fields.select("name", "type").distinct().limit(max_fields + 1).count() > max_fields:
+        raise PivotError(f"more than {max_fields} fields")
     entry = F.struct("is_cell", F.concat_ws(":", "name", "type").alias("entry"))
     return fields.agg(
         F.concat_ws(",", F.transform(F.sort_array(F.collect_set(entry)), lambda e: e["entry"])).alias("schema")

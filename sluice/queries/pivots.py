@@ -51,7 +51,8 @@ def pivot_multi_field(spark, sf_dir):
     joined = lines(spark, sf_dir).join(
         table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus"), F.expr("l_orderkey = o_orderkey")
     )
-    return pv.pivot(joined, ["l_returnflag"], ["l_linestatus", "o_orderstatus"], ["qty"])
+    labels = {*pv.pivot_labels(lines(spark, sf_dir), ["l_linestatus"]), *pv.pivot_labels(table(spark, sf_dir, "orders"), ["o_orderstatus"])}
+    return pv.pivot(joined, ["l_returnflag"], ["l_linestatus", "o_orderstatus"], ["qty"], labels=sorted(labels))
 
 
 @query(
@@ -74,7 +75,8 @@ def pivot_multi_value(spark, sf_dir):
 def pivot_multi_key(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     joined = priced_orders(spark, sf_dir).join(customers, F.expr("o_custkey = c_custkey"))
-    return pv.pivot(joined, ["c_mktsegment", "c_nationkey"], ["o_orderstatus"], ["cents"])
+    labels = pv.pivot_labels(table(spark, sf_dir, "orders"), ["o_orderstatus"])
+    return pv.pivot(joined, ["c_mktsegment", "c_nationkey"], ["o_orderstatus"], ["cents"], labels=labels)
 
 
 # Wide enough that the labels are exploded: 50 sizes times two values.
@@ -214,3 +216,49 @@ def pivot_schema_text(spark, sf_dir):
 )
 def pivot_distinct_labels(spark, sf_dir):
     return pv.distinct_labels(table(spark, sf_dir, "orders"), ["o_orderpriority", "o_orderstatus"])
+
+
+@query(
+    "SELECT o_custkey, "
+    + ", ".join(
+        f"""array_to_string(list_sort(list(DISTINCT {c}) FILTER (WHERE o_orderstatus = '{s}')), '|') AS "{s}_{n}\""""
+        for s in "FOP" for c, n in (("o_orderpriority", "o_orderpriority"), ("left(o_orderpriority, 1)", "grade"))
+    )
+    + ", " + ", ".join(_sum(CENTS, f"o_orderstatus = '{s}'") + f' AS "{s}_cents"' for s in "FOP")
+    + " FROM orders GROUP BY o_custkey"
+)
+def pivot_two_strings(spark, sf_dir):
+    """Two string fields and a number: each string field has its own distinct list."""
+    rows = priced_orders(spark, sf_dir).withColumn("grade", F.left("o_orderpriority", F.lit(1)))
+    labels = pv.pivot_labels(rows, ["o_orderstatus"])
+    wide = pv.pivot(rows, ["o_custkey"], ["o_orderstatus"], ["o_orderpriority", "grade", "cents"], labels=labels)
+    lists = [F.array_join(c, "|").alias(c) if not c.endswith("_cents") else F.col(c) for c in wide.columns[1:]]
+    return wide.select("o_custkey", *lists)
+
+
+@query(
+    "SELECT l_returnflag, "
+    + ", ".join(
+        f"""array_to_string(list_sort(list(DISTINCT p_brand) FILTER (WHERE p_size = {s})), '|') AS "{s}_p_brand\""""
+        for s in range(1, 51)
+    )
+    + " FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_returnflag"
+)
+def pivot_wide_strings(spark, sf_dir):
+    """Fifty lists of strings per key, from one row per key and label."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_brand")
+    joined = lines(spark, sf_dir).join(parts, F.expr("l_partkey = p_partkey"))
+    wide = pv.pivot(joined, ["l_returnflag"], ["p_size"], ["p_brand"], labels=pv.pivot_labels(parts, ["p_size"]))
+    return wide.select("l_returnflag", *(F.array_join(c, "|").alias(c) for c in wide.columns[1:]))
+
+
+@query(
+    """SELECT 'l_returnflag' AS name, 'string' AS type UNION ALL
+    SELECT l_linestatus || '_qty', 'bigint' FROM (SELECT DISTINCT l_linestatus FROM lineitem) UNION ALL
+    SELECT l_linestatus || '_l_tax', 'double' FROM (SELECT DISTINCT l_linestatus FROM lineitem)"""
+)
+def pivot_struct_from_text(spark, sf_dir):
+    """The schema text of a pivot read back as a schema, its fields as rows."""
+    text = pivot_schema_text(spark, sf_dir).first()["schema"]
+    fields = [(f.name, f.dataType.simpleString()) for f in pv.struct_from_text(text).fields]
+    return spark.createDataFrame(fields, "name string, type string")

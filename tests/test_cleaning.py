@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import datetime
+import math
+import random
 import re
 
 import pytest
@@ -164,3 +166,28 @@ def test_one_match_per_line(spark):
     parsed = listings.good_rows(listings.parse_lines(df), keep_nulls=True)
     plan = parsed._sc._jvm.PythonSQLUtils.explainString(parsed._jdf.queryExecution(), "simple")
     assert plan.count("regexp_extract(") <= 16
+
+
+def test_positional_keeps_every_finite_double(spark):
+    values = [0.0, -0.0, 1e25, 1e-20, -1.5e-7, 123456789.125, 1.7976931348623157e308, 5e-324, 0.1, 1e7, 12345678.9, -3.25, 1e21, 1.0]
+    values += [random.Random(1).uniform(-1, 1) * 10.0**e for e in range(-300, 300, 7)]
+    df = spark.createDataFrame([(v,) for v in [*values, math.nan, math.inf, -math.inf, None]], "v double")
+    got = [r[0] for r in df.select(cleaning.positional(F.col("v"))).collect()]
+    assert [float(t) for t in got[: len(values)]] == values
+    assert not any("e" in t.lower() for t in got[: len(values)]) and got[len(values) :] == [None] * 4
+
+
+def test_replies_with_odd_headers(spark):
+    cases = {
+        '[["a","b"],["1","2"]]': {"a": "1", "b": "2"},
+        '[["a","b","a"],["1","2","3"]]': {"b": "2", "a": "3"},
+        '[["a","b"]]': {"a": None, "b": None},
+        '[["a","b"],["1"]]': {"a": "1", "b": None},
+        '[["a"],["1","2"]]': {"a": "1"},
+        '[["a",null],["1","2"]]': {"a": "1"},
+        "[]": None,
+        "no json": None,
+        '{"a": 1}': None,
+    }
+    df = spark.createDataFrame([(t,) for t in cases], "t string")
+    assert [r[0] for r in df.select(cleaning.header_value_record(F.col("t"))).collect()] == list(cases.values())

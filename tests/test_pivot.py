@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import decimal
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -170,3 +172,28 @@ def test_agrees_with_a_plain_fold(spark, data, limit):
     out = pv.pivot(frame(spark, data), ["name"], ["gender", "state"], ["number"], narrow_cells=limit)
     got = {r["name"]: {k: v for k, v in r.asDict().items() if k != "name" and v is not None} for r in out.collect()}
     assert got == expected
+
+
+def test_two_string_fields_have_their_own_lists(spark):
+    df = spark.createDataFrame(
+        [("k", "L", "x", "1", 1), ("k", "L", "x", "2", 2), ("k", "L", "y", "1", None), ("k", "M", None, None, 5)],
+        "k string, p string, a string, b string, n int",
+    )
+    for narrow in (pv.NARROW_CELLS, 0):
+        row = pv.pivot(df, ["k"], ["p"], ["a", "b", "n"], narrow_cells=narrow).first().asDict()
+        assert row == {"k": "k", "L_a": ["x", "y"], "L_b": ["1", "2"], "L_n": 3, "M_a": [], "M_b": [], "M_n": 5}
+
+
+def test_strings_do_not_change_the_type_of_sums(spark):
+    df = spark.createDataFrame([("k", "L", "x", decimal.Decimal("1.50"))], "k string, p string, a string, d decimal(10,2)")
+    alone = pv.pivot(df, ["k"], ["p"], ["d"]).schema["L_d"].dataType
+    for narrow in (pv.NARROW_CELLS, 0):
+        assert pv.pivot(df, ["k"], ["p"], ["a", "d"], narrow_cells=narrow).schema["L_d"].dataType == alone
+
+
+def test_schema_text_refuses_too_many_fields(spark):
+    df = spark.createDataFrame([("k", str(i), 1) for i in range(5)], "k string, p string, n int")
+    fields = pv.pivot_schema(df, ["k"], ["p"], ["n"])
+    assert pv.schema_text(fields).first()[0].startswith("k:STRING,0_n:INTEGER")
+    with pytest.raises(pv.PivotError, match="more than 5"):
+        pv.schema_text(fields, max_fields=5)
