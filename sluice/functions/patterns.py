@@ -1,68 +1,77 @@
-"""Reading the groups of a long regular expression with one match per line."""
+"""Reading the groups of comma-separated lines in time linear in their length.
+
+A pattern whose groups may themselves hold commas can be matched in many ways, and a regular
+expression tries them one after the other. Here a line is cut at its commas once, and the groups are
+resolved from the right: the last place where the rest of the pattern still fits is found for one
+group after the other, each by one pass over the parts. As earlier groups are greedy, these last
+places are those of the first match.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _MARK = "\x1f\x1e\x1f"
 
 
-def _bound(c: Column, use) -> Column:
+def bound(c: Column, use: Callable[[Column], Column]) -> Column:
     """``use(c)`` with ``c`` computed once, however often ``use`` reads it."""
     return F.get(F.transform(F.array(c), use), F.lit(0))
 
 
-def _rewritten(line: Column, pattern: str, groups: int) -> Column:
-    """The groups of the first match with a mark before each, or the line as it was."""
-    marked_groups = "".join(f"{_MARK}${i}" for i in range(1, groups + 1))
-    return F.regexp_replace(line, pattern, marked_groups)
+def part(parts: Column, i: Column) -> Column:
+    """A part by its number; NULL beyond the ends."""
+    return F.when(i >= 0, F.get(parts, i))
+
+
+def places(parts: Column, condition: Callable[[Column], Column]) -> Column:
+    """The numbers of the parts that meet a condition."""
+    return F.filter(F.sequence(F.lit(0), F.size(parts) - 1), lambda i: F.coalesce(condition(i), F.lit(False)))
+
 
+def last_place(parts: Column, condition: Callable[[Column], Column]) -> Column:
+    return F.array_max(places(parts, condition))
 
-def first_match_groups(
+
+def joined(parts: Column, first: Column, end: Column) -> Column:
+    """The text from part ``first`` up to, but without, part ``end``."""
+    return F.array_join(F.slice(parts, first + 1, end - first), ",")
+
+
+def line_groups(
     line: Column,
-    pattern: str,
     groups: int,
-    possible: Column | None = None,
-    plain: str | None = None,
+    resolve: Callable[[Column], Column],
+    possible: Column,
+    plain: str,
     maybe_plain: Column | None = None,
 ) -> Column:
     """The groups of the first match anywhere in ``line`` as an array, NULL without a match.
 
-    ``regexp_extract`` would run the pattern once per group. Here the line is
-    rewritten once into its groups with a mark between them, then split. A line
-    that itself holds the mark is read group by group, so no text is misread.
+    ``resolve``   from the line's parts between commas to the groups, in linear time.
+    ``possible``  a cheap condition that every matching line meets; others are not tried.
+    ``plain``     a pattern for whole lines without ambiguity, tried first: where it matches, it must
+                  give the groups that ``resolve`` gives. Its fields cannot overlap, so it needs no
+                  backtracking. With ``maybe_plain`` only lines that meet this condition are tried.
 
-    ``possible``  a cheap condition that every matching line meets. Lines that do not
-                  are not tried, which spares the backtracking they would cause.
-    ``plain``     a pattern for whole lines without ambiguity: where it matches, it
-                  must give the groups that ``pattern`` gives. It is tried first; as
-                  its fields cannot overlap, it needs no backtracking. With
-                  ``maybe_plain`` only lines that meet this condition are tried.
-
-    Select the result through :func:`evaluated_once` when several columns read it.
+    ``regexp_extract`` would run the plain pattern once per group: the line is rewritten once into
+    its groups with a mark between them, then split. A line that itself holds the mark is
+    resolved, so no text is misread. Select the result through :func:`evaluated_once` when several
+    columns read it.
     """
-
-    def split(text: Column) -> Column:
-        return F.slice(F.split(text, _MARK), 2, groups)
-
-    def is_rewritten(text: Column) -> Column:
-        return F.startswith(text, F.lit(_MARK))
-
-    anywhere = _rewritten(line, rf"(?s)\A.*?{pattern}.*\z", groups)
-    general = _bound(anywhere, lambda text: F.when(is_rewritten(text), split(text)))
-    if plain is None:
-        quick = general
-    else:
-        whole = _rewritten(line, rf"(?s)\A{plain}\z", groups)
-        quick = _bound(whole, lambda text: F.when(is_rewritten(text), split(text)).otherwise(general))
-        quick = quick if maybe_plain is None else F.when(maybe_plain, quick).otherwise(general)
-    one_by_one = F.when(
-        F.rlike(line, F.lit(f"(?s){pattern}")),
-        F.array(*(F.regexp_extract(line, f"(?s){pattern}", i) for i in range(1, groups + 1))),
+    general = bound(F.split(line, ","), resolve)
+    marked = F.regexp_replace(line, rf"(?s)\A{plain}\z", "".join(f"{_MARK}${i}" for i in range(1, groups + 1)))
+    quick = bound(
+        marked,
+        lambda text: F.when(F.startswith(text, F.lit(_MARK)), F.slice(F.split(text, _MARK), 2, groups)).otherwise(general),
     )
-    found = F.when(F.contains(line, F.lit(_MARK)), one_by_one).otherwise(quick)
-    return found if possible is None else F.when(possible, found)
+    plain_allowed = ~F.contains(line, F.lit(_MARK))
+    if maybe_plain is not None:
+        plain_allowed = plain_allowed & maybe_plain
+    return F.when(possible, F.when(plain_allowed, quick).otherwise(general))
 
 
 def evaluated_once(c: Column) -> Column:

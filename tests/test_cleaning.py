@@ -4,12 +4,12 @@ import datetime
 import math
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from sluice.functions import cleaning
-from sluice.functions.patterns import first_match_groups
 from sluice.functions.regions import REGIONS, state_to_region
 from sluice.operators import listings, scored
 
@@ -136,6 +136,55 @@ def test_scored_lines_read_like_the_pattern(spark):
         assert got[i] == (match.groups() if match else (None,) * 10), line
 
 
+def mixed_lines(good: str, pieces: list[str], seed: int, count: int) -> list[str]:
+    """Lines near a good one: parts exchanged, repeated, left out, put in."""
+    rnd, lines = random.Random(seed), []
+    for _ in range(count):
+        parts = good.split(",")
+        for _ in range(rnd.randrange(5)):
+            at = rnd.randrange(len(parts))
+            action = rnd.randrange(3)
+            if action == 0:
+                parts[at] = rnd.choice(pieces)
+            elif action == 1:
+                parts.insert(at, rnd.choice(pieces))
+            elif len(parts) > 1:
+                del parts[at]
+        lines.append(",".join(parts))
+    return lines
+
+
+def test_many_lines_read_like_the_patterns(spark):
+    pieces = ["", "1", "12", "1234", "x", "Queens", "Ab", "A1", "40.5", "-73.9", "x12", "9y", "a\nb", "Bx", "0.5", "[", "]", "q[a]", "'[b]'", "[c]z", "7e-05", ".5", "[]", "x[", "]y"]
+    lines = mixed_lines(GOOD, pieces, 3, 1500)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "i int, value string")
+    raw = df.select("i", listings.line_fields(F.col("value")).alias("f"))
+    matched = 0
+    for r in raw.collect():
+        match = re.search(f"(?s){listings.LINE_PATTERN}", lines[r["i"]], re.ASCII)
+        assert r["f"] == (list(match.groups()) if match else None), lines[r["i"]]
+        matched += match is not None
+    assert 100 < matched < 1400
+    lines = mixed_lines(SCORED, pieces, 4, 1500)
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "i int, value string")
+    matched = 0
+    for r in scored.scored_lines(df).collect():
+        match = re.search(f"(?s){scored.SCORED_PATTERN}", lines[r["i"]], re.ASCII)
+        assert tuple(r)[1:] == (match.groups() if match else (None,) * 10), lines[r["i"]]
+        matched += match is not None
+    assert 100 < matched < 1400
+
+
+def test_odd_lines_take_linear_time(spark):
+    bad = [("a,1234," * 5000,), ("0.5," * 10_000 + "[x],",), ("1,0.5," * 5000 + "[a],'[b],[c]x",), ("1," * 10_000,)]
+    bad += [(GOOD.replace("Flat", "a,1234,Q,R" * 2500).replace("40.5", "x"),)]
+    df = spark.createDataFrame(bad, "value string").coalesce(1)
+    began = time.perf_counter()
+    assert not any(r["_parse_ok"] for r in listings.parse_lines(df).collect())
+    assert all(r["neg"] is None for r in scored.scored_lines(df).collect())
+    assert time.perf_counter() - began < 20
+
+
 def test_scored_types(spark):
     df = spark.createDataFrame([(SCORED,), (SCORED_LINES[1],), ("",)], "value string")
     one, two, three = scored.type_scored(scored.scored_lines(df)).collect()
@@ -154,12 +203,6 @@ def test_routing_bounds(spark, score, label):
     assert scored.route(df).count() == (label != "neutral")
 
 
-def test_groups_without_shortcuts(spark):
-    df = spark.createDataFrame([("a1b2",), ("zz",), (None,)], "v string")
-    got = [r[0] for r in df.select(first_match_groups(F.col("v"), r"(\d)([a-z])", 2)).collect()]
-    assert got == [["1", "b"], None, None]
-
-
 def test_one_match_per_line(spark):
     """The pattern stands once in the plan, not once per column and filter."""
     df = spark.createDataFrame([(GOOD,)], "value string")
