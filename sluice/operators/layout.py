@@ -5,15 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def spread(source: DataFrame) -> DataFrame:
-    """A source with fewer splits than cores, dealt out over all cores.
+def spread(source: DataFrame, partitions: int, below: int = 256 * 1024 * 1024) -> DataFrame:
+    """A small source dealt out to ``partitions`` tasks, for work whose cost per row is far above that of moving it.
 
-    For work whose cost per row is far above that of moving the row, such as long
-    patterns over text, on one or a few small files. A source with as many splits as
-    cores, as any large one has, is returned as it is and nothing is shuffled.
-
-    Call it on what was just read: the number of splits of a scan is known without
-    running anything.
+    A few small files that cannot be split would be read by as few tasks. The caller decides
+    for how many; a source of ``below`` bytes or more, by Spark's estimate, is returned as it is,
+    so that no large one is ever shuffled for this. Nothing is run.
     """
-    cores = source.sparkSession.sparkContext.defaultParallelism
-    return source if source.rdd.getNumPartitions() >= cores else source.repartition(cores)
+    size = source._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return source.repartition(partitions) if int(size) < below else source

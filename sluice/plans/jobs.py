@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.functions import cleaning
 from sluice.functions.hashing import HashKey
@@ -17,101 +19,121 @@ from sluice.sources.tables import validate_table, validated_projection
 from sluice.streaming import streams
 
 
-def load_listings(spark: SparkSession, csv_path: str, listings_path: str, counts_path: str, multi_line: bool = True):
+class Load(NamedTuple):
+    """The written rows, what was derived from them, and the rows that could not be read, as they came.
+
+    ``table`` and ``dead_letters`` are the parts ``readable=true`` and ``readable=false`` of one folder.
+    """
+
+    table: DataFrame
+    counts: DataFrame
+    dead_letters: DataFrame
+
+
+def _load(
+    parsed: DataFrame, line: Column, path: str, counts_path: str, derive: Callable[[DataFrame], DataFrame],
+    keep_nulls: bool = False,
+) -> Load:
+    """Parsed rows to a folder, unreadable ones beside them with their text, in one write."""
+    fields = listings.LISTING.fieldNames()
+    readable = F.col(listings.PARSE_OK)
+    rows = parsed.select(*(F.when(readable, F.col(c)).alias(c) for c in fields), readable.alias("readable"),
+                         F.when(~readable, line).alias("line"))
+    written = sinks.overwrite(rows, path, partition_by=["readable"])
+    table = (written if keep_nulls else written.filter("readable")).select(*fields)
+    counts = sinks.overwrite(derive(table), counts_path)
+    return Load(table, counts, written.filter("NOT readable").select("line"))
+
+
+def _load_csv(spark, csv_path, listings_path, counts_path, derive, multi_line) -> Load:
+    raw = files.read_csv(spark, csv_path, listings.RAW_LISTING, multi_line)
+    whole = raw.withColumn("_line", F.to_json(F.struct(*raw.columns)))
+    return _load(listings.listing_clean(whole), F.col("_line"), listings_path, counts_path, derive)
+
+
+def load_listings(spark: SparkSession, csv_path: str, listings_path: str, counts_path: str, multi_line: bool = True) -> Load:
     """Listing CSV to a typed table and the listings per neighbourhood.
 
-    Returns both tables. Unreadable rows are left out; read them with
-    :func:`sluice.operators.listings.dead_letters`.
+    Rows that cannot be read are dead letters, as JSON of their fields. With ``multi_line`` a file
+    is read by one task: keep files moderate, or switch it off where no field holds a newline.
     """
-    typed = listings.listing_clean(files.read_csv(spark, csv_path, listings.RAW_LISTING, multi_line))
-    return sinks.overwrite_both(
-        listings.good_rows(typed),
-        listings_path,
-        lambda table: count_per_key(table, "neighbourhood"),
-        counts_path,
-        listings.LISTING,
-    )
+    return _load_csv(spark, csv_path, listings_path, counts_path, lambda t: count_per_key(t, "neighbourhood"), multi_line)
 
 
 def load_listing_lines(spark: SparkSession, path: str, header: str, listings_path: str, counts_path: str,
-                       keep_nulls: bool = False):
+                       keep_nulls: bool = False) -> Load:
     """The same from physical lines by pattern; ``keep_nulls`` loads unreadable lines as
-    all-NULL rows, which then count under the NULL neighbourhood."""
+    all-NULL rows as well, which then count under the NULL neighbourhood."""
     parsed = listings.parse_lines(files.read_lines(spark, path, header))
-    return sinks.overwrite_both(
-        listings.good_rows(parsed, keep_nulls),
-        listings_path,
-        lambda table: count_per_key(table, "neighbourhood"),
-        counts_path,
-        listings.LISTING,
-    )
+    return _load(parsed, F.col("_line"), listings_path, counts_path, lambda t: count_per_key(t, "neighbourhood"), keep_nulls)
 
 
 def load_with_area_statistics(
     spark: SparkSession, csv_path: str, listings_path: str, counts_path: str,
     lookup: DataFrame, replies: DataFrame, variables: Mapping[str, str], multi_line: bool = True,
-):
+) -> Load:
     """Listing CSV to a typed table and neighbourhood counts with area statistics."""
-    typed = listings.listing_clean(files.read_csv(spark, csv_path, listings.RAW_LISTING, multi_line))
     statistics = enrichment.area_statistics(replies, variables)
 
     def supplement(table: DataFrame) -> DataFrame:
         return enrichment.enrich_two_hop(count_per_key(table, "neighbourhood"), lookup, statistics)
 
-    return sinks.overwrite_both(
-        listings.good_rows(typed), listings_path, supplement, counts_path, listings.LISTING
-    )
+    return _load_csv(spark, csv_path, listings_path, counts_path, supplement, multi_line)
 
 
 def load_with_demographics(
     spark: SparkSession, csv_path: str, listings_path: str, counts_path: str, raw_demographics: DataFrame,
     multi_line: bool = True,
-):
+) -> Load:
     """Listing CSV to a typed table and neighbourhood counts with demographics."""
-    typed = listings.listing_clean(files.read_csv(spark, csv_path, listings.RAW_LISTING, multi_line))
     found = enrichment.demographics(raw_demographics)
 
     def supplement(table: DataFrame) -> DataFrame:
         return enrichment.enrich_one_hop(count_per_key(table, "neighbourhood"), found)
 
-    return sinks.overwrite_both(
-        listings.good_rows(typed), listings_path, supplement, counts_path, listings.LISTING
-    )
+    return _load_csv(spark, csv_path, listings_path, counts_path, supplement, multi_line)
 
 
-def score_texts(texts: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """``(tweet_id, tweet)`` to the columns of a scored text, the vector left out.
+def score_texts(texts: DataFrame, lexicon: DataFrame, vectors: DataFrame | None = None) -> DataFrame:
+    """``(tweet_id, tweet)`` to the columns of a scored text, one row per row whatever the ids.
 
-    The texts are split and matched once for all scores; only ids and scores go through
-    the exchange of the aggregate. The texts are then joined back by id, which moves
-    them once. A text table bucketed by its id needs neither exchange.
+    Each row has a key of its own, and its id and text travel with its first token, so the texts
+    move once and nothing is joined back. ``vectors`` (``token, vector``) adds the mean vector of each
+    text's tokens as ``tok2vec``; it depends on the text alone and is joined by the text's hash.
     """
-    clean = texts.withColumn("tweet", cleaning.ascii_only(F.col("tweet")))
-    return clean.join(scoring.all_scores(clean, lexicon, "tweet_id", "tweet"), "tweet_id")
+    clean = texts.select(
+        F.monotonically_increasing_id().alias("_row"), "tweet_id", cleaning.ascii_only(F.col("tweet")).alias("tweet")
+    )
+    scores = scoring.all_scores(clean, lexicon, "_row", "tweet", carry=["tweet_id", "tweet"]).drop("_row")
+    if vectors is None:
+        return scores.withColumn("tok2vec", F.lit(None).cast("array<double>"))
+    hashed = clean.select(F.sha2("tweet", 256).alias("_text"), "tweet")
+    means = scoring.document_vector(hashed, vectors, "_text", "tweet").select("_text", F.col("vector").alias("tok2vec"))
+    return scores.join(means, F.sha2("tweet", 256) == F.col("_text"), "left").drop("_text")
 
 
-def hand_off_scores(texts: DataFrame, lexicon: DataFrame, folder: str) -> None:
+def hand_off_scores(texts: DataFrame, lexicon: DataFrame, folder: str, vectors: DataFrame | None = None) -> None:
     """Score texts and write them as CSV for :func:`route_scores`."""
-    sinks.write_csv(score_texts(texts, lexicon), folder, mode="append")
+    names = ["tweet_id", "tweet", *scored.SCORES, "word_sample", "tok2vec"]
+    sinks.write_csv(score_texts(texts, lexicon, vectors).select(*names), folder, mode="append")
 
 
-def route_scores(spark: SparkSession, folder: str, target: str) -> DataFrame:
-    """Scored CSV files to rows by label, appended below ``target``; neutral ones are dropped.
+def route_scores(spark: SparkSession, folder: str, target: str, checkpoint: str, **options) -> DataFrame:
+    """Scored CSV files that arrived to rows by label, appended below ``target``; neutral ones are dropped.
 
-    One write partitioned by label instead of one per label, so the files are read once.
+    Each file comes in once, however often this runs with the same checkpoint. One write
+    partitioned by label instead of one per label, so the files are read once.
     """
-    names = ["tweet_id", "tweet", *scored.SCORES, "word_sample"]
-    schema = ", ".join(f"{n} string" for n in names)
-    raw = files.read_csv(spark, folder, spark.createDataFrame([], schema).schema)
-    typed = raw.withColumns(
-        {
-            **{n: cleaning.real_number(F.col(n)) for n in scored.SCORES},
-            "tweet_id": cleaning.whole_number(F.col("tweet_id")),
-            "tweet": cleaning.strip_quotes(F.col("tweet")),
-            "word_sample": F.from_json("word_sample", "array<string>"),
-        }
+    names = ["tweet_id", "tweet", *scored.SCORES, "word_sample", "tok2vec"]
+    raw = streams.arrivals(spark, folder, T.StructType([T.StructField(n, T.StringType()) for n in names]), **options)
+    typed = raw.select(
+        cleaning.whole_number(F.col("tweet_id")).alias("tweet_id"),
+        cleaning.strip_quotes(F.col("tweet")).alias("tweet"),
+        *(cleaning.real_number(F.col(n)).alias(n) for n in scored.SCORES),
+        F.from_json("word_sample", "array<string>").alias("word_sample"),
+        F.from_json("tok2vec", "array<double>").alias("tok2vec"),
     )
-    sinks.append(scored.route(typed), target, ["label"])
+    streams.drain(scored.route(typed), target, checkpoint, partition_by=["label"])
     return sinks.read_appended(spark, target)
 
 
@@ -130,12 +152,17 @@ def pivot_table(
 
 
 def confirm_arriving_files(
-    spark: SparkSession, folder: str, key: HashKey, known: DataFrame, target: str, checkpoint: str, **bounds: int
-) -> DataFrame:
+    spark: SparkSession, folder: str, key: HashKey, known: DataFrame, target: str, checkpoint: str,
+    max_files_per_trigger: int | None = None, broadcast: bool = False,
+) -> DataFrame:
     """Text files arriving in a folder to the confirmed hashes found in them, each with
-    the file it came from. Run again to process what arrived since."""
-    lines = streams.file_stream(spark, folder, "value string", "text")
+    the file it came from. Run again to process what arrived since.
+
+    What the scan finds has nine digits, so no finding is rejected; those not known are left out.
+    ``max_files_per_trigger`` cuts a backlog into several batches.
+    """
+    lines = streams.file_stream(spark, folder, "value string", "text", max_files_per_trigger=max_files_per_trigger)
     named = lines.select("value", F.col("_metadata.file_path").alias("source_file"))
     found = sensitive.scan(named, "value").select("source_file", "quote")
-    streams.drain(sensitive.confirm(found, "quote", key, known, **bounds), target, checkpoint)
+    streams.drain(sensitive.confirm(found, "quote", key, known, broadcast), target, checkpoint)
     return spark.read.parquet(target)

@@ -200,15 +200,23 @@ def state_to_region(spark, sf_dir):
     return to_region(table(spark, sf_dir, "customer").select("c_custkey", code.alias("state")))
 
 
-@query("SELECT c_custkey, c_name AS name, c_nationkey AS nation, CAST(round(c_acctbal * 100) AS BIGINT) AS cents FROM customer")
+@query(
+    """SELECT c_custkey, CASE WHEN c_custkey % 5 <> 3 THEN c_name END AS name,
+    CASE WHEN c_custkey % 5 NOT IN (2, 3) THEN c_nationkey END AS nation,
+    CASE WHEN c_custkey % 5 NOT IN (2, 3) THEN CAST(round(c_acctbal * 100) AS BIGINT) END AS cents FROM customer"""
+)
 def header_value_zip(spark, sf_dir):
-    """Replies of a header row and a value row, to columns."""
+    """Replies of a header row and a value row, to columns; some repeat a header, stop early, or have no values."""
+    headers = F.array(F.lit("NAME"), F.lit("VAR1"), F.lit("VAR2"))
+    values = F.array("c_name", F.col("c_nationkey").cast("string"), F.round(F.col("c_acctbal") * 100).cast("bigint").cast("string"))
+    twice = F.array(F.concat(F.array(F.lit("VAR1")), headers), F.concat(F.array(F.lit("old")), values))
+    kind = F.col("c_custkey") % 5
     reply = F.to_json(
-        F.array(
-            F.array(F.lit("NAME"), F.lit("VAR1"), F.lit("VAR2")),
-            F.array("c_name", F.col("c_nationkey").cast("string"), F.round(F.col("c_acctbal") * 100).cast("bigint").cast("string")),
-        )
-    )
+        F.when(kind == 1, twice)
+        .when(kind == 2, F.array(headers, F.slice(values, 1, 1)))
+        .when(kind == 3, F.array(headers))
+        .otherwise(F.array(headers, values))
+    )
     records = table(spark, sf_dir, "customer").select("c_custkey", cleaning.header_value_record(reply).alias("r"))
     return records.select(
         "c_custkey",

@@ -29,5 +29,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table whose rows are costly to work on; see :func:`sluice.operators.layout.spread`."""
-    return spread(table(spark, sf_dir, name))
+    """A table whose rows are costly to work on, in 16 tasks if it is small; see :func:`sluice.operators.layout.spread`."""
+    return spread(table(spark, sf_dir, name), 16)

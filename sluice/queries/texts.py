@@ -26,6 +26,19 @@ _LEXICON_SQL = "(VALUES " + ", ".join(
 _TOKENS_SQL = "SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS token FROM documents"
 
 
+# Vectors for the words of the lexicon: the embedding of the word's place in it.
+DOCUMENT_VECTOR = f"""WITH words AS (SELECT * FROM (VALUES {", ".join(f"('{w[0]}', {i})" for i, w in enumerate(LEXICON))}) AS v(token, vec_id)),
+    spread AS (SELECT token, generate_subscripts(embedding, 1) - 1 AS dim, unnest(embedding)::DOUBLE AS x
+        FROM words JOIN embeddings USING (vec_id))
+    SELECT doc_id, dim, avg(x) AS x FROM ({_TOKENS_SQL}) JOIN spread USING (token) GROUP BY doc_id, dim"""
+
+
+def token_vectors(spark, sf_dir):
+    words = spark.createDataFrame([(w[0], i) for i, w in enumerate(LEXICON)], "token string, vec_id bigint")
+    embeddings = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    return words.join(embeddings, "vec_id").select("token", "vector")
+
+
 def lexicon(spark):
     return spark.createDataFrame(LEXICON, "token string, valence double, polarity double, subjectivity double")
 
@@ -52,12 +65,13 @@ def lexicon_sentiment(spark, sf_dir):
     return scoring.lexicon_sentiment(spread_table(spark, sf_dir, "documents"), lexicon(spark), "doc_id", "text")
 
 
-@query(
-    f"""SELECT d.doc_id, coalesce(CAST(sum(polarity) AS DOUBLE) / count(polarity), 0.0::DOUBLE) AS polarity,
+POLARITY = f"""SELECT d.doc_id, coalesce(CAST(sum(polarity) AS DOUBLE) / count(polarity), 0.0::DOUBLE) AS polarity,
     coalesce(CAST(sum(subjectivity) AS DOUBLE) / count(subjectivity), 0.0::DOUBLE) AS subjectivity
     FROM documents d LEFT JOIN ({_TOKENS_SQL}) USING (doc_id) LEFT JOIN {_LEXICON_SQL} USING (token)
     GROUP BY d.doc_id"""
-)
+
+
+@query(POLARITY)
 def lexicon_polarity(spark, sf_dir):
     return scoring.lexicon_polarity(spread_table(spark, sf_dir, "documents"), lexicon(spark), "doc_id", "text")
 
@@ -176,3 +190,12 @@ def scored_labels(spark, sf_dir):
     """Rows per label; unreadable lines are neutral."""
     typed = scored.type_scored(scored.scored_lines(scored_line(spark, sf_dir)))
     return typed.groupBy(scored.label_of_score(F.col("compound")).alias("label")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"SELECT doc_id, dim, round(x, 6) AS x FROM ({DOCUMENT_VECTOR})")
+def document_vector(spark, sf_dir):
+    """The mean vector of each document's words that have one."""
+    docs = spread_table(spark, sf_dir, "documents")
+    means = scoring.document_vector(docs, token_vectors(spark, sf_dir), "doc_id", "text")
+    spread = means.select("doc_id", F.posexplode("vector").alias("dim", "x"))
+    return spread.select("doc_id", F.col("dim").cast("bigint").alias("dim"), F.round("x", 6).alias("x"))

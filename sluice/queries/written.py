@@ -5,6 +5,7 @@ Everything is written below the shared scratch folder of the session.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from sluice.operators import listings, scoring, sensitive
@@ -21,14 +22,16 @@ from sluice.sources import files, lookups
 from sluice.streaming import streams
 
 _LISTING_ROWS = f"SELECT {dirty.LISTING_ORACLE} FROM orders"
+_LISTING_AND_COUNT = f"SELECT *, count(*) OVER (PARTITION BY neighbourhood) AS n_listings FROM ({_LISTING_ROWS})"
 _LISTING_COUNTS = f"SELECT neighbourhood, count(*) AS n_listings FROM ({_LISTING_ROWS}) GROUP BY 1"
 
 
-@query("SELECT doc_id, nullif(text, '') AS text, lang FROM documents")
+@query("SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN '' WHEN doc_id % 7 = 1 THEN NULL ELSE text END AS text, lang FROM documents")
 def csv_roundtrip(spark, sf_dir):
-    """Whole texts with commas, quotes and newlines through CSV files; a blank field is NULL."""
+    """Whole texts with commas, quotes and newlines, blank ones and NULL through CSV files."""
     folder = scratch_dir(spark, "csv")
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    text = F.when(F.col("doc_id") % 7 == 0, "").when(F.col("doc_id") % 7 != 1, F.col("text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), "lang")
     sinks.write_csv(docs, folder)
     back = files.read_csv(spark, folder, files.all_strings(docs.schema))
     return back.withColumn("doc_id", F.col("doc_id").try_cast("bigint"))
@@ -59,15 +62,15 @@ def sink_overwrite(spark, sf_dir):
     return written.select("id", "name", "neighbourhood", "latitude", "price")
 
 
-@query(_LISTING_COUNTS)
+@query(_LISTING_AND_COUNT)
 def sink_fan_out(spark, sf_dir):
     """Rows and their counts from one parse; the counts are read from the written rows."""
     folder = scratch_dir(spark, "fan-out")
     rows = listings.good_rows(listings.listing_clean(dirty.raw_listings(spark, sf_dir)))
-    _, counted = sinks.overwrite_both(
+    written, counted = sinks.overwrite_both(
         rows, f"{folder}/rows", lambda t: count_per_key(t, "neighbourhood"), f"{folder}/counts", listings.LISTING
     )
-    return counted
+    return dirty._dates_as_text(written.join(counted, "neighbourhood"))
 
 
 @query(
@@ -133,9 +136,9 @@ def file_arrival_ingest(spark, sf_dir):
     early = F.col("event_type").isin("click", "view")
     for part in (early, ~early):
         sinks.write_csv(events.filter(part), f"{folder}/in", mode="append")
-        streams.drain(streams.arrivals(spark, f"{folder}/in", events.schema), f"{folder}/out", f"{folder}/checkpoint")
+        streams.drain(streams.arrivals(spark, f"{folder}/in", files.all_strings(events.schema)), f"{folder}/out", f"{folder}/checkpoint")
     seen = spark.read.parquet(f"{folder}/out").filter("source_file like '%csv'")
-    return seen.groupBy("user_id", "event_type").agg(F.count(F.lit(1)).alias("n"))
+    return seen.groupBy(F.col("user_id").cast("bigint").alias("user_id"), "event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _stream_of(spark, sf_dir, name):
@@ -214,12 +217,29 @@ def _listing_csv(spark, sf_dir, folder):
     return f"{folder}/in"
 
 
-@query(_LISTING_COUNTS)
+@query(_LISTING_AND_COUNT)
 def job_load_listings(spark, sf_dir):
     folder = scratch_dir(spark, "listings")
     csv = _listing_csv(spark, sf_dir, folder)
-    _, counted = jobs.load_listings(spark, csv, f"{folder}/rows", f"{folder}/counts")
-    return counted
+    loaded = jobs.load_listings(spark, csv, f"{folder}/rows", f"{folder}/counts")
+    return dirty._dates_as_text(loaded.table.join(loaded.counts, "neighbourhood"))
+
+
+@query(
+    """SELECT good, dead, good + dead AS total FROM (SELECT count(*) FILTER (o_orderkey % 13 <> 0) AS good,
+    count(*) FILTER (o_orderkey % 13 = 0) AS dead FROM orders)"""
+)
+def job_load_dead_letters(spark, sf_dir):
+    """A load of which some rows cannot be read: good ones and dead letters are all that came."""
+    folder = scratch_dir(spark, "dead-letters")
+    rows = dirty.raw_listings(spark, sf_dir)
+    price = F.when(F.col("id").cast("bigint") % 13 == 0, F.when(F.col("id").cast("bigint") % 2 == 0, "")).otherwise(F.col("price"))
+    sinks.write_csv(rows.withColumn("price", price), f"{folder}/in")
+    loaded = jobs.load_listings(spark, f"{folder}/in", f"{folder}/rows", f"{folder}/counts")
+    dead = loaded.dead_letters.filter(F.get_json_object("line", "$.id").cast("bigint") % 13 == 0)
+    good = loaded.table.agg(F.count(F.lit(1)).alias("good"))
+    both = good.join(dead.agg(F.count(F.lit(1)).alias("dead")), F.lit(True))
+    return both.withColumn("total", F.col("good") + F.col("dead"))
 
 
 @query(
@@ -230,19 +250,24 @@ def job_load_listing_lines(spark, sf_dir):
     folder = scratch_dir(spark, "listing-lines")
     dirty.raw_lines(spark, sf_dir).select("value").write.text(f"{folder}/in")
     header = ",".join(listings.LISTING.fieldNames())
-    _, counted = jobs.load_listing_lines(
+    return jobs.load_listing_lines(
         spark, f"{folder}/in", header, f"{folder}/rows", f"{folder}/counts", keep_nulls=True
-    )
-    return counted
+    ).counts
 
 
 _HOOD_DEMOGRAPHICS = f"""SELECT neighbourhood, count(*) AS n_listings, 'NTA-' || neighbourhood AS nta_code,
-    CAST(sum(price) AS BIGINT) AS population FROM ({_LISTING_ROWS}) GROUP BY neighbourhood"""
+    CAST(sum(price) AS BIGINT) AS population, neighbourhood AS nta_name, CAST(sum(price) % 10000 AS BIGINT) AS median_rent,
+    CASE WHEN neighbourhood <> 'Harlem' THEN CAST(sum(price) % 1000000 AS BIGINT) END AS median_home_value,
+    CAST(sum(price) % 100 + 0.5 AS DOUBLE) AS percent_atleast_bachdeg FROM ({_LISTING_ROWS}) GROUP BY neighbourhood"""
 
 
 @query(
-    f"""SELECT neighbourhood, n_listings, CASE WHEN neighbourhood <> 'Astoria' THEN nta_code END AS nta_code,
-    CASE WHEN neighbourhood <> 'Astoria' THEN population END AS population FROM ({_HOOD_DEMOGRAPHICS})"""
+    "SELECT neighbourhood, n_listings, "
+    + ", ".join(
+        f"CASE WHEN neighbourhood <> 'Astoria' THEN {c} END AS {c}"
+        for c in ("nta_code", "median_rent", "median_home_value", "percent_atleast_bachdeg", "population", "nta_name")
+    )
+    + f" FROM ({_HOOD_DEMOGRAPHICS})"
 )
 def job_load_with_demographics(spark, sf_dir):
     """Listings with the demographics of all neighbourhoods but one."""
@@ -253,19 +278,20 @@ def job_load_with_demographics(spark, sf_dir):
     raw = totals.select(
         "neighbourhood",
         F.concat(F.lit("NTA-"), "neighbourhood").alias("nta_code"),
-        F.lit("1,089").alias("median_rent"),
-        F.lit("NaN").alias("median_home_value"),
-        F.lit("35.1").alias("percent_atleast_bachdeg"),
+        F.format_number(F.col("total") % 10_000, 0).alias("median_rent"),
+        F.when(F.col("neighbourhood") == "Harlem", "NaN").otherwise(F.format_number(F.col("total") % 1_000_000, 0)).alias("median_home_value"),
+        F.concat((F.col("total") % 100).cast("string"), F.lit(".5")).alias("percent_atleast_bachdeg"),
         F.format_number("total", 0).alias("population"),
         F.col("neighbourhood").alias("nta_name"),
     )
-    _, counted = jobs.load_with_demographics(spark, csv, f"{folder}/rows", f"{folder}/counts", raw)
-    return counted.select("neighbourhood", "n_listings", "nta_code", "population")
+    return jobs.load_with_demographics(spark, csv, f"{folder}/rows", f"{folder}/counts", raw).counts
 
 
 @query(
     f"""SELECT neighbourhood, count(*) AS n_listings, left(neighbourhood_code, 1) AS puma_code,
-    CAST(max(total) AS BIGINT) AS population FROM (
+    CAST(max(total) % 7 AS BIGINT) AS median_rent, CAST(max(total) * 2 AS BIGINT) AS median_home_value,
+    37.5::DOUBLE AS percent_adults_bachdeg, CAST(max(total) AS BIGINT) AS population,
+    left(neighbourhood_code, 1) AS puma_name FROM (
         SELECT neighbourhood, neighbourhood AS neighbourhood_code,
         sum(price) OVER (PARTITION BY left(neighbourhood, 1)) AS total FROM ({_LISTING_ROWS}))
     GROUP BY neighbourhood, left(neighbourhood_code, 1)"""
@@ -280,13 +306,12 @@ def job_load_with_area_statistics(spark, sf_dir):
     areas = hoods.groupBy(F.left("neighbourhood", F.lit(1)).alias("puma_code")).agg(F.sum("total").alias("total"))
     headers = F.array(*(F.lit(h) for h in ("P", "H", "A", "B", "R", "NAME")))
     total = F.col("total").cast("string")
-    values = F.array(total, total, total, total, total, F.col("puma_code"))
+    values = F.array(total, (F.col("total") * 2).cast("string"), F.lit("8"), F.lit("3"), (F.col("total") % 7).cast("string"), F.col("puma_code"))
     replies = areas.select("puma_code", F.to_json(F.array(headers, values)).alias("reply"))
     variables = dict(population="P", median_home_value="H", adults="A", adults_bachdeg="B", median_rent="R")
-    _, counted = jobs.load_with_area_statistics(
+    return jobs.load_with_area_statistics(
         spark, csv, f"{folder}/rows", f"{folder}/counts", lookup, replies, variables
-    )
-    return counted.select("neighbourhood", "n_listings", "puma_code", "population")
+    ).counts
 
 
 @query(
@@ -307,15 +332,89 @@ def job_pivot_table(spark, sf_dir):
     return wide.withColumn("has_f", F.col("F_o_orderkey").isNotNull())
 
 
-@query(
-    f"""SELECT doc_id AS tweet_id, compound, CASE WHEN compound < -0.5 THEN 'neg' ELSE 'pos' END AS label,
-    rtrim(rtrim(rtrim(trim({text_queries.CLEAN_SQL}, '"'), E' \\n\\t\\r\\x0b\\x0c'), '"'), E' \\n\\t\\r\\x0b\\x0c') AS tweet
-    FROM ({text_queries.SENTIMENT_OF_CLEAN}) JOIN documents USING (doc_id) WHERE compound < -0.5 OR compound > 0.6"""
-)
+_STRIPPED = """rtrim(rtrim(rtrim(trim(text, '"'), E' \\n\\t\\r\\x0b\\x0c'), '"'), E' \\n\\t\\r\\x0b\\x0c')"""
+# All columns of the feed, from the cleaned texts under the name of the table.
+_FEED = f"""WITH documents AS (SELECT doc_id, {text_queries.CLEAN_SQL} AS text FROM main.documents),
+    sentiment AS ({text_queries.SENTIMENT}), polarity AS ({text_queries.POLARITY}), sample AS ({text_queries.SAMPLE}),
+    vectors AS ({text_queries.DOCUMENT_VECTOR}),
+    joined_vectors AS (SELECT doc_id, string_agg(x, ' ' ORDER BY dim) AS tok2vec FROM (
+        SELECT doc_id, dim, CAST(CAST(round(x * 1000) AS BIGINT) AS VARCHAR) AS x FROM vectors) GROUP BY doc_id)
+    SELECT doc_id AS tweet_id, neg, neu, pos, compound, polarity, subjectivity, word_sample, coalesce(tok2vec, '') AS tok2vec,
+    CASE WHEN compound < -0.5 THEN 'neg' ELSE 'pos' END AS label, {_STRIPPED} AS tweet
+    FROM documents JOIN sentiment USING (doc_id) JOIN polarity USING (doc_id) JOIN sample USING (doc_id)
+    LEFT JOIN joined_vectors USING (doc_id) WHERE compound < -0.5 OR compound > 0.6"""
+
+
+def _tweets(spark, sf_dir):
+    docs = spread_table(spark, sf_dir, "documents")
+    return docs.select(F.col("doc_id").alias("tweet_id"), F.col("text").alias("tweet"))
+
+
+def _as_text(routed):
+    thousandths = F.transform("tok2vec", lambda x: F.round(x * 1000).cast("bigint").cast("string"))
+    return routed.withColumns(
+        {"word_sample": F.array_join("word_sample", " "), "tok2vec": F.coalesce(F.array_join(thousandths, " "), F.lit(""))}
+    )
+
+
+@query(_FEED)
 def job_sentiment_feed(spark, sf_dir):
     """Documents scored, handed over as CSV, routed, and appended by label."""
     folder = scratch_dir(spark, "feed")
-    docs = spread_table(spark, sf_dir, "documents").select(F.col("doc_id").alias("tweet_id"), F.col("text").alias("tweet"))
-    jobs.hand_off_scores(docs, text_queries.lexicon(spark), f"{folder}/csv")
-    routed = jobs.route_scores(spark, f"{folder}/csv", f"{folder}/out")
-    return routed.select("tweet_id", "compound", "label", "tweet")
+    vectors = text_queries.token_vectors(spark, sf_dir)
+    jobs.hand_off_scores(_tweets(spark, sf_dir), text_queries.lexicon(spark), f"{folder}/csv", vectors)
+    return _as_text(jobs.route_scores(spark, f"{folder}/csv", f"{folder}/out", f"{folder}/checkpoint"))
+
+
+@query(_FEED.replace("tok2vec, '') AS tok2vec", "NULL, '') AS tok2vec"))
+def job_feed_two_arrivals(spark, sf_dir):
+    """Two hand-offs with a run after each, and a run without one, load every text once."""
+    folder = scratch_dir(spark, "feed-twice")
+    tweets = _tweets(spark, sf_dir)
+    for part in (F.col("tweet_id") % 2 == 0, F.col("tweet_id") % 2 == 1, F.lit(False)):
+        jobs.hand_off_scores(tweets.filter(part), text_queries.lexicon(spark), f"{folder}/csv")
+        routed = jobs.route_scores(spark, f"{folder}/csv", f"{folder}/out", f"{folder}/checkpoint")
+    return _as_text(routed)
+
+
+@query(
+    """SELECT n_regionkey, string_agg(n_name, '|' ORDER BY n_name) AS names FROM nation GROUP BY n_regionkey"""
+)
+def whole_objects(spark, sf_dir):
+    """One object per region, each read whole with the name it came from."""
+    folder = scratch_dir(spark, "objects")
+    nations = table(spark, sf_dir, "nation").select("n_name", "n_regionkey")
+    split = nations.repartition(5, "n_regionkey").sortWithinPartitions("n_regionkey", "n_name")
+    split.write.partitionBy("n_regionkey").text(folder)
+    whole = files.read_objects(spark, folder, whole=True)
+    return whole.select(
+        F.regexp_extract("source_file", "n_regionkey=([0-9]+)", 1).cast("int").alias("n_regionkey"),
+        F.replace(F.rtrim("value", F.lit("\n")), F.lit("\n"), F.lit("|")).alias("names"),
+    )
+
+
+@query("SELECT p_partkey, p_name FROM part")
+def sink_only_if_empty(spark, sf_dir):
+    """A target is filled once; the second write, of other rows, is refused and changes nothing."""
+    folder = scratch_dir(spark, "if-empty")
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    written = sinks.write_if_empty(parts, folder)
+    try:
+        sinks.write_if_empty(parts.limit(1), folder)
+    except AnalysisException:
+        return written
+    raise AssertionError("a filled target was written to")
+
+
+@query("SELECT s_suppkey, s_name FROM supplier")
+def namespace_table(spark, sf_dir):
+    """A namespace made twice, and a finished folder published in it as a table, then another one."""
+    folder = scratch_dir(spark, "namespace")
+    name = "sluice_" + folder.rsplit("-", 1)[-1]
+    for _ in range(2):
+        sinks.create_namespace(spark, name, f"{folder}/it's a place")
+    suppliers = table(spark, sf_dir, "supplier")
+    sinks.write_if_empty(suppliers.select("s_suppkey"), f"{folder}/one")
+    sinks.publish(spark, f"{name}.suppliers", f"{folder}/one")
+    sinks.write_if_empty(suppliers.select("s_suppkey", "s_name"), f"{folder}/two")
+    return sinks.publish(spark, f"{name}.suppliers", f"{folder}/two")

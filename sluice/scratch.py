@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -22,5 +24,17 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
         if not master.startswith("local"):
             raise ValueError(f"set {SETTING} to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="sluice-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set(SETTING, base)
     return f"{base.rstrip('/')}/sluice/{purpose}-{uuid.uuid4().hex}"
+
+
+def clear(spark: SparkSession) -> None:
+    """Delete all intermediate tables below the shared folder, once nothing reads them any more.
+
+    A folder that this module made itself goes with the process.
+    """
+    base = spark.conf.get(SETTING, None)
+    if base:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/sluice")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,11 +20,37 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def overwrite(df: DataFrame, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """Create or replace a table folder; returns the written table."""
+def _hadoop(spark: SparkSession, path: str):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    files, folder = _hadoop(spark, path)
+    files.delete(folder, True)
+
+
+def overwrite(
+    df: DataFrame, path: str, schema: T.StructType | None = None, partition_by: Sequence[str] = ()
+) -> DataFrame:
+    """Create or replace a table folder; returns the written table.
+
+    The rows go to a folder beside it, which takes its place when it is whole: a job that
+    fails leaves the old table.
+    """
+    spark, staging = df.sparkSession, f"{path.rstrip('/')}.new-{uuid.uuid4().hex}"
     shaped = df if schema is None else conform(df, schema)
-    shaped.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(shaped.schema).parquet(path)
+    try:
+        shaped.write.partitionBy(*partition_by).parquet(staging)
+        remove(spark, path)
+        files, new = _hadoop(spark, staging)
+        if not files.rename(new, _hadoop(spark, path)[1]):
+            raise OSError(f"cannot put {staging} in place of {path}")
+    except BaseException:
+        remove(spark, staging)
+        raise
+    return spark.read.schema(shaped.schema).parquet(path)
 
 
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
@@ -43,20 +70,34 @@ def write_if_empty(df: DataFrame, path: str) -> DataFrame:
 
 
 def create_namespace(spark: SparkSession, name: str, location: str | None = None) -> None:
-    where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS `{name}`{where}")
+    where = f" LOCATION {_text(location)}" if location else ""
+    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {_identifier(name)}{where}")
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _identifier(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def publish(spark: SparkSession, table: str, folder: str) -> DataFrame:
     """Point a catalog table at a finished folder; readers see the old or the new rows.
 
-    Nothing is copied, whatever the size of the load.
+    Nothing is copied, whatever the size of the load. ``table`` may be qualified by dots. A folder
+    with other columns than the table's replaces the table's entry, and so brings its own schema.
     """
+    name = ".".join(_identifier(part) for part in table.split("."))
+    found = spark.read.parquet(folder).schema
     if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
-        spark.catalog.refreshTable(table)
-    else:
-        spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{folder}'")
+        old = [(f.name, f.dataType) for f in spark.table(table).schema.fields]
+        if old == [(f.name, f.dataType) for f in found.fields]:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION {_text(folder)}")
+            spark.catalog.refreshTable(table)
+            return spark.table(table)
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION {_text(folder)}")
     return spark.table(table)
 
 
@@ -72,13 +113,13 @@ def overwrite_both(rows: DataFrame, path: str, derive, derived_path: str, schema
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """CSV that :func:`sluice.sources.files.read_csv` reads back unchanged: all fields
-    quoted, quotes doubled, spaces kept, arrays as JSON text. NULL and blank text both
-    come back as NULL unless asked for otherwise."""
+    """CSV that :func:`sluice.sources.files.read_csv` reads back unchanged: fields quoted where
+    needed, quotes doubled, spaces kept, arrays as JSON text. Blank text is a pair of quotes and
+    NULL nothing at all, so each comes back as itself; only the character NUL is lost."""
     flat = [
         (F.to_json(f.name) if isinstance(f.dataType, T.ArrayType) else F.col(f.name)).alias(f.name)
         for f in df.schema.fields
     ]
     df.select(*flat).write.mode(mode).options(
-        header=True, escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        header=True, escape='"', emptyValue='""', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).csv(path)

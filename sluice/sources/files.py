@@ -9,10 +9,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.cleaning import or_null
+from sluice.sinks.tables import remove
 
 
-#: How CSV is read, by batch and by stream alike.
-CSV = {"header": True, "multiLine": True, "escape": '"', "mode": "PERMISSIVE", "enforceSchema": True}
+#: How CSV is read, by batch and by stream alike. The NULL text, two separators, is what no field holds: so
+#: nothing between two commas is NULL, and a pair of quotes is blank text.
+CSV = {
+    "header": True, "multiLine": True, "escape": '"', "mode": "PERMISSIVE", "enforceSchema": True, "nullValue": "\x1e\x1f",
+}
 
 
 def all_strings(schema: T.StructType) -> T.StructType:
@@ -25,7 +29,7 @@ def read_csv(
     """CSV with a header, quoted newlines and doubled quotes.
 
     Short rows are filled with NULL, extra fields dropped, undecodable bytes
-    replaced. Blank fields are NULL. Give a string schema and type the columns
+    replaced. Empty fields are NULL, quoted ones without text are blank. Give a string schema and type the columns
     afterwards: a typed schema would hide which text could not be read.
 
     A file with quoted newlines cannot be split, so ``multi_line`` reads one file
@@ -95,7 +99,7 @@ def load_csv(
 
     The file is parsed once: good rows go to the new folder ``staging`` while the
     bad ones are counted by the same job. Over budget this raises, and whatever
-    was published before stays; within budget the caller publishes the folder
+    was published before stays and the folder goes; within budget the caller publishes the folder
     (:func:`sluice.sinks.tables.publish`) without copying it.
     """
     raw = read_csv(spark, path, all_strings(schema), multi_line)
@@ -111,5 +115,6 @@ def load_csv(
     seen.filter(~F.col("_bad")).drop("_bad").write.mode("errorifexists").parquet(staging)
     bad, good = counts.get["bad"], counts.get["good"]
     if bad > max_bad_records:
+        remove(spark, staging)
         raise BadRecordBudgetExceeded(f"{bad} unreadable rows, {max_bad_records} allowed")
     return Loaded(spark.read.schema(schema).parquet(staging), good, bad)

@@ -68,6 +68,17 @@ def drain(stream: DataFrame, folder: str, checkpoint: str, file_format: str = "p
     query.awaitTermination()
 
 
+def publish_messages(stream: DataFrame, servers: str, topic: str, checkpoint: str, trigger: str = "10 seconds", **options):
+    """Start writing ``value binary`` to a topic and go on until stopped; returns the running query.
+
+    Needs Spark's Kafka connector on the class path. With the same checkpoint it goes on where it stopped;
+    a message may then come twice, none is lost.
+    """
+    writer = stream.select("value").writeStream.format("kafka").options(**options)
+    writer = writer.option("kafka.bootstrap.servers", servers).option("topic", topic)
+    return writer.option("checkpointLocation", checkpoint).trigger(processingTime=trigger).start()
+
+
 def decoded(messages: DataFrame, column: str = "value") -> DataFrame:
     return messages.withColumn(column, F.decode(column, "UTF-8"))
 
@@ -135,7 +146,8 @@ def deduplicated(
 
     Copies of a key meet in one task. Where one key may have a large part of all rows,
     ``salts`` drops copies in that many tasks per key first, by where they were read,
-    and leaves at most so many rows of a key to the task that decides.
+    and leaves at most so many rows of a key to the task that decides. The price is that every
+    key is kept and shuffled twice, so use it only where such a key is known.
     """
     marked = stream.withWatermark(ts, late)
     if salts > 1:

@@ -1,7 +1,11 @@
 from __future__ import annotations
 
+import os
+import time
+
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.operators import listings
@@ -9,6 +13,7 @@ from sluice.plans import jobs
 from sluice.scratch import scratch_dir
 from sluice.sinks import tables as sinks
 from sluice.sources import files, tables
+from sluice.streaming import streams
 
 HEADER = ",".join(listings.LISTING.fieldNames())
 ROW = '{id},"A ""nice"", big\none",345678,"Bob, B",Queens,Astoria,40.5,-73.9,Entire,10,2,3,7/4/2019,0.5,1,365'
@@ -135,13 +140,15 @@ def test_only_projected_columns_are_scanned(spark, folder):
 def test_load_listings(spark, tmp_path):
     lines = [HEADER] + [ROW.format(id=i) for i in range(5)] + [ROW.format(id="x")]
     path = write(tmp_path / "l.csv", "\n".join(lines))
-    table, counts = jobs.load_listings(spark, path, str(tmp_path / "rows"), str(tmp_path / "counts"))
+    table, counts, dead = jobs.load_listings(spark, path, str(tmp_path / "rows"), str(tmp_path / "counts"))
+    assert dead.count() == 1 and '"id":"x"' in dead.first()["line"]
     assert table.schema == listings.LISTING and table.count() == 5
     assert rows(counts) == [("Astoria", 5)]
     flat = [HEADER] + [ROW.format(id=i).replace("\n", " ") for i in range(3)] + ["cut"]
     path = write(tmp_path / "l.txt", "\n".join(flat))
     args = (spark, path, HEADER, str(tmp_path / "rows2"), str(tmp_path / "counts2"))
-    assert rows(jobs.load_listing_lines(*args)[1]) == [("Astoria", 3)]
+    loaded = jobs.load_listing_lines(*args)
+    assert rows(loaded.counts) == [("Astoria", 3)] and rows(loaded.dead_letters) == [("cut",)]
     assert rows(jobs.load_listing_lines(*args, keep_nulls=True)[1]) == sorted([("Astoria", 3), (None, 1)], key=repr)
 
 
@@ -149,3 +156,23 @@ def test_scratch_folder_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert one.startswith(base) and one != two
+
+
+def test_a_failed_overwrite_leaves_the_old_table(spark, folder):
+    good = spark.range(3).select(F.col("id").cast("string").alias("t"))
+    sinks.overwrite(good, f"{folder}/t")
+    bad = good.select(F.when(F.col("t") == "2", F.raise_error(F.lit("stop"))).otherwise(F.col("t")).alias("t"))
+    with pytest.raises(PySparkException, match="stop"):
+        sinks.overwrite(bad, f"{folder}/t")
+    assert spark.read.parquet(f"{folder}/t").count() == 3
+    assert [f for f in os.listdir(folder) if "new-" in f] == []
+
+
+def test_old_files_are_streamed(spark, folder):
+    schema = "value string"
+    for name, age in (("new.txt", 0), ("old.txt", 30)):
+        with open(f"{folder}/in-{name}", "w") as f:
+            f.write(name)
+        os.utime(f"{folder}/in-{name}", (time.time() - age * 86400,) * 2)
+        streams.drain(streams.file_stream(spark, folder, schema, "text", glob="in-*"), f"{folder}/out", f"{folder}/c")
+    assert spark.read.parquet(f"{folder}/out").count() == 2
