@@ -54,6 +54,7 @@ NO_ARTICLE_NAMES = frozenset(
     " recommended reply replies respond share sharing sidebar signup sitenav social sponsor sponsored subscribe"
     " subscription tags teaser toolbar topbar widget widgets".split()
 )
+MAIN_TAGS = ("article", "main")
 #: Elements deeper than this are read as siblings, as browsers do; no page is lost by it.
 DEEPEST = 512
 #: In an article's events: a block begins or ends.
@@ -157,16 +158,23 @@ def elements(root: Element):
 def prune(root: Element) -> list[Element]:
     """Takes what is no article out of the tree; the elements whose text is the article's.
 
-    These are the articles of the page, or else its main element, or else all of it. An element
-    that holds an article is not judged by its class.
+    These are the articles of the page, or else its main element, or else all of it. If every
+    article stands in, or is, an element whose class or id says that it is none, these names do not
+    count for the elements around articles.
     """
-    order = list(elements(root))
-    holders: set[int] = set()
+    order, holders, named_well = list(elements(root)), set(), False
     for element in reversed(order):
-        if any(isinstance(c, Element) and (c.tag in ("article", "main") or id(c) in holders) for c in element.children):
+        if element.tag in MAIN_TAGS or any(isinstance(c, Element) and id(c) in holders for c in element.children):
             holders.add(id(element))
+    stack = [(root, False)]
+    while stack:
+        element, named_badly = stack.pop()
+        named_badly = named_badly or not element.usable or (element.tag not in ("html", "body") and bool(element.names & NO_ARTICLE_NAMES))
+        named_well = named_well or (element.tag in MAIN_TAGS and not named_badly)
+        stack.extend((c, named_badly) for c in element.children if isinstance(c, Element))
     for element in order:
-        if element.usable and id(element) not in holders and element.tag != "html" and element.tag != "body":
+        spared = element.tag in ("html", "body") or (not named_well and id(element) in holders)
+        if element.usable and not spared:
             element.usable = not (element.names & NO_ARTICLE_NAMES)
     chosen: dict[str, list[Element]] = {"article": [], "main": []}
     stack = [(root, False)]
