@@ -73,6 +73,7 @@ class Carried:
     """
 
     def __init__(self, docs: DataFrame, text_col: str, keep: Sequence[str]):
+        text_batches(docs.sparkSession)
         self.keep, self.text_col = list(keep), text_col
         others = [c for c in keep if c != text_col]
         self.names = {text_col: "text", **{c: f"kept_{i}" for i, c in enumerate(others)}}
@@ -88,6 +89,18 @@ class Carried:
         return [F.col(self.names[c]).alias(c) for c in self.keep]
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def text_batches(spark: SparkSession, rows: int = 512) -> None:
+    """Asks for Arrow batches of ``rows`` rows in this session, unless it has a setting of its own.
+
+    Spark's 10,000 texts are a batch of tens of MB, which the JVM and Python hold several times over.
+    """
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, str(rows))
+
+
 def partitions(spark: SparkSession) -> int:
     """The partitions a shuffle of the input should have: the session's own setting."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

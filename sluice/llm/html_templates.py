@@ -20,7 +20,7 @@ import re
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import materialise, slices, str_texts
+from sluice.llm.common import materialise, slices, str_texts, text_batches
 
 MIN_PAGES = 8
 MIN_SHARE = 0.5
@@ -48,11 +48,11 @@ NO_ARTICLE_TAGS = frozenset(
 )
 NO_ARTICLE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu".split())
 NO_ARTICLE_NAMES = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments comentarios"
-    " commentaires kommentare consent cookie cookies disclaimer footer gdpr login masthead menu modal nav navbar"
-    " navigation newsletter notice notices notification overlay pager pagination popup promo promoted promotion related"
-    " recommended reply replies respond share sharing sidebar signup sitenav social sponsor sponsored subscribe"
-    " subscription tags teaser toolbar topbar widget widgets".split()
+    "ad adbox ads adsbygoogle adslot adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment"
+    " commentform commentlist comments comentarios commentaires consent cookie cookies copyright disclaimer disqus dropdown"
+    " footer gdpr kommentare login masthead menu modal nav navbar navigation newsletter notice notices notification overlay"
+    " pager pagination popup promo promoted promotion related recommended reply replies respond share sharing sidebar signup"
+    " sitenav social sponsor sponsored submenu subscribe subscription tags teaser toolbar topbar widget widgets".split()
 )
 MAIN_TAGS = ("article", "main")
 #: Elements deeper than this are read as siblings, as browsers do; no page is lost by it.
@@ -177,16 +177,17 @@ def prune(root: Element) -> list[Element]:
         if element.usable and not spared:
             element.usable = not (element.names & NO_ARTICLE_NAMES)
     chosen: dict[str, list[Element]] = {"article": [], "main": []}
-    stack = [(root, False)]
+    stack = [(root, False, False)]
     while stack:
-        element, inside = stack.pop()
+        element, inside, in_article = stack.pop()
         element.children = [c for c in element.children if not isinstance(c, Element) or c.usable]
         if element.tag == "header" and not inside and id(element) not in holders:
             element.children = []
-        if element.tag in chosen and not (inside and element.tag == "article"):
+        if element.tag == "article" and not in_article or element.tag == "main" and not inside:
             chosen[element.tag].append(element)
-        inside = inside or element.tag == "article"
-        stack.extend((c, inside) for c in reversed(element.children) if isinstance(c, Element))
+        inside = inside or element.tag in MAIN_TAGS
+        in_article = in_article or element.tag == "article"
+        stack.extend((c, inside, in_article) for c in reversed(element.children) if isinstance(c, Element))
     return chosen["article"] or chosen["main"] or [root]
 
 
@@ -299,6 +300,7 @@ def main_text(
     """
     import pyarrow as pa
 
+    text_batches(pages.sparkSession)
     rows = pages.select(
         F.col(id_col).alias("page_id"),
         F.col(url_col).cast("string").alias("url"),
