@@ -6,11 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The states of each region.
-REGIONS = {
-    "Northeast": "CT ME MA NH RI VT NJ NY PA",
-    "Midwest": "IL IN MI OH WI IA KS MN MO NE ND SD",
-    "South": "DE FL GA MD NC SC VA DC WV AL KY MS TN AR LA OK TX",
-    "West": "AZ CO ID MT NV NM UT WY AK CA HI OR WA",
+REGIONS: dict[str, list[str]] = {
+    "Northeast": ["CT", "ME", "MA", "NH", "RI", "VT", "NJ", "NY", "PA"],
+    "Midwest": ["IL", "IN", "MI", "OH", "WI", "IA", "KS", "MN", "MO", "NE", "ND", "SD"],
+    "South": ["DE", "FL", "GA", "MD", "NC", "SC", "VA", "DC", "WV", "AL", "KY", "MS", "TN", "AR", "LA", "OK", "TX"],
+    "West": ["AZ", "CO", "ID", "MT", "NV", "NM", "UT", "WY", "AK", "CA", "HI", "OR", "WA"],
 }
 OTHER = "other"
 
@@ -22,7 +22,7 @@ def region_of(state: Column) -> Column:
     """
     region = F.lit(OTHER)
     for name, states in REGIONS.items():
-        region = F.when(state.isin(states.split()), F.lit(name)).otherwise(region)
+        region = F.when(state.isin(states), F.lit(name)).otherwise(region)
     return region
 
 

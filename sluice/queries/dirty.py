@@ -183,7 +183,7 @@ def ascii_clean(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", cleaning.ascii_only(F.col("text")).alias("cleaned"))
 
 
-_CODES = [c for states in REGIONS.values() for c in states.split()] + ["PR", "GU"]
+_CODES = [c for states in REGIONS.values() for c in states] + ["PR", "GU"]
 
 
 @query(
@@ -191,7 +191,7 @@ _CODES = [c for states in REGIONS.values() for c in states.split()] + ["PR", "GU
     + ", ".join(f"'{c}'" for c in _CODES)
     + "], CAST(c_custkey % 55 + 1 AS INTEGER)) END AS code FROM customer) SELECT c_custkey, CASE "
     + " ".join(
-        f"WHEN code IN ({', '.join(repr(c) for c in states.split())}) THEN '{name}'" for name, states in REGIONS.items()
+        f"WHEN code IN ({', '.join(repr(c) for c in states)}) THEN '{name}'" for name, states in REGIONS.items()
     )
     + " ELSE 'other' END AS state FROM s"
 )

@@ -70,7 +70,7 @@ def test_regions(spark):
     df = spark.createDataFrame([("TX",), ("NY",), ("ZZ",), (None,), ("CA",), ("OH",)], "state string")
     got = [r[0] for r in state_to_region(df).collect()]
     assert got == ["South", "Northeast", "other", "other", "West", "Midwest"]
-    assert sum(len(s.split()) for s in REGIONS.values()) == 51
+    assert sum(len(s) for s in REGIONS.values()) == 51
 
 
 GOOD = "12,Flat,345678,Bob,Staten Island,Kens ing,40.5,-73.9,Entire,10,2,3,7/4/2019,0.5,1,365"
