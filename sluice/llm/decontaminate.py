@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.llm.common import byte_texts, materialise, shipped, slices
+from sluice.llm.common import byte_texts, materialise, shipped, slices, text_batches
 
 #: Words of lower-cased UTF-8 text: ASCII letters and digits, and all that is not ASCII.
 WORD = rb"[0-9a-z\x80-\xff]+"
@@ -188,6 +188,7 @@ def _matched(rows, items, window, item_id_col, item_text_col, block_words) -> Da
     ]
     schema = T.StructType([*rows.schema.fields, *added])
     span_type = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
+    text_batches(rows.sparkSession)
     spark, state, width, names_out = rows.sparkSession, rows, len(rows.columns), schema.names
 
     def matcher(shared, first):

@@ -20,7 +20,7 @@ from collections import Counter
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import byte_texts, materialise, slices
+from sluice.llm.common import byte_texts, materialise, slices, text_batches
 from sluice.llm.tokens import encoder, read_tokenizer
 
 PIECES = "piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -43,6 +43,7 @@ def pieces(
     """
     import pyarrow as pa
 
+    text_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     tokenizer = rows.sparkSession.sparkContext.broadcast(read_tokenizer(tokenizer_path))
     id_type = rows.schema["doc_id"].dataType.simpleString()

@@ -34,7 +34,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import byte_texts, partitions, slices
+from sluice.llm.common import byte_texts, partitions, slices, text_batches
 from sluice.llm.tokens import encoder, read_tokenizer
 
 MASK_DELTA = 0xA282EAD8
@@ -110,6 +110,7 @@ def write_records(
     import pyarrow as pa
 
     spark = docs.sparkSession
+    text_batches(spark)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     ordered = (
         rows.withColumn("tie", F.xxhash64("text"))

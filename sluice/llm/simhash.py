@@ -22,7 +22,7 @@ from itertools import accumulate, combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import byte_texts, discard, materialise, partitions, slices
+from sluice.llm.common import byte_texts, discard, materialise, partitions, slices, text_batches
 
 SEED = 42
 #: Members of one key that a task may hold: 12 bytes each, 8 MB at most with the work arrays.
@@ -63,6 +63,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = 4, id_col: str = "doc_id"
     """``id_col`` and ``fp`` (the 64 bits as a signed bigint) per row; NULL text has no words."""
     import pyarrow as pa
 
+    text_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def hashed(batches):
@@ -263,7 +264,8 @@ def near_duplicates(
     rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
-    lowest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # written, so that the join below has plain exchanges, of which adaptive execution splits a large group's
+    lowest = materialise(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "lowest")
     grouped = rooted.join(lowest, "root").select("fp", "component_id")
     return marked.join(grouped, "fp", "left").select(
         F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"

@@ -23,7 +23,7 @@ WHITE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 WIDE_SPACE = rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
 MARKS = b'!"),.:;?'
 #: Segments a worker remembers, at about 35 bytes each.
-REMEMBERED = 3_000_000
+REMEMBERED = 2_000_000
 #: Texts above this many bytes are cut by the pattern, a part at a time.
 LONG = 1 << 23
 
