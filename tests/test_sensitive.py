@@ -72,11 +72,11 @@ def test_golden_counts(spark, known):
     assert "quote" not in confirmed.columns
 
 
-def test_duplicates_pass_and_bounds_do_not_matter(spark, known):
+def test_duplicates_pass_and_a_broadcast_does_not_matter(spark, known):
     key, hashes = known
     numbers = spark.createDataFrame([(KNOWN[0],), (KNOWN[0],), ("999-99-9999",)], "n string")
     assert sensitive.confirm(numbers, "n", key, hashes).count() == 2
-    assert sensitive.confirm(numbers, "n", key, hashes, max_rows=1).count() == 2
+    assert sensitive.confirm(numbers, "n", key, hashes, broadcast=True).count() == 2
 
 
 TRAPS = [" 123-45-6789\n", "123456789", "1234567890", "12345678", "12a456789", "", None, "\u00a0123456789"]
