@@ -48,6 +48,8 @@ def line_groups(
     possible: Column,
     plain: str,
     maybe_plain: Column | None = None,
+    pattern: str | None = None,
+    few: Column | None = None,
 ) -> Column:
     """The groups of the first match anywhere in ``line`` as an array, NULL without a match.
 
@@ -57,20 +59,29 @@ def line_groups(
                   give the groups that ``resolve`` gives. Its fields cannot overlap, so it needs no
                   backtracking. With ``maybe_plain`` only lines that meet this condition are tried.
 
-    ``regexp_extract`` would run the plain pattern once per group: the line is rewritten once into
+    ``pattern``   the full pattern, for lines that meet ``few``: those with so few parts that there are few ways to
+                  match it, and trying them costs less than resolving.
+
+    ``regexp_extract`` would run a pattern once per group: the line is rewritten once into
     its groups with a mark between them, then split. A line that itself holds the mark is
     resolved, so no text is misread. Select the result through :func:`evaluated_once` when several
     columns read it.
     """
     general = bound(F.split(line, ","), resolve)
-    marked = F.regexp_replace(line, rf"(?s)\A{plain}\z", "".join(f"{_MARK}${i}" for i in range(1, groups + 1)))
-    quick = bound(
-        marked,
-        lambda text: F.when(F.startswith(text, F.lit(_MARK)), F.slice(F.split(text, _MARK), 2, groups)).otherwise(general),
-    )
-    plain_allowed = ~F.contains(line, F.lit(_MARK))
-    if maybe_plain is not None:
-        plain_allowed = plain_allowed & maybe_plain
+
+    def rewritten(whole_pattern: str, otherwise: Column) -> Column:
+        marked = F.regexp_replace(line, whole_pattern, "".join(f"{_MARK}${i}" for i in range(1, groups + 1)))
+        return bound(
+            marked,
+            lambda text: F.when(F.startswith(text, F.lit(_MARK)), F.slice(F.split(text, _MARK), 2, groups)).otherwise(otherwise),
+        )
+
+    unmarked = ~F.contains(line, F.lit(_MARK))
+    if pattern is not None:
+        none = F.lit(None).cast("array<string>")
+        general = F.when(unmarked & few, rewritten(rf"(?s)\A.*?{pattern}.*\z", none)).otherwise(general)
+    quick = rewritten(rf"(?s)\A{plain}\z", general)
+    plain_allowed = unmarked if maybe_plain is None else unmarked & maybe_plain
     return F.when(possible, F.when(plain_allowed, quick).otherwise(general))
 
 

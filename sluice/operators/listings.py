@@ -117,6 +117,9 @@ def _line_groups(parts: Column) -> Column:
     return bound(last_place(parts, lambda i: whole(i) & is_like(i + 1, r"\A\d")), from_listings)
 
 
+# Commas beyond those between the fields up to which the pattern is tried as it is.
+FEW_COMMAS = 5
+
 _READ = {"bigint": cleaning.whole_number, "double": cleaning.real_number, "date": cleaning.month_day_year}
 # A blank is allowed (and becomes NULL) in reals and dates; whole numbers must be there.
 _MAY_BE_BLANK = ("double", "date")
@@ -159,7 +162,9 @@ def listing_clean(raw: DataFrame, literal_slash_n: bool = False) -> DataFrame:
 def line_fields(line: Column) -> Column:
     """The groups of :data:`LINE_PATTERN` in a raw line as an array, NULL if it does not match."""
     n, commas = len(LISTING), F.length(line) - F.length(F.replace(line, F.lit(","), F.lit("")))
-    return line_groups(line, n, _line_groups, commas >= n - 1, _PLAIN_LINE, maybe_plain=commas == n - 1)
+    return line_groups(
+        line, n, _line_groups, commas >= n - 1, _PLAIN_LINE, commas == n - 1, pattern=LINE_PATTERN, few=commas < n + FEW_COMMAS
+    )
 
 
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:

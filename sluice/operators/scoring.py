@@ -148,10 +148,11 @@ def document_vector(
     """``id_column`` and the mean of the vectors of a text's tokens, each occurrence counted, as
     ``array<double>``; tokens without a vector are left out, and NULL is the vector of a text without any.
 
-    Tokens are counted per text before they meet their vectors, and the vectors' numbers are summed by
-    (text, dimension) with map-side combining. ``vectors`` has one row per token; of several the largest counts.
+    Tokens meet the list of known tokens first, are counted per text, and then meet their vectors, whose
+    numbers are summed by (text, dimension) with map-side combining. ``vectors`` has one row per token; of several the largest counts.
     """
     words = texts.select(id_column, F.explode(tokens(F.col(text_column))).alias(token))
+    words = words.join(vectors.select(token), token, "left_semi")
     counts = words.groupBy(id_column, token).agg(F.count(F.lit(1)).alias("_n"))
     one = vectors.groupBy(token).agg(F.max(vector).alias("_vector"))
     spread = counts.join(one, token).select(id_column, "_n", F.posexplode("_vector").alias("_dim", "_x"))

@@ -36,11 +36,12 @@ DOCUMENT_VECTOR = f"""WITH words AS (SELECT * FROM (VALUES {", ".join(f"('{w[0]}
 def token_vectors(spark, sf_dir):
     words = spark.createDataFrame([(w[0], i) for i, w in enumerate(LEXICON)], "token string, vec_id bigint")
     embeddings = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
-    return words.join(embeddings, "vec_id").select("token", "vector")
+    return F.broadcast(words.join(embeddings, "vec_id").select("token", "vector"))
 
 
 def lexicon(spark):
-    return spark.createDataFrame(LEXICON, "token string, valence double, polarity double, subjectivity double")
+    """A constant of 28 rows, so the caller knows that it can be broadcast."""
+    return F.broadcast(spark.createDataFrame(LEXICON, "token string, valence double, polarity double, subjectivity double"))
 
 
 SENTIMENT = f"""WITH sums AS (SELECT d.doc_id,

@@ -158,11 +158,11 @@ def test_many_lines_read_like_the_patterns(spark):
     pieces = ["", "1", "12", "1234", "x", "Queens", "Ab", "A1", "40.5", "-73.9", "x12", "9y", "a\nb", "Bx", "0.5", "[", "]", "q[a]", "'[b]'", "[c]z", "7e-05", ".5", "[]", "x[", "]y"]
     lines = mixed_lines(GOOD, pieces, 3, 1500)
     df = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "i int, value string")
-    raw = df.select("i", listings.line_fields(F.col("value")).alias("f"))
+    raw = df.select("i", listings.line_fields(F.col("value")).alias("f"), listings._line_groups(F.split("value", ",")).alias("g"))
     matched = 0
     for r in raw.collect():
         match = re.search(f"(?s){listings.LINE_PATTERN}", lines[r["i"]], re.ASCII)
-        assert r["f"] == (list(match.groups()) if match else None), lines[r["i"]]
+        assert r["f"] == r["g"] == (list(match.groups()) if match else None), lines[r["i"]]
         matched += match is not None
     assert 100 < matched < 1400
     lines = mixed_lines(SCORED, pieces, 4, 1500)
