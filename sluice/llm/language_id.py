@@ -314,7 +314,7 @@ def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), t
             table = np.vstack([table, lattice.scores(new)])
             langs, scores = [], []
             for own in texts:
-                if not own or not known.languages:
+                if not known.languages or all(map(str.isnumeric, own)):  # such as fractions, which are no letters
                     langs.append("und")
                     scores.append(0.0)
                     continue
