@@ -32,7 +32,7 @@ TEXTS = {
     "symbols": " ".join(f"word{i}###" for i in range(40)),
     "shouting": GOOD.upper(),
     "exclaiming": GOOD.replace(" ", "! "),
-    "repeated_lines": "\n".join(["one line of a few words"] * 3 + [f"line {i} of others" for i in range(2)]),
+    "repeated_lines": "\n".join(["one line of a few words"] * 5 + [f"line {i} of others" for i in range(2)]),
     "stuttering": " ".join(f"w{i} w{i}" for i in range(30)),
     "word_length": " ".join("x" * 30 + str(i) for i in range(30)),
     "unlettered": " ".join(f"{i}.{i} x{i}" if i % 3 == 0 else f"{i} {i + 1}" for i in range(30)),
