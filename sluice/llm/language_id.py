@@ -35,6 +35,8 @@ ALPHA = 0.05
 MAX_LANGUAGES = 200
 #: Characters a piece may have; longer pieces of the vocabulary are left out.
 LONGEST = 8
+#: Words of a language that go through a pass of learning together.
+WORDS_AT_ONCE = 20_000
 #: Words whose scores a task remembers.
 REMEMBERED = 300_000
 WORD_START = "▁"
@@ -259,13 +261,22 @@ def learn(
             own_languages, own_pieces, own_probability = pickle.loads(package.value)
             lattice = Lattice(own_pieces, own_probability)
             totals = np.zeros(own_probability.shape)
-            for batch in slices(batches, 20_000):
-                langs, words = np.array(batch.column(0).to_pylist(), object), batch.column(1).to_pylist()
-                counts = batch.column(2).to_numpy(zero_copy_only=False).astype(float)
-                for column, lang in enumerate(own_languages):
-                    at = np.flatnonzero(langs == lang)
-                    if len(at):
-                        totals[:, column] += lattice.expected([words[i] for i in at], counts[at], column)
+            held: dict[str, tuple[list, list]] = {}
+
+            def add(lang: str) -> None:
+                words, counts = held.pop(lang)
+                column = own_languages.index(lang)
+                totals[:, column] += lattice.expected(words, np.array(counts, float), column)
+
+            for batch in batches:  # a pass is cheaper for many words at once
+                for lang, word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    words, counts = held.setdefault(lang, ([], []))
+                    words.append(word)
+                    counts.append(n)
+                    if len(words) == WORDS_AT_ONCE:
+                        add(lang)
+            for lang in list(held):
+                add(lang)
             for column, lang in enumerate(own_languages):
                 rows = np.flatnonzero(totals[:, column])
                 yield pa.RecordBatch.from_arrays(
