@@ -1,11 +1,12 @@
 """Main text of web pages, with what a site repeats on its pages removed.
 
 A page is parsed to a tree once for its elements and once for its text. The structure decides first:
-elements that are no article by their tag, role or class go. Of what is left, every block element's
-subtree is hashed (tag, text and the hashes inside; words in italics may recur in any article), and Spark counts per host on how many pages each
-hash occurs. Subtrees on at least ``min_pages`` pages and on more than ``min_share`` of their host's
-pages are the site's template and go as well, wherever they stand. The share keeps articles, or
-passages, that a site holds in several copies.
+elements that are no article by their tag, role or class go. Every block element's subtree is hashed, also of
+those that went (tag, text and the hashes inside; words in italics may recur in any article), and Spark counts per
+host beside how many different rests of the article each hash occurs: copies of an article count once, as its blocks
+stand beside the same rest in all of them. Subtrees beside at least ``min_pages`` rests and more than
+``min_share`` of the host's different articles, or ``many_pages`` and ``many_share``, are the site's template and go as
+well, wherever they stand. The shares keep passages and headings that a site holds in several articles.
 
 No page is sent to another task for the counting: only hashes are. Pages with template subtrees then
 meet the hashes to delete by a join on the page, as compressed blocks of text.
@@ -24,6 +25,9 @@ from sluice.llm.common import materialise, slices, str_texts, text_batches
 
 MIN_PAGES = 8
 MIN_SHARE = 0.5
+#: On so many pages, as in one section of a large site, a smaller share is enough.
+MANY_PAGES = 100
+MANY_SHARE = 0.1
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no markup; none of them is text of an article.
 RAW = frozenset("script style title textarea iframe noembed noframes xmp".split())
@@ -191,20 +195,27 @@ def prune(root: Element) -> list[Element]:
     return chosen["article"] or chosen["main"] or [root]
 
 
-def hash_subtrees(root: Element) -> None:
-    """Sets ``key`` of every element from its tag, its text and the keys inside."""
+def hash_subtrees(order: list[Element]) -> None:
+    """Sets ``key`` of elements, given each before those inside it, from the tag, the text and the keys inside that
+    can be part of an article."""
     from xxhash import xxh64_intdigest
 
-    for element in reversed(list(elements(root))):
+    for element in reversed(order):
         parts = [element.tag]
         for child in element.children:
             if isinstance(child, Element):
-                parts.append(f"\x00{child.key}")
+                if child.usable:
+                    parts.append(f"\x00{child.key}")
             else:
                 parts.append(" ".join(child.split()))
         element.key = xxh64_intdigest("\x01".join(parts).encode("utf-8", "surrogatepass")) >> 1
 
 
+def counts(element: Element) -> bool:
+    """Whether the element's subtree is looked for on other pages."""
+    return element.tag in BLOCK and element.tag not in ("html", "body", "main", "article")
+
+
 def events(chosen: list[Element]) -> list:
     """The article in page order: the texts, EDGE where a block begins or ends, and around each subtree
     its key before it and None after it."""
@@ -218,7 +229,7 @@ def events(chosen: list[Element]) -> list:
                 continue
             edge = [EDGE] if node.tag in BLOCK else [" "] if node.tag == "br" else []
             inside = [*edge, *node.children, *edge]
-            if node.tag in BLOCK and node is not top and node.tag not in ("html", "body", "main", "article"):
+            if node is not top and counts(node):
                 inside = [node.key, *inside, None]
             stack.extend(reversed(inside))
         out.append(EDGE)
@@ -257,32 +268,80 @@ def text_of(read: list, deleted: frozenset = frozenset()) -> str:
 def article(page: str) -> list:
     root = parse(page)
     chosen = prune(root)
-    hash_subtrees(root)
+    hash_subtrees(list(elements(root)))
     return events(chosen)
 
 
+def rests(page: str) -> tuple[int, dict[int, int], set[int]]:
+    """A number for the article's texts, for every subtree in it the number without that subtree, and the subtrees
+    that stand only in what :func:`prune` takes out."""
+    from xxhash import xxh64_intdigest
+
+    root = parse(page)
+    order = list(elements(root))
+    chosen = prune(root)
+    hash_subtrees(order)
+    total, inside, open_ = 0, {}, []
+    for event in events(chosen):
+        if event is None:
+            key, before = open_.pop()
+            inside[key] = inside.get(key, 0) + total - before
+        elif isinstance(event, int):
+            if event != EDGE:
+                open_.append((event, total))
+        elif words := event.split():
+            total += xxh64_intdigest(" ".join(words).encode("utf-8", "surrogatepass"))
+    low = (1 << 63) - 1
+    return total & low, {key: (total - own) & low for key, own in inside.items()}, {e.key for e in order if counts(e)} - inside.keys()
+
+
 def host_of(url):
     """Lower-cased host of a url column; empty if there is none."""
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://([^/?#]*)", 1))
 
 
 def subtree_counts(pages: DataFrame) -> DataFrame:
-    """``row``, ``host``, ``key`` of every distinct subtree a page's article holds; written."""
+    """``row``, ``host``, ``key``, ``rest``, ``inside`` of every distinct subtree of a page: the article's texts without it,
+    by a number, and whether it is in the article; written. Under the key ``EDGE``, a row per page for the whole article."""
     import pyarrow as pa
 
     def hashed(batches):
         import numpy as np
 
         for batch in slices(batches, 256):
-            found = [{e for e in article(p) if isinstance(e, int) and e != EDGE} if p else set() for p in str_texts(batch.column(2))]
-            owner = pa.array(np.repeat(np.arange(len(found)), [len(f) for f in found]))
-            keys = pa.array([k for f in found for k in f], pa.int64())
+            keys, beside, inside, sizes = [], [], [], []
+            for page in str_texts(batch.column(2)):
+                total, own, others = rests(page)
+                keys += [EDGE, *own, *others]
+                beside += [total, *own.values(), *[total] * len(others)]
+                inside += [False, *[True] * len(own), *[False] * len(others)]
+                sizes.append(1 + len(own) + len(others))
+            owner = pa.array(np.repeat(np.arange(len(sizes)), sizes))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(owner), batch.column(1).take(owner), keys], names=["row", "host", "key"]
+                [
+                    batch.column(0).take(owner),
+                    batch.column(1).take(owner),
+                    pa.array(keys, pa.int64()),
+                    pa.array(beside, pa.int64()),
+                    pa.array(inside, pa.bool_()),
+                ],
+                names=["row", "host", "key", "rest", "inside"],
             )
 
     hosts = pages.select("row", F.xxhash64(host_of(F.col("url"))).alias("host"), "html")
-    return materialise(hosts.mapInArrow(hashed, "row bigint, host bigint, key bigint"), "subtrees")
+    return materialise(hosts.mapInArrow(hashed, "row bigint, host bigint, key bigint, rest bigint, inside boolean"), "subtrees")
+
+
+def recurring(seen: DataFrame, min_pages: int, min_share: float, many_pages: int, many_share: float) -> DataFrame:
+    """``host``, ``key`` of the subtrees that are template; written."""
+    times = seen.select("host", "key", "rest").distinct().groupBy("host", "key").agg(F.count("*").alias("n"))
+    times = times.filter((F.col("n") >= min(min_pages, many_pages)) | (F.col("key") == EDGE))
+    articles = times.filter(F.col("key") == EDGE).select("host", F.col("n").alias("articles"))
+    n, of = F.col("n"), F.col("articles")
+    usual = (n >= min_pages) & (n > min_share * of)
+    many = (n >= many_pages) & (n > many_share * of)
+    found = times.filter(F.col("key") != EDGE).join(articles, "host").filter(usual | many)
+    return materialise(found.select("host", "key"), "template")
 
 
 def main_text(
@@ -292,11 +351,13 @@ def main_text(
     id_col: str = "page_id",
     url_col: str = "url",
     html_col: str = "html",
+    many_pages: int = MANY_PAGES,
+    many_share: float = MANY_SHARE,
 ) -> DataFrame:
     """``page_id``, ``url`` and ``text`` per row.
 
     NULL or empty html, or a page that is template all over, has empty text. Pages without host
-    count as one host's. Repeated rows are pages each, with equal results. Other columns are not read.
+    count as one host's. Repeated rows and copied articles count once. Other columns are not read.
     """
     import pyarrow as pa
 
@@ -308,10 +369,7 @@ def main_text(
     )
     rows = rows.withColumn("row", F.xxhash64("page_id", "url", "html"))
     seen = subtree_counts(rows)
-    hosts = rows.groupBy(F.xxhash64(host_of(F.col("url"))).alias("host")).agg(F.count("*").alias("pages"))
-    counts = seen.groupBy("host", "key").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
-    template = counts.join(hosts, "host").filter(F.col("n") > min_share * F.col("pages")).select("host", "key")
-    template = materialise(template, "template")
+    template = recurring(seen, min_pages, min_share, many_pages, many_share)
     id_type = rows.schema["page_id"].dataType.simpleString()
     schema = f"page_id {id_type}, url string, text string"
 
@@ -349,5 +407,5 @@ def main_text(
     apart = rows.select("row", "page_id", "url", "html").mapInArrow(
         taken_apart, f"row bigint, page_id {id_type}, url string, pieces binary"
     )
-    deleted = seen.join(template, ["host", "key"]).groupBy("row").agg(F.collect_set("key").alias("gone"))
+    deleted = seen.filter("inside").join(template, ["host", "key"]).groupBy("row").agg(F.collect_set("key").alias("gone"))
     return apart.join(deleted, "row", "left").select("page_id", "url", "pieces", "gone").mapInArrow(put_together, schema)

@@ -94,5 +94,33 @@ def test_thresholds(spark):
     assert {r.text for r in H.main_text(df, min_pages=4, min_share=1.0).collect()} == {f"same\nown {i}" for i in range(4)}
 
 
+
+def texts_of(spark, pages, **limits):
+    df = spark.createDataFrame([(i, "http://h.com/", html, "", 0, "") for i, html in enumerate(pages)], PAGES)
+    return [r.text for r in H.main_text(df, **limits).orderBy("page_id").collect()]
+
+
+def test_copies_of_an_article_are_no_template(spark):
+    copied = "<body><nav><ul><li>m{i}</ul></nav><article><p>copied</p><div>twice</div></article><footer>f{i}</footer></body>"
+    pages = [copied.format(i=i) for i in range(20)]
+    assert texts_of(spark, pages) == ["copied\ntwice"] * 20
+    mixed = pages + [f"<article><p>own {i}</p><p>box</p></article>" for i in range(9)]
+    assert texts_of(spark, mixed) == ["copied\ntwice"] * 20 + [f"own {i}" for i in range(9)]
+
+
+def test_blocks_count_also_where_the_structure_takes_them_out(spark):
+    pages = [f"<aside><div><p>box</p></div></aside><p>own {i}</p>" if i < 7 else f"<div><p>box</p></div><p>own {i}</p>" for i in range(10)]
+    assert texts_of(spark, pages) == [f"own {i}" for i in range(10)]
+
+
+def test_many_pages_need_no_half_of_the_host(spark):
+    pages = [f"<p>own {i}</p>" + "<div>section</div>" * (i % 3 == 0) + "<h2>History</h2>" * (i % 20 == 1) for i in range(60)]
+    want = [f"own {i}" + "\nHistory" * (i % 20 == 1) for i in range(60)]
+    assert texts_of(spark, pages, many_pages=20) == want
+    assert texts_of(spark, pages, many_pages=21)[0] == "own 0\nsection"
+    many = [f"<p>own {i}</p>" + "<div>section</div>" * (i % 3 == 0) for i in range(330)]
+    assert texts_of(spark, many) == [f"own {i}" for i in range(330)]
+
+
 def test_empty_table(spark):
     assert H.main_text(spark.createDataFrame([], PAGES)).collect() == []
