@@ -111,7 +111,9 @@ class Complements:
         for index, search in ((self.pairs, self._pair), (self.triples, self._triple)):
             known = index.get(gap)
             if known is None or not self.has(known, used):
-                known = index[gap] = search(gap, used)
+                known = search(gap, used)
+                if known or not search(gap, Counter()):  # a failure for want of what is in used may not last
+                    index[gap] = known
             if known:
                 return known
         return None

@@ -99,6 +99,13 @@ def test_plan_uses_every_piece_once_and_wastes_little(seed):
     assert sequences <= len(bins) + 1
 
 
+def test_a_search_that_failed_for_pieces_set_aside_is_made_again():
+    index = packing.Complements(np.array([0, 0, 1, 1, 0, 0, 0, 0]))
+    assert index.filling(5, Counter([3])) is None
+    assert index.filling(5, Counter()) == (3, 2)
+    assert index.filling(7, Counter()) is None and index.pairs[7] == index.triples[7] == ()
+
+
 def test_packing_nothing(spark):
     assert packing.pack_documents(spark.createDataFrame([], DOCS), BYTES).collect() == []
 
