@@ -185,21 +185,40 @@ class Lattice:
             p = padded[table]
             forward, backward = np.zeros((count, length + 1)), np.zeros((count, length + 1))
             forward[:, 0] = backward[:, length] = 1.0
+            # logarithms of the scales of both, which are rescaled as in _forward
+            scales = np.zeros((2, count, length + 1))
             for end in range(1, length + 1):
                 for n in range(1, min(width, end) + 1):
                     forward[:, end] += forward[:, end - n] * p[:, end - 1, n - 1]
+                scales[0, :, end] = scales[0, :, end - 1]
+                if end % 16 == 0:
+                    rescale(forward, scales[0], slice(max(0, end - width + 1), end + 1), end)
             for start in range(length - 1, -1, -1):
                 for n in range(1, min(width, length - start) + 1):
                     backward[:, start] += backward[:, start + n] * p[:, start + n - 1, n - 1]
+                scales[1, :, start] = scales[1, :, start + 1]
+                if (length - start) % 16 == 0:
+                    rescale(backward, scales[1], slice(start, start + width), start)
             weight = counts[members] / np.maximum(forward[:, length], 1e-300)
             for end in range(1, length + 1):
                 for n in range(1, min(width, end) + 1):
                     rows = table[:, end - 1, n - 1]
-                    share = weight * forward[:, end - n] * p[:, end - 1, n - 1] * backward[:, end]
+                    scale = np.exp(np.minimum(scales[0, :, end - n] + scales[1, :, end] - scales[0, :, length], 700.0))
+                    share = weight * forward[:, end - n] * p[:, end - 1, n - 1] * backward[:, end] * scale
                     out += np.bincount(np.maximum(rows, 0), np.where(rows >= 0, share, 0.0), len(out))
         return out
 
 
+def rescale(sums, scales, live: slice, at: int) -> None:
+    """Takes a common factor out of the ``live`` columns of ``sums``, and notes it in the scales."""
+    import numpy as np
+
+    factor = sums[:, live].max(axis=1)
+    factor[factor == 0] = 1.0
+    sums[:, live] /= factor[:, None]
+    scales[:, live] = (scales[:, at] + np.log(factor))[:, None]
+
+
 def initial(pieces: list[str], languages: int):
     """The same start for all languages: a piece is the less likely the longer it is."""
     import numpy as np

@@ -68,6 +68,15 @@ def test_expected_counts_are_those_of_all_segmentations(lattice):
     assert np.allclose(own.expected(words, counts, 1), want)
 
 
+@pytest.mark.parametrize("word", ["ab" * 20, "x" * 90 + "ab" * 300, "ab" * 3000])
+def test_long_words_give_their_counts(lattice, word):
+    _, pieces, probability = lattice
+    small = L.Lattice(pieces, probability * 1e-4)
+    found = small.expected([word], np.array([2.0]), 1)
+    letters = np.array([1, *map(len, pieces)])
+    assert (found * letters).sum() == pytest.approx(2.0 * (len(word) + 1))
+
+
 def test_long_words_do_not_underflow(lattice):
     own, pieces, probability = lattice
     long = own.scores(["ab" * 3000])
