@@ -238,18 +238,18 @@ def op10_template_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP11_SQL = r"""
 WITH RECURSIVE worded AS (
        SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
-                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x != '') AS w FROM documents),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x != '') AS w FROM documents),
      sets AS (
        SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-              ELSE list_distinct(list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' '))) END AS s FROM worded),
+              ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM worded),
      members AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
      links AS (
        SELECT a.doc_id AS a, b.doc_id AS b FROM members a JOIN members b USING (shingle)
        WHERE a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
        GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
-     both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
-     reached AS (SELECT DISTINCT a AS doc_id, a AS other FROM both
-                 UNION SELECT reached.doc_id, both.b FROM reached JOIN both ON both.a = reached.other),
+     ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+     reached AS (SELECT DISTINCT a AS doc_id, a AS other FROM ways
+                 UNION SELECT reached.doc_id, ways.b FROM reached JOIN ways ON ways.a = reached.other),
      lowest AS (SELECT doc_id, min(other) AS low FROM reached GROUP BY doc_id)
 SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(low, doc_id) AS component_id,
        doc_id = coalesce(low, doc_id) AS kept FROM sets LEFT JOIN lowest USING (doc_id)
