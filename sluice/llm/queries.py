@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontaminate, html_templates, language_id, lm_bloom, minhash, packing, perspectives, quality, records, simhash, url_graph
+from sluice.llm import decontaminate, html_templates, language_id, lm_bloom, minhash, packing, perspectives, quality, records, simhash, spelling, url_graph
 from sluice.llm.common import remainder
 from sluice.queries.registry import table
 from sluice.scratch import scratch_dir
@@ -259,3 +259,8 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, coalesce(low, doc_id) AS co
 @query(OP11_SQL)
 def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle_words=5, percent=85)
+
+
+@query()
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"), least_length=5, least_count=3, factor=2, one_in=97)
