@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm import decontaminate, html_templates, language_id, lm_bloom, minhash, packing, perspectives, quality, records, simhash, spelling, url_graph
+from sluice.llm import decontaminate, html_templates, language_id, lm_bloom, minhash, packing, perspectives, phrases, quality, records, simhash, spelling, url_graph
 from sluice.llm.common import remainder
 from sluice.queries.registry import table
 from sluice.scratch import scratch_dir
@@ -264,3 +264,35 @@ def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"), least_length=5, least_count=3, factor=2, one_in=97)
+
+
+OP13_SQL = r"""
+WITH pieces AS (
+       SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+     worded AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x != '') AS w FROM pieces),
+     grams AS (SELECT lang, s.n AS words, array_to_string(w[i:i + s.n - 1], ' ') AS phrase
+               FROM worded, (VALUES (1), (2), (3)) AS s(n), unnest(range(1, len(w) - s.n + 2)) AS t(i)),
+     counts AS (SELECT lang, words, phrase, count(*) AS f FROM grams GROUP BY ALL),
+     totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM counts WHERE words = 1 GROUP BY lang),
+     candidates AS (SELECT * FROM counts WHERE words > 1 AND f >= 10),
+     cuts AS MATERIALIZED (SELECT lang, phrase, words, f AS a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS head,
+                array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS rest FROM candidates, unnest(range(1, words)) AS t(k)),
+     headed AS MATERIALIZED (SELECT cuts.*, x.f AS l FROM cuts JOIN counts x ON x.lang = cuts.lang AND x.phrase = head),
+     scored AS (SELECT headed.*, y.f AS r, (1000000::HUGEINT * a * a) // (l::HUGEINT * y.f) AS score
+                FROM headed JOIN counts y ON y.lang = headed.lang AND y.phrase = rest),
+     lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+     longer AS (SELECT lang, array_to_string(string_split(phrase, ' ')[i:i + 1], ' ') AS phrase, max(f) AS f
+                FROM candidates, unnest([1, 2]) AS t(i) WHERE words = 3 GROUP BY ALL),
+     kept AS (SELECT lowest.* FROM lowest LEFT JOIN longer USING (lang, phrase) WHERE longer.f IS NULL OR 100 * longer.f < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n,
+       CAST(score AS BIGINT) AS score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
+
+@query(OP13_SQL)
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(
+        table(spark, sf_dir, "documents"), least_words=2, most_words=3, least_count=10, inside_percent=50, first=2000
+    )

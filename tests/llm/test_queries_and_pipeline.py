@@ -22,7 +22,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test table
 
 
 def test_all_are_registered():
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)} and len(QUERIES) == 10
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)} and len(QUERIES) == 13
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
@@ -31,7 +31,7 @@ def test_query(spark, name):
     assert oracle.compare(oracle.connect(SF_DIR), QUERIES[name](spark, SF_DIR), ORACLES[name]) == []
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES)))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - {"op12_spelling_variants"}))
 def test_rows_of_queries_without_sql(spark, name):
     table = "pages" if name.startswith("op10") else "documents"
     column = "page_id" if table == "pages" else "doc_id"
