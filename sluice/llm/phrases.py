@@ -202,9 +202,11 @@ def phrase_counts(rows: DataFrame, most_words: int, least: int, known: Members)
             for size in range(1, most_words + 1):
                 at, fps = block.phrases(size)
                 at = at[known(fps)]
-                key = block.lang[at]
-                for i in range(size):  # numbered anew before it can overflow
-                    key = np.unique(key, return_inverse=True)[1] * max(1, len(numbers)) + word[at + i]
+                key, most = block.lang[at], len(block.langs)
+                for i in range(size):
+                    if most * len(numbers) >= 1 << 62:  # numbered anew, so that it cannot overflow
+                        key, most = np.unique(key, return_inverse=True)[1], len(at)
+                    key, most = key * len(numbers) + word[at + i], most * len(numbers)
                 _, first, count = np.unique(key, return_index=True, return_counts=True)
                 pointers = at[first].tolist()
                 lang += [block.langs[i] for i in block.lang[at[first]].tolist()]
