@@ -14,7 +14,7 @@ from sluice.functions.hashing import HashKey
 from sluice.operators import enrichment, listings, pivot, scored, scoring, sensitive
 from sluice.operators.counts import count_per_key
 from sluice.sinks import tables as sinks
-from sluice.sources import files
+from sluice.sources import files, split_csv
 from sluice.sources.tables import validate_table, validated_projection
 from sluice.streaming import streams
 
@@ -45,19 +45,27 @@ def _load(
     return Load(table, counts, written.filter("NOT readable").select("line"))
 
 
-def _load_csv(spark, csv_path, listings_path, counts_path, derive, multi_line) -> Load:
-    raw = files.read_csv(spark, csv_path, listings.RAW_LISTING, multi_line)
+def _load_csv(spark, csv_path, listings_path, counts_path, derive, multi_line, in_splits=False) -> Load:
+    if in_splits:
+        raw = split_csv.read_split_csv(spark, csv_path, listings.RAW_LISTING)
+    else:
+        raw = files.read_csv(spark, csv_path, listings.RAW_LISTING, multi_line)
     whole = raw.withColumn("_line", F.to_json(F.struct(*raw.columns)))
     return _load(listings.listing_clean(whole), F.col("_line"), listings_path, counts_path, derive)
 
 
-def load_listings(spark: SparkSession, csv_path: str, listings_path: str, counts_path: str, multi_line: bool = True) -> Load:
+def load_listings(spark: SparkSession, csv_path: str, listings_path: str, counts_path: str, multi_line: bool = True,
+                  in_splits: bool = False) -> Load:
     """Listing CSV to a typed table and the listings per neighbourhood.
 
     Rows that cannot be read are dead letters, as JSON of their fields. With ``multi_line`` a file
-    is read by one task: keep files moderate, or switch it off where no field holds a newline.
+    is read by one task: keep files moderate, switch it off where no field holds a newline, or read large files with
+    newlines in quotes ``in_splits``.
     """
-    return _load_csv(spark, csv_path, listings_path, counts_path, lambda t: count_per_key(t, "neighbourhood"), multi_line)
+    def counted(table: DataFrame) -> DataFrame:
+        return count_per_key(table, "neighbourhood")
+
+    return _load_csv(spark, csv_path, listings_path, counts_path, counted, multi_line, in_splits)
 
 
 def load_listing_lines(spark: SparkSession, path: str, header: str, listings_path: str, counts_path: str,

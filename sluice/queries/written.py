@@ -18,7 +18,7 @@ from sluice.queries import texts as text_queries
 from sluice.queries.registry import query, spread_table, table
 from sluice.scratch import scratch_dir
 from sluice.sinks import tables as sinks
-from sluice.sources import files, lookups
+from sluice.sources import files, lookups, split_csv
 from sluice.streaming import streams
 
 _LISTING_ROWS = f"SELECT {dirty.LISTING_ORACLE} FROM orders"
@@ -37,6 +37,38 @@ def csv_roundtrip(spark, sf_dir):
     return back.withColumn("doc_id", F.col("doc_id").try_cast("bigint"))
 
 
+@query("SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN '' WHEN doc_id % 7 = 1 THEN NULL ELSE text END AS text, lang FROM documents")
+def csv_split_roundtrip(spark, sf_dir):
+    """The same, each file read by as many tasks as it has splits, though texts hold newlines."""
+    folder = scratch_dir(spark, "split-csv")
+    text = F.when(F.col("doc_id") % 7 == 0, "").when(F.col("doc_id") % 7 != 1, F.col("text"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", text.alias("text"), "lang")
+    sinks.write_csv(docs, folder)
+    back = split_csv.read_split_csv(spark, folder, files.all_strings(docs.schema))
+    return back.withColumn("doc_id", F.col("doc_id").try_cast("bigint"))
+
+
+@query(
+    """SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'refused' ELSE 'loaded' END AS load, count(*) AS n,
+    sum(CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_custkey END)::BIGINT AS customers FROM orders GROUP BY 1"""
+)
+def csv_refused_early(spark, sf_dir):
+    """Two loads by splits: one with an unreadable customer in every row is refused before anything is written, one is loaded."""
+    folder = scratch_dir(spark, "refused")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.concat("o_orderpriority", F.lit('\n"x"')).alias("note"))
+    is_bad = F.col("o_orderkey") % 3 == 0
+    sinks.write_csv(orders.filter(~is_bad), f"{folder}/good")
+    sinks.write_csv(orders.filter(is_bad).withColumn("o_custkey", F.lit("n/a")), f"{folder}/bad")
+    loaded = files.load_csv(spark, f"{folder}/good", orders.schema, f"{folder}/out", reader=split_csv.read_split_csv, refuse_early=True)
+    refused = None
+    try:
+        files.load_csv(spark, f"{folder}/bad", orders.schema, f"{folder}/refused", reader=split_csv.read_split_csv, refuse_early=True)
+    except files.BadRecordBudgetExceeded:
+        refused = split_csv.read_split_csv(spark, f"{folder}/bad", files.all_strings(orders.schema))
+    sums = [F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(F.col("o_custkey").try_cast("bigint")), F.lit(0)).alias("customers")]
+    return loaded.table.groupBy(F.lit("loaded").alias("load")).agg(*sums).union(refused.groupBy(F.lit("refused").alias("load")).agg(*sums))
+
+
 @query(
     """SELECT o_orderkey, o_custkey, o_orderpriority, CAST(round(o_totalprice) AS BIGINT) AS price
     FROM orders WHERE NOT (o_orderkey BETWEEN 3 AND 9)"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -32,9 +33,9 @@ def read_csv(
     replaced. Empty fields are NULL, quoted ones without text are blank. Give a string schema and type the columns
     afterwards: a typed schema would hide which text could not be read.
 
-    A file with quoted newlines cannot be split, so ``multi_line`` reads one file
-    per task; many files of moderate size read in parallel. With
-    ``multi_line=False`` large files are split as well.
+    With ``multi_line`` Spark reads one file per task; many files of moderate size read in parallel. Large
+    ones are split with ``multi_line=False``, where no field holds a newline, or by
+    :func:`sluice.sources.split_csv.read_split_csv`, where some do.
     """
     return (
         spark.read.schema(schema)
@@ -94,6 +95,8 @@ def load_csv(
     staging: str,
     max_bad_records: int = 10,
     multi_line: bool = True,
+    reader: Callable[[SparkSession, str | list[str], T.StructType], DataFrame] | None = None,
+    refuse_early: bool = False,
 ) -> Loaded:
     """Load a CSV skipping up to ``max_bad_records`` unreadable rows.
 
@@ -101,11 +104,21 @@ def load_csv(
     bad ones are counted by the same job. Over budget this raises, and whatever
     was published before stays and the folder goes; within budget the caller publishes the folder
     (:func:`sluice.sinks.tables.publish`) without copying it.
+
+    ``reader`` reads the files in another way, such as :func:`sluice.sources.split_csv.read_split_csv`. With
+    ``refuse_early`` a search for bad rows goes first, over a few splits and then ever more of them: it ends as soon as the
+    budget is exceeded, with nothing written, however large the files are. A load within budget then reads
+    them twice, so ask for it where bad files are to be expected.
     """
-    raw = read_csv(spark, path, all_strings(schema), multi_line)
+    strings = all_strings(schema)
+    raw = reader(spark, path, strings) if reader else read_csv(spark, path, strings, multi_line)
     marked = raw.select(
         *(_typed(f).alias(f.name) for f in schema.fields), _unreadable(schema).alias("_bad")
     )
+    if refuse_early:
+        found = len(marked.filter("_bad").select("_bad").take(max_bad_records + 1))
+        if found > max_bad_records:
+            raise BadRecordBudgetExceeded(f"more than {max_bad_records} unreadable rows, {max_bad_records} allowed")
     counts = Observation()
     seen = marked.observe(
         counts,
