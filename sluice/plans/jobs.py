@@ -19,6 +19,10 @@ from sluice.sources.tables import validate_table, validated_projection
 from sluice.streaming import streams
 
 
+#: The label of rows of the feed that cannot be read.
+UNREADABLE = "unreadable"
+
+
 class Load(NamedTuple):
     """The written rows, what was derived from them, and the rows that could not be read, as they came.
 
@@ -130,19 +134,32 @@ def route_scores(spark: SparkSession, folder: str, target: str, checkpoint: str,
     """Scored CSV files that arrived to rows by label, appended below ``target``; neutral ones are dropped.
 
     Each file comes in once, however often this runs with the same checkpoint. One write
-    partitioned by label instead of one per label, so the files are read once.
+    partitioned by label instead of one per label, so the files are read once. A row of which some text cannot be read
+    as its number or list is not routed: it goes to a part of its own, see :func:`feed_dead_letters`.
     """
     names = ["tweet_id", "tweet", *scored.SCORES, "word_sample", "tok2vec"]
     raw = streams.arrivals(spark, folder, T.StructType([T.StructField(n, T.StringType()) for n in names]), **options)
-    typed = raw.select(
-        cleaning.whole_number(F.col("tweet_id")).alias("tweet_id"),
-        cleaning.strip_quotes(F.col("tweet")).alias("tweet"),
-        *(cleaning.real_number(F.col(n)).alias(n) for n in scored.SCORES),
-        F.from_json("word_sample", "array<string>").alias("word_sample"),
-        F.from_json("tok2vec", "array<double>").alias("tok2vec"),
-    )
-    streams.drain(scored.route(typed), target, checkpoint, partition_by=["label"])
-    return sinks.read_appended(spark, target)
+    typed = {
+        "tweet_id": cleaning.whole_number(F.col("tweet_id")),
+        "tweet": cleaning.strip_quotes(F.col("tweet")),
+        **{n: cleaning.real_number(F.col(n)) for n in scored.SCORES},
+        "word_sample": F.from_json("word_sample", "array<string>"),
+        "tok2vec": F.from_json("tok2vec", "array<double>"),
+    }
+    unreadable = F.lit(False)
+    for name, column in typed.items():
+        if name != "tweet":
+            unreadable = unreadable | ((F.coalesce(F.trim(name), F.lit("")) != "") & column.isNull())
+    line = F.to_json(F.struct(*names))
+    marked = raw.select(*(c.alias(n) for n, c in typed.items()), F.when(unreadable, line).alias("line"))
+    label = F.when(F.col("line").isNotNull(), UNREADABLE).otherwise(scored.label_of_score(F.col("compound")))
+    streams.drain(marked.withColumn("label", label).filter("label != 'neutral'"), target, checkpoint, partition_by=["label"])
+    return sinks.read_appended(spark, target).filter(F.col("label") != UNREADABLE).drop("line")
+
+
+def feed_dead_letters(spark: SparkSession, target: str) -> DataFrame:
+    """``line``: the rows that :func:`route_scores` could not read, as JSON of their fields."""
+    return sinks.read_appended(spark, target).filter(F.col("label") == UNREADABLE).select("line")
 
 
 def pivot_table(

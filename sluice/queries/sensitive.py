@@ -47,7 +47,7 @@ MESSAGE = f"""CASE c_custkey % 4
     ELSE 'My account number is ' || {_decoy("c_custkey")} || ' and my ssn is ' || {_number("c_custkey")} END"""
 
 # Orders mark whose numbers are known; a customer is listed once per such order.
-_KNOWN_ORDERS = "o_orderpriority = '1-URGENT'"
+KNOWN_ORDERS = "o_orderpriority = '1-URGENT'"
 
 
 def messages(spark, sf_dir):
@@ -56,7 +56,7 @@ def messages(spark, sf_dir):
 
 
 def known_numbers(spark, sf_dir):
-    urgent = table(spark, sf_dir, "orders").filter(_KNOWN_ORDERS)
+    urgent = table(spark, sf_dir, "orders").filter(KNOWN_ORDERS)
     return urgent.select(F.expr(_dashed("o_custkey")).alias("ssn"))
 
 
@@ -84,14 +84,14 @@ def ssn_scan(spark, sf_dir):
     return sensitive.scan(texts, "text")
 
 
-_FORMS = f"""CASE c_custkey % 5 WHEN 0 THEN ' ' || {_dashed("c_custkey")} || E'\\n' WHEN 1 THEN {_number("c_custkey")}
+FORMS = f"""CASE c_custkey % 5 WHEN 0 THEN ' ' || {_dashed("c_custkey")} || E'\\n' WHEN 1 THEN {_number("c_custkey")}
     WHEN 2 THEN {_number("c_custkey")} || '1' WHEN 3 THEN substr({_number("c_custkey")}, 2) END"""
 
 
 def _forms(spark, sf_dir):
     """Good numbers in two spellings, ten digits, eight digits, and none."""
     return table(spark, sf_dir, "customer").select(
-        "c_custkey", F.expr(_FORMS.replace("E'\\n'", "'\\n'")).alias("ssn")
+        "c_custkey", F.expr(FORMS.replace("E'\\n'", "'\\n'")).alias("ssn")
     )
 
 
@@ -112,13 +112,13 @@ def hmac_sha256(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", key.hmac(F.col("c_name")).alias("digest"))
 
 
-@query(f"SELECT DISTINCT {hmac_sql(_number('o_custkey'))} AS hash FROM orders WHERE {_KNOWN_ORDERS}")
+@query(f"SELECT DISTINCT {hmac_sql(_number('o_custkey'))} AS hash FROM orders WHERE {KNOWN_ORDERS}")
 def known_hash_set(spark, sf_dir):
     return known(spark, sf_dir)
 
 
 CONFIRMED = f"""SELECT c_custkey, {hmac_sql(_number('c_custkey'))} AS hash FROM customer
-    WHERE c_custkey % 4 >= 2 AND EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND {_KNOWN_ORDERS})"""
+    WHERE c_custkey % 4 >= 2 AND EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND {KNOWN_ORDERS})"""
 
 
 @query(CONFIRMED)

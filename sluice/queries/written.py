@@ -19,7 +19,7 @@ from sluice.queries.registry import query, spread_table, table
 from sluice.scratch import scratch_dir
 from sluice.sinks import tables as sinks
 from sluice.sources import files, lookups, split_csv
-from sluice.streaming import streams
+from sluice.streaming import branches, streams
 
 _LISTING_ROWS = f"SELECT {dirty.LISTING_ORACLE} FROM orders"
 _LISTING_AND_COUNT = f"SELECT *, count(*) OVER (PARTITION BY neighbourhood) AS n_listings FROM ({_LISTING_ROWS})"
@@ -230,13 +230,57 @@ def stream_ssn_confirm(spark, sf_dir):
     return streams.decoded(spark.read.schema(confirmed.schema).parquet(f"{folder}/confirmed"))
 
 
+_NUMBER_FORM = sensitive_queries.FORMS
+_IS_KNOWN = f"EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND {sensitive_queries.KNOWN_ORDERS})"
+
+
+@query(
+    f"""SELECT state, count(*) AS n FROM (SELECT CASE WHEN c_custkey % 11 = 0 THEN 'not text' WHEN c_custkey % 5 >= 2 THEN 'not a number'
+    WHEN {_IS_KNOWN} THEN 'known' ELSE 'unknown' END AS state FROM customer) GROUP BY state"""
+)
+def stream_bad_messages(spark, sf_dir):
+    """Messages of which some are no text and some no numbers: known, unknown and dead ones are all that arrived.
+    The known set is laid out by hash prefix."""
+    folder = scratch_dir(spark, "bad-messages")
+    branches.write_known(sensitive_queries.known(spark, sf_dir), f"{folder}/known")
+    text = F.encode(F.expr(_NUMBER_FORM.replace("E'\\n'", "'\\n'")), "UTF-8")
+    value = F.when(F.col("c_custkey") % 11 == 0, F.unhex(F.lit("FF31"))).otherwise(text)
+    stream = _stream_of(spark, sf_dir, "customer").select(value.alias("value"))
+    branches.confirm_messages(stream, sensitive_queries.demo_key(spark), f"{folder}/known", f"{folder}/out")
+    numbers = branches.read_branch(spark, f"{folder}/out", "numbers").select(F.when(F.col("known"), "known").otherwise("unknown").alias("state"))
+    dead = branches.read_branch(spark, f"{folder}/out", "dead_letters").select(F.col("reason").alias("state"))
+    return numbers.union(dead).groupBy("state").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    """WITH mark AS (SELECT max(ts) - INTERVAL 1 MINUTE AS watermark FROM events WHERE event_id % 10 <> 0),
+    placed AS (SELECT *, time_bucket(INTERVAL 30 SECONDS, ts) AS opened FROM events),
+    judged AS (SELECT *, event_id % 10 = 0 AND opened + INTERVAL 30 SECONDS <= watermark AS late FROM placed, mark)
+    SELECT strftime(opened, '%Y-%m-%d %H:%M:%S') AS window_start, count(*) FILTER (NOT late) AS n, count(*) FILTER (late) AS n_late
+    FROM judged GROUP BY opened"""
+)
+def window_late_rows(spark, sf_dir):
+    """Events in two runs, the second of which brings rows of windows long closed: counts and late rows are all events."""
+    folder = scratch_dir(spark, "late-rows")
+    events = streams.event_time(table(spark, sf_dir, "events"))
+    for part in (F.col("event_id") % 10 != 0, F.col("event_id") % 10 == 0):
+        events.filter(part).write.mode("append").parquet(f"{folder}/in")
+        branches.write_windows(streams.file_stream(spark, f"{folder}/in", events.schema), f"{folder}/out")
+    counts = branches.window_counts(spark, f"{folder}/out").select("window_start", "n", F.lit(0).cast("bigint").alias("n_late"))
+    late = streams.windowed(branches.read_branch(spark, f"{folder}/out", "late_rows"))
+    late = late.select(F.col("window.start").alias("window_start"), F.lit(0).cast("bigint").alias("n"), F.lit(1).cast("bigint").alias("n_late"))
+    both = counts.union(late).groupBy("window_start").agg(F.sum("n").alias("n"), F.sum("n_late").alias("n_late"))
+    return both.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+
+
 @query(f"SELECT hash, count(*) AS n, true AS has_source FROM ({sensitive_queries.CONFIRMED}) GROUP BY hash")
 def job_confirm_arriving_files(spark, sf_dir):
     """Text files in a folder to confirmed hashes with their source file."""
     folder = scratch_dir(spark, "confirm-files")
     sensitive_queries.messages(spark, sf_dir).select("text").write.text(f"{folder}/in")
+    sensitive_queries.known(spark, sf_dir).write.parquet(f"{folder}/known")  # else each batch would hash it again
     confirmed = jobs.confirm_arriving_files(
-        spark, f"{folder}/in", sensitive_queries.demo_key(spark), sensitive_queries.known(spark, sf_dir),
+        spark, f"{folder}/in", sensitive_queries.demo_key(spark), spark.read.parquet(f"{folder}/known"),
         f"{folder}/out", f"{folder}/checkpoint",
     )
     return confirmed.groupBy("hash").agg(
@@ -409,6 +453,37 @@ def job_feed_two_arrivals(spark, sf_dir):
     return _as_text(routed)
 
 
+@query(
+    """SELECT CASE WHEN doc_id % 5 = 0 OR doc_id % 7 = 0 THEN 'unreadable' WHEN doc_id % 21 < 5 THEN 'neg' ELSE 'pos' END AS label,
+    doc_id % 5 = 0 AS bad_score, doc_id % 7 = 0 AS bad_id, count(*) AS n, sum(length(text))::BIGINT AS chars FROM documents
+    WHERE doc_id % 5 = 0 OR doc_id % 7 = 0 OR doc_id % 21 < 5 OR doc_id % 21 > 16 GROUP BY ALL"""
+)
+def feed_dead_letters(spark, sf_dir):
+    """A hand-off of which some scores and ids cannot be read: those rows are kept as they came, the others routed."""
+    folder = scratch_dir(spark, "feed-dead")
+    doc = F.col("doc_id")
+    scores = [F.lit("0.25").alias(n) for n in ("neg", "neu", "pos", "polarity", "subjectivity")]
+    compound = F.when(doc % 5 == 0, "n/a").otherwise(((doc % 21 - 10) / F.lit(10.0)).cast("string"))
+    lists = [F.lit('["a"]').alias("word_sample"), F.lit(None).cast("string").alias("tok2vec")]
+    rows = table(spark, sf_dir, "documents").select(
+        F.when(doc % 7 == 0, F.concat(F.lit("x"), doc)).otherwise(doc.cast("string")).alias("tweet_id"), F.col("text").alias("tweet"),
+        *scores[:3], compound.alias("compound"), *scores[3:], *lists,
+    )
+    sinks.write_csv(rows, f"{folder}/csv")
+    routed = jobs.route_scores(spark, f"{folder}/csv", f"{folder}/out", f"{folder}/checkpoint")
+    routed = routed.select("label", F.lit(False).alias("bad_score"), F.lit(False).alias("bad_id"), F.col("tweet_id").alias("id"))
+    line = jobs.feed_dead_letters(spark, f"{folder}/out").select(
+        *(F.get_json_object("line", f"$.{c}").alias(c) for c in ("tweet_id", "compound"))
+    )
+    dead = line.select(
+        F.lit(jobs.UNREADABLE).alias("label"), F.col("compound") == "n/a", F.col("tweet_id").startswith("x"),
+        F.replace("tweet_id", F.lit("x"), F.lit("")).cast("bigint").alias("id"),
+    )
+    lengths = table(spark, sf_dir, "documents").select(doc.alias("id"), F.length("text").alias("chars"))
+    joined = routed.union(dead).join(lengths, "id")
+    return joined.groupBy("label", "bad_score", "bad_id").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
+
+
 @query(
     """SELECT n_regionkey, string_agg(n_name, '|' ORDER BY n_name) AS names FROM nation GROUP BY n_regionkey"""
 )

@@ -20,14 +20,15 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
-def _hadoop(spark: SparkSession, path: str):
+def files_of(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it takes it."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder, if it is there."""
-    files, folder = _hadoop(spark, path)
+    files, folder = files_of(spark, path)
     files.delete(folder, True)
 
 
@@ -44,8 +45,8 @@ def overwrite(
     try:
         shaped.write.partitionBy(*partition_by).parquet(staging)
         remove(spark, path)
-        files, new = _hadoop(spark, staging)
-        if not files.rename(new, _hadoop(spark, path)[1]):
+        files, new = files_of(spark, staging)
+        if not files.rename(new, files_of(spark, path)[1]):
             raise OSError(f"cannot put {staging} in place of {path}")
     except BaseException:
         remove(spark, staging)

@@ -80,7 +80,9 @@ def publish_messages(stream: DataFrame, servers: str, topic: str, checkpoint: st
 
 
 def decoded(messages: DataFrame, column: str = "value") -> DataFrame:
-    return messages.withColumn(column, F.decode(column, "UTF-8"))
+    """Bytes as text; bytes that are no UTF-8 are NULL and do not end the stream."""
+    text = F.col(column).cast("string")
+    return messages.withColumn(column, F.when(F.is_valid_utf8(text), text))
 
 
 def encoded(messages: DataFrame, column: str = "value") -> DataFrame:
@@ -91,8 +93,8 @@ def confirmed_messages(messages: DataFrame, key: HashKey, known: DataFrame, broa
     """Numbers in ``value binary`` to the hashes of those that are known, as ``value binary``.
 
     No state is kept: each micro-batch is hashed in place and semi-joined with the
-    known table. Messages that are not numbers are skipped; the same stream through
-    :func:`sluice.operators.sensitive.rejected` shows where they came from.
+    known table. Messages that are not numbers are skipped;
+    :func:`sluice.streaming.branches.confirm_messages` keeps them as dead letters.
     """
     hits = sensitive.confirm(decoded(messages), "value", key, known, broadcast)
     return encoded(hits.withColumnRenamed("hash", "value"))
@@ -127,7 +129,8 @@ def with_open_windows(closed: DataFrame, rows: DataFrame, ts: str = "ts", length
     """The windows a stream has emitted plus those still open, counted from the rows.
 
     Rows at or after the last emitted window's end are in no emitted window, so
-    only the tail of ``rows`` is counted.
+    only the tail of ``rows`` is counted. Rows that came after their window was emitted are in no count:
+    :func:`sluice.streaming.branches.write_windows` keeps those as well.
     """
     earliest = F.lit(datetime.datetime(1, 1, 1))
     kind = rows.schema[ts].dataType
