@@ -18,6 +18,7 @@ from sluice.queries import texts as text_queries
 from sluice.queries.registry import query, spread_table, table
 from sluice.scratch import scratch_dir
 from sluice.sinks import tables as sinks
+from sluice.sinks import versions
 from sluice.sources import files, lookups, split_csv
 from sluice.streaming import branches, streams
 
@@ -105,6 +106,29 @@ def sink_fan_out(spark, sf_dir):
     return dirty._dates_as_text(written.join(counted, "neighbourhood"))
 
 
+@query(_LISTING_AND_COUNT)
+def sink_replace_together(spark, sf_dir):
+    """Rows and their counts replaced together: a replacement that fails between the two tables leaves the first version."""
+    folder = scratch_dir(spark, "together")
+    rows = listings.good_rows(listings.listing_clean(dirty.raw_listings(spark, sf_dir)))
+
+    def both(written):
+        yield "rows", rows
+        yield "counts", count_per_key(written("rows"), "neighbourhood")
+
+    def broken(written):
+        yield "rows", rows.limit(0)
+        raise OSError("between the tables")
+
+    versions.replace_together(spark, folder, both)
+    try:
+        versions.replace_together(spark, folder, broken)
+    except OSError:
+        table_, counts = versions.read_current(spark, folder, "rows", "counts")
+        return dirty._dates_as_text(table_.join(counts, "neighbourhood"))
+    raise AssertionError("a broken replacement went through")
+
+
 @query(
     """SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS o_orderpriority,
     CASE WHEN o_orderstatus <> 'F' THEN o_custkey END AS o_custkey FROM orders"""
