@@ -58,7 +58,7 @@ GATHERED = 4_000_000
 SET_AT_ONCE = 1 << 26
 
 
-def tokens(texts: list[bytes], hasher: segments.Hasher):
+def tokens(texts: list[bytes], hasher: segments.WordHasher):
     """Hashes of all words, END after each text's, and the offsets of the texts."""
     import numpy as np
 
@@ -139,7 +139,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
     def counted(batches):
         import numpy as np
 
-        hasher, held, size = segments.Hasher(), [], 0
+        hasher, held, size = segments.WordHasher(), [], 0
 
         def flush():
             keys, counts = summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
@@ -192,7 +192,7 @@ def levels(texts: DataFrame) -> DataFrame:
     def gathered(batches):
         import numpy as np
 
-        hasher = segments.Hasher()
+        hasher = segments.WordHasher()
         held: dict[bool, list] = {True: [], False: []}
         bounds = np.array([-(-(i << 64) // ranges) for i in range(1, ranges)], np.uint64)
 
@@ -489,7 +489,7 @@ def read_levels(dealt: DataFrame, model: Dealt) -> DataFrame:
     def asked(texts: pa.Table) -> pa.Table:
         import numpy as np
 
-        hasher = kept.setdefault("hasher", segments.Hasher())
+        hasher = kept.setdefault("hasher", segments.WordHasher())
         keys = ngram_keys(tokens(b, hasher) for b in segments.blocks(byte_texts(texts.column("text").combine_chunks())))
         cuts = np.searchsorted(keys, np.arange(parts + 1, dtype=np.uint64) << np.uint64(shift))
         some = np.flatnonzero(np.diff(cuts))
@@ -551,7 +551,7 @@ def score(
     def asked(batches):
         import numpy as np
 
-        hasher, held, size, at = segments.Hasher(), {}, 0, None
+        hasher, held, size, at = segments.WordHasher(), {}, 0, None
 
         def flush():
             for bucket, parts in held.items():
@@ -586,7 +586,7 @@ def score(
         import numpy as np
 
         if "hasher" not in kept:
-            kept["hasher"] = segments.Hasher()
+            kept["hasher"] = segments.WordHasher()
             kept["model"] = package and pickle.loads(package.value)
         raw = byte_texts(texts.column("text").combine_chunks())
         blocks = (tokens(block, kept["hasher"]) for block in segments.blocks(raw))

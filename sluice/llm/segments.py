@@ -1,9 +1,14 @@
 """Cutting UTF-8 texts at white space and hashing the parts, on arrays of bytes.
 
-The hash of a part is a polynomial in its bytes modulo 2**64: a running sum of byte times power
+Two hashes of 64 bits. :class:`WordHasher` tells parts apart: up to seven bytes its hash is a
+number that no other part of up to seven bytes has, and above it is a cryptographic digest, so that texts cannot
+be made to collide. That two of a hundred million different long parts share a digest has a chance
+of about 1 in 4,000.
+
+:class:`Hasher` is a polynomial in the bytes modulo 2**64: a running sum of byte times power
 over all texts gives the sum of every part by one subtraction, and a multiplication by the
-inverse power moves it to the origin. A mixing step follows. Equal parts have equal hashes;
-that two of a hundred million different ones share one has a chance of about 1 in 4,000.
+inverse power moves it to the origin. A mixing step follows. Different parts of a thousand bytes can be made to share
+a hash, so it may only choose what is compared by its bytes afterwards.
 """
 
 from __future__ import annotations
@@ -44,6 +49,43 @@ class Hasher:
         return mixed(h ^ (ends - starts).astype(np.uint64))
 
 
+class WordHasher:
+    """Hashes of byte ranges by which they may be told apart; remembers digests of short ranges it has seen."""
+
+    REMEMBERED, SHORT = 200_000, 64
+
+    def __init__(self):
+        self.known: dict[bytes, int] = {}
+
+    def _digest(self, part: bytes) -> int:
+        from hashlib import blake2b
+
+        found = self.known.get(part)
+        if found is None:
+            found = int.from_bytes(blake2b(part, digest_size=8).digest(), "little")
+            if len(part) <= self.SHORT:
+                if len(self.known) >= self.REMEMBERED:
+                    self.known.clear()
+                self.known[part] = found
+        return found
+
+    def __call__(self, data, starts, ends):
+        import numpy as np
+
+        padded = np.concatenate([data, np.zeros(8, np.uint8)])
+        eight = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))  # the eight bytes from each place on
+        lengths = (ends - starts).astype(np.uint64)
+        bits = np.minimum(lengths, np.uint64(7)) * np.uint64(8)
+        out = eight[starts].astype(np.uint64) & ((np.uint64(1) << bits) - np.uint64(1))
+        out = mixed(out | (lengths << np.uint64(56)))  # one to one
+        long = np.flatnonzero(lengths > 7)
+        if len(long):
+            raw = data.tobytes()
+            parts = (raw[a:b] for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True))
+            out[long] = np.fromiter(map(self._digest, parts), np.uint64, len(long))
+        return out
+
+
 def mixed(h):
     import numpy as np
 

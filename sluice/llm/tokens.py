@@ -35,7 +35,8 @@ def read_tokenizer(path: str) -> str:
 
 
 def memory() -> dict:
-    """A dict that lives as long as the Python worker, so that later tasks find what earlier ones learned."""
+    """A dict that lives as long as the Python worker, so that later tasks find what earlier ones learned: the encoder with
+    up to ``REMEMBERED`` segments. Segments are told apart by :class:`segments.WordHasher`, whose hashes texts cannot be made to share."""
     return sys.__dict__.setdefault("_sluice_memory", {})
 
 
@@ -118,7 +119,7 @@ class SegmentEncoder:
         odd = [re.escape(t[:2].encode()) for t in special]
         self.odd = re.compile(b"|".join([rb"(?:%s)" % WIDE_SPACE, *odd])).search
         self.pattern = re.compile(f"[^{WHITE}]+" if self.words_only else f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
-        self.hasher = segments.Hasher()
+        self.hasher = segments.WordHasher()
         largest = max([*content["model"]["vocab"].values(), *(t["id"] for t in content["added_tokens"])])
         self.kind = "<u2" if largest < 1 << 16 else "<u4"
         self.known = Known(self.kind)
