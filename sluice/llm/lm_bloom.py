@@ -52,6 +52,8 @@ LEAST_BLOCK = 4096
 WEIGHTS = [10.0 * 5**i for i in range(6)]
 #: Levels of pairs that are left out before words are.
 WORDS_AHEAD = 4
+#: All tasks hash words by this key.
+KEY = b"words"
 #: N-grams a task gathers before it passes them on.
 GATHERED = 4_000_000
 #: Bits of blocks that a task sets at once, a byte each.
@@ -139,7 +141,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
     def counted(batches):
         import numpy as np
 
-        hasher, held, size = segments.WordHasher(), [], 0
+        hasher, held, size = segments.WordHasher(KEY), [], 0
 
         def flush():
             keys, counts = summed(*(np.concatenate(x) for x in zip(*held, strict=True)))
@@ -192,7 +194,7 @@ def levels(texts: DataFrame) -> DataFrame:
     def gathered(batches):
         import numpy as np
 
-        hasher = segments.WordHasher()
+        hasher = segments.WordHasher(KEY)
         held: dict[bool, list] = {True: [], False: []}
         bounds = np.array([-(-(i << 64) // ranges) for i in range(1, ranges)], np.uint64)
 
@@ -489,7 +491,7 @@ def read_levels(dealt: DataFrame, model: Dealt) -> DataFrame:
     def asked(texts: pa.Table) -> pa.Table:
         import numpy as np
 
-        hasher = kept.setdefault("hasher", segments.WordHasher())
+        hasher = kept.setdefault("hasher", segments.WordHasher(KEY))
         keys = ngram_keys(tokens(b, hasher) for b in segments.blocks(byte_texts(texts.column("text").combine_chunks())))
         cuts = np.searchsorted(keys, np.arange(parts + 1, dtype=np.uint64) << np.uint64(shift))
         some = np.flatnonzero(np.diff(cuts))
@@ -551,7 +553,7 @@ def score(
     def asked(batches):
         import numpy as np
 
-        hasher, held, size, at = segments.WordHasher(), {}, 0, None
+        hasher, held, size, at = segments.WordHasher(KEY), {}, 0, None
 
         def flush():
             for bucket, parts in held.items():
@@ -586,7 +588,7 @@ def score(
         import numpy as np
 
         if "hasher" not in kept:
-            kept["hasher"] = segments.WordHasher()
+            kept["hasher"] = segments.WordHasher(KEY)
             kept["model"] = package and pickle.loads(package.value)
         raw = byte_texts(texts.column("text").combine_chunks())
         blocks = (tokens(block, kept["hasher"]) for block in segments.blocks(raw))

@@ -1,9 +1,10 @@
 """Cutting UTF-8 texts at white space and hashing the parts, on arrays of bytes.
 
-Two hashes of 64 bits. :class:`WordHasher` tells parts apart: up to seven bytes its hash is a
-number that no other part of up to seven bytes has, and above it is a cryptographic digest, so that texts cannot
-be made to collide. That two of a hundred million different long parts share a digest has a chance
-of about 1 in 4,000.
+Hashes of 64 bits. :class:`WordHasher` tells parts apart: up to seven bytes its hash is a
+number that no other part of up to seven bytes has; up to 32 bytes it mixes eight bytes at a time with numbers drawn from
+a key; above it is a cryptographic digest. Without a key each process draws its own, so that texts cannot be made to
+collide. Where tasks must agree a key is given; one kept secret does the same. That two of a hundred million
+different parts share a hash has a chance of about 1 in 4,000.
 
 :class:`Hasher` is a polynomial in the bytes modulo 2**64: a running sum of byte times power
 over all texts gives the sum of every part by one subtraction, and a multiplication by the
@@ -50,24 +51,24 @@ class Hasher:
 
 
 class WordHasher:
-    """Hashes of byte ranges by which they may be told apart; remembers digests of short ranges it has seen."""
+    """Hashes of byte ranges by which they may be told apart; the same for the same ``key``, by default this object's own."""
 
-    REMEMBERED, SHORT = 200_000, 64
+    WIDEST = 32
 
-    def __init__(self):
-        self.known: dict[bytes, int] = {}
+    def __init__(self, key: bytes | None = None):
+        import os
+        from hashlib import blake2b
+
+        import numpy as np
+
+        self.key = os.urandom(32) if key is None else blake2b(key, digest_size=32).digest()
+        drawn = np.frombuffer(blake2b(self.key, digest_size=2 * self.WIDEST).digest(), "<u8")
+        self.added, self.factors = drawn[0::2].copy(), drawn[1::2] | np.uint64(1)
 
     def _digest(self, part: bytes) -> int:
         from hashlib import blake2b
 
-        found = self.known.get(part)
-        if found is None:
-            found = int.from_bytes(blake2b(part, digest_size=8).digest(), "little")
-            if len(part) <= self.SHORT:
-                if len(self.known) >= self.REMEMBERED:
-                    self.known.clear()
-                self.known[part] = found
-        return found
+        return int.from_bytes(blake2b(part, digest_size=8, key=self.key).digest(), "little")
 
     def __call__(self, data, starts, ends):
         import numpy as np
@@ -75,10 +76,17 @@ class WordHasher:
         padded = np.concatenate([data, np.zeros(8, np.uint8)])
         eight = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))  # the eight bytes from each place on
         lengths = (ends - starts).astype(np.uint64)
-        bits = np.minimum(lengths, np.uint64(7)) * np.uint64(8)
-        out = eight[starts].astype(np.uint64) & ((np.uint64(1) << bits) - np.uint64(1))
-        out = mixed(out | (lengths << np.uint64(56)))  # one to one
-        long = np.flatnonzero(lengths > 7)
+        out = mixed(leading(eight[starts], lengths, 7) | (lengths << np.uint64(56)))  # one to one up to seven bytes
+        where = np.flatnonzero((lengths > 7) & (lengths <= self.WIDEST))
+        out[where] = lengths[where] << np.uint64(56)
+        at, left = starts[where], lengths[where]
+        for added, factor in zip(self.added, self.factors, strict=True):
+            if not len(where):
+                break
+            out[where] = mixed((out[where] ^ (leading(eight[at], left, 8) + added)) * factor)
+            more = left > 8
+            at, left, where = at[more] + 8, left[more] - np.uint64(8), where[more]
+        long = np.flatnonzero(lengths > self.WIDEST)
         if len(long):
             raw = data.tobytes()
             parts = (raw[a:b] for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True))
@@ -86,6 +94,14 @@ class WordHasher:
         return out
 
 
+def leading(eight, lengths, most: int):
+    """The first bytes of each eight, so many as its length says, ``most`` at most."""
+    import numpy as np
+
+    spare = np.uint64(64) - np.minimum(lengths, np.uint64(most)) * np.uint64(8)  # no range is empty
+    return (eight.astype(np.uint64) << spare) >> spare
+
+
 def mixed(h):
     import numpy as np
 

@@ -29,7 +29,7 @@ def words_of(text):
 
 
 def test_tokens_are_the_words_and_an_end():
-    hasher, raw = segments.WordHasher(), [b"", b" A b\tA ", b"b", b"\x0b", "é\xa0x É".encode()]
+    hasher, raw = segments.WordHasher(B.KEY), [b"", b" A b\tA ", b"b", b"\x0b", "é\xa0x É".encode()]
     found, bounds = B.tokens(raw, hasher)
     assert np.diff(bounds).tolist() == [1, 4, 2, 1, 3]
     assert found[1] == found[3] and found[2] == found[5] and found[0] == found[4] == B.END
@@ -37,9 +37,9 @@ def test_tokens_are_the_words_and_an_end():
 
 
 def test_hashes_do_not_depend_on_the_place():
-    hasher = segments.WordHasher()
+    hasher = segments.WordHasher(B.KEY)
     both = B.tokens([b"some words here", b"here some"], hasher)[0]
-    alone = B.tokens([b"here"], segments.WordHasher())[0]
+    alone = B.tokens([b"here"], segments.WordHasher(B.KEY))[0]
     assert both[2] == alone[0] == both[4]
 
 
@@ -68,7 +68,7 @@ def test_no_count_is_read_too_low(model):
     exact = Counter(w for _, t in texts() for w in words_of(t))
     pairs = Counter(p for _, t in texts() for w in [words_of(t)] for p in zip([False, *w], w, strict=False))
     assert (own.tokens, own.types) == (sum(exact.values()), len(exact))
-    hashes = {w: (B.tokens([w], segments.WordHasher())[0][0] if w else np.uint64(B.END)) for w in exact}
+    hashes = {w: (B.tokens([w], segments.WordHasher(B.KEY))[0][0] if w else np.uint64(B.END)) for w in exact}
     keys = np.array([hashes[w] for w in exact], np.uint64)
     read = own.counts(B.word_keys(keys), True)
     lower = [B.thresholds()[B.level_of(np.array([c]))[0]] for c in exact.values()]
@@ -90,7 +90,7 @@ def test_filter_size_is_bounded_by_leaving_out_rare_pairs(spark, model, monkeypa
     assert 8 * small.bits.size == least and small.least[False] > small.least[True] and small.fill() < 0.5
     own, _ = model
     exact = Counter(w for _, t in texts() for w in words_of(t) if w)
-    keys = B.word_keys(np.array([B.tokens([w], segments.WordHasher())[0][0] for w in exact], np.uint64))
+    keys = B.word_keys(np.array([B.tokens([w], segments.WordHasher(B.KEY))[0][0] for w in exact], np.uint64))
     first = B.thresholds()[small.least[True] - 1]
     common = np.array([c >= first for c in exact.values()])
     assert common.any() and (small.counts(keys, True)[common] >= own.counts(keys, True)[common]).all()

@@ -20,12 +20,14 @@ def thue_morse(letters: int) -> tuple[str, str]:
     return word, word.translate(str.maketrans("ab", "ba"))
 
 
-def test_word_hashes_tell_words_apart():
+@pytest.mark.parametrize("key", [None, b"", b"words"])
+def test_word_hashes_tell_words_apart(key):
     rnd = random.Random(1)
     words = {bytes(rnd.choice(b"ab\x00\xc3") for _ in range(rnd.randrange(1, 14))) for _ in range(20_000)}
+    words |= {bytes(rnd.choice(b"ab") for _ in range(n)) for n in range(14, 50) for _ in range(40)}
     words = sorted(words | {w.encode() for n in (1024, 2048, 4096) for w in thue_morse(n)})
     data, offsets = segments.joined(words)
-    hasher = segments.WordHasher()
+    hasher = segments.WordHasher(key)
     first = hasher(data, offsets[:-1], offsets[1:])
     assert len(np.unique(first)) == len(words)
     some = [words[0], words[-1], words[len(words) // 2], b"abcdefgh", b"abcdefghi"]
@@ -36,13 +38,6 @@ def test_word_hashes_tell_words_apart():
     assert len(np.unique(polynomial(data, offsets[:-1], offsets[1:]))) == 1  # what it replaces
 
 
-def test_remembered_digests_are_bounded(monkeypatch):
-    monkeypatch.setattr(segments.WordHasher, "REMEMBERED", 10)
-    hasher = segments.WordHasher()
-    data, offsets = segments.joined([b"word number %d" % i for i in range(50)])
-    assert len(np.unique(hasher(data, offsets[:-1], offsets[1:]))) == 50 and len(hasher.known) <= 10
-
-
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 @pytest.mark.parametrize("letters", [1024, 2048, 4096])
 def test_ids_of_colliding_words_in_one_task(name, letters):
