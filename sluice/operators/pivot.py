@@ -293,6 +293,27 @@ def _exploded_pivot(source, key_cols, label_col, cells, kind, value_col) -> Data
     return grouped.toDF(*key_cols, *names)
 
 
+def string_parts(df: DataFrame, keys: Sequence[str], pivot: str, value: str, part_size: int = 10_000) -> DataFrame:
+    """The lists of a string pivot in long form, for cells too large for one row: ``keys, label, part, parts, strings``.
+
+    A cell's distinct strings are dealt into ``parts`` lists of about ``part_size`` by the first 32 bits of their
+    MD5; each list is sorted, and all of them together are the cell. Cells are counted by combined aggregates and joined to their
+    strings by an exchange that adaptive execution splits, so no task holds a cell. NULL strings are in no list, and a
+    cell without strings has no row.
+    """
+    label = label_of(df, pivot)
+    distinct = df.select(*(F.col(_quoted(k)).alias(f"__k{i}") for i, k in enumerate(keys)), label.alias("__p"),
+                         F.col(_quoted(value)).alias("__v")).filter("__v IS NOT NULL").distinct()
+    cell = [*(f"__k{i}" for i in range(len(keys))), "__p"]
+    counts = distinct.groupBy(*cell).agg(F.count("*").alias("__n"))
+    counts = counts.select(*(F.col(c).alias(f"{c}_of") for c in cell), F.ceil(F.col("__n") / part_size).cast("bigint").alias("parts"))
+    same = reduce(Column.__and__, (F.col(c).eqNullSafe(F.col(f"{c}_of")) for c in cell))
+    bits = F.conv(F.substring(F.md5(F.col("__v").cast("binary")), 1, 8), 16, 10).cast("bigint")
+    dealt = distinct.join(counts, same).withColumn("part", bits % F.col("parts"))
+    lists = dealt.groupBy(*cell, "part", "parts").agg(F.sort_array(F.collect_list("__v")).alias("strings"))
+    return lists.select(*(F.col(f"__k{i}").alias(k) for i, k in enumerate(keys)), F.col("__p").alias("label"), "part", "parts", "strings")
+
+
 def pivot_rows(
     df: DataFrame,
     keys: Sequence[str],

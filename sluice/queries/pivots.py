@@ -162,6 +162,22 @@ def pivot_string_list(spark, sf_dir):
     return lists.select("o_custkey", *(F.array_join(c, "|").alias(c) for c in lists.columns[1:]))
 
 
+_CLERK = "coalesce(o_orderpriority, '') || ' ' || (o_orderkey % 5000)"
+
+
+@query(
+    f"""WITH rows AS (SELECT DISTINCT o_orderstatus, replace(o_orderpriority, ' ', '_') AS label, {_CLERK} AS s FROM orders),
+    sized AS (SELECT *, CAST(ceil(count(*) OVER (PARTITION BY o_orderstatus, label) / 500.0) AS BIGINT) AS parts FROM rows)
+    SELECT o_orderstatus, label, CAST('0x' || substr(md5(s), 1, 8) AS BIGINT) % parts AS part, parts, string_agg(s, '|' ORDER BY s) AS strings
+    FROM sized GROUP BY ALL"""
+)
+def pivot_string_parts(spark, sf_dir):
+    """Cells of thousands of strings as lists of about 500."""
+    rows = table(spark, sf_dir, "orders").withColumn("s", F.expr(_CLERK))
+    parts = pv.string_parts(rows, ["o_orderstatus"], "o_orderpriority", "s", part_size=500)
+    return parts.withColumn("strings", F.array_join("strings", "|"))
+
+
 @query(
     "SELECT o_orderkey, "
     + ", ".join(f"""max(o_orderpriority) FILTER (WHERE o_orderstatus = '{s}') AS "{s}_o_orderpriority\"""" for s in "FOP")

@@ -239,6 +239,24 @@ def stream_dedup(spark, sf_dir):
     return spark.read.parquet(f"{folder}/rows").select("event_id", "user_id", "event_type")
 
 
+@query(
+    """SELECT event_type, count(*) AS kept, sum(1 + event_id % 2)::BIGINT - count(*)::BIGINT AS repeats,
+    sum(event_id)::BIGINT AS ids FROM events GROUP BY event_type"""
+)
+def stream_first_arrivals(spark, sf_dir):
+    """Events of which every second comes again in a later run, long after its time: each is kept once, and repeats are kept apart."""
+    folder = scratch_dir(spark, "first-arrivals")
+    events = streams.event_time(table(spark, sf_dir, "events")).select("event_id", "event_type", "ts")
+    for part in (F.col("event_id") % 3 > 0, F.col("event_id") % 3 == 0, F.col("event_id") % 2 == 1):
+        events.filter(part).write.mode("append").parquet(f"{folder}/in")
+        branches.write_first_arrivals(streams.file_stream(spark, f"{folder}/in", events.schema), f"{folder}/out", ["event_id"])
+    rows = branches.read_branch(spark, f"{folder}/out", "rows").groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("kept"), F.sum("event_id").alias("ids")
+    )
+    repeats = branches.read_branch(spark, f"{folder}/out", "repeats").groupBy("event_type").agg(F.count(F.lit(1)).alias("repeats"))
+    return rows.join(repeats, "event_type", "left")
+
+
 @query(f"SELECT hash AS value FROM ({sensitive_queries.CONFIRMED})")
 def stream_ssn_confirm(spark, sf_dir):
     """Findings published as byte messages, confirmed by a stream, published again."""
@@ -509,19 +527,34 @@ def feed_dead_letters(spark, sf_dir):
 
 
 @query(
-    """SELECT n_regionkey, string_agg(n_name, '|' ORDER BY n_name) AS names FROM nation GROUP BY n_regionkey"""
+    """SELECT doc_id // 20 AS object, md5(string_agg(coalesce(text, '') || chr(10), '' ORDER BY doc_id)) AS digest,
+    sum(length(coalesce(text, '')) + 1)::BIGINT AS chars FROM documents GROUP BY 1"""
 )
 def whole_objects(spark, sf_dir):
-    """One object per region, each read whole with the name it came from."""
+    """Objects of twenty texts each, read whole with the name they came from."""
     folder = scratch_dir(spark, "objects")
-    nations = table(spark, sf_dir, "nation").select("n_name", "n_regionkey")
-    split = nations.repartition(5, "n_regionkey").sortWithinPartitions("n_regionkey", "n_name")
-    split.write.partitionBy("n_regionkey").text(folder)
+    docs = table(spark, sf_dir, "documents").select(F.expr("doc_id DIV 20").alias("object"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    split = docs.repartition("object").sortWithinPartitions("object", "doc_id")
+    split.select("object", "text").write.partitionBy("object").text(folder)
     whole = files.read_objects(spark, folder, whole=True)
     return whole.select(
-        F.regexp_extract("source_file", "n_regionkey=([0-9]+)", 1).cast("int").alias("n_regionkey"),
-        F.replace(F.rtrim("value", F.lit("\n")), F.lit("\n"), F.lit("|")).alias("names"),
-    )
+        F.regexp_extract("source_file", "object=([0-9]+)", 1).cast("bigint").alias("object"),
+        F.md5(F.col("value").cast("binary")).alias("digest"), F.length("value").cast("bigint").alias("chars"),
+    )
+
+
+@query(
+    r"""WITH planted AS (SELECT coalesce(text, '') || ' ' || lpad(CAST(doc_id % 1000 AS VARCHAR), 3, '0') || '-12-3456' || chr(10) AS text FROM documents)
+    SELECT quote, count(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '\b(?:\d{3}-\d{2}-\d{4}|\d{9})\b')) AS quote FROM planted) GROUP BY quote"""
+)
+def ssn_scan_long_lines(spark, sf_dir):
+    """Texts written as objects of one long line, with a number planted in each: searched by the pieces between blanks."""
+    folder = scratch_dir(spark, "long-lines")
+    number = F.concat(F.lit(" "), F.lpad((F.col("doc_id") % 1000).cast("string"), 3, "0"), F.lit("-12-3456 "))
+    text = F.translate(F.coalesce("text", F.lit("")), "\n", "\r")
+    table(spark, sf_dir, "documents").select(F.concat(text, number)).write.option("lineSep", " ").text(folder)
+    found = sensitive.scan(files.read_pieces(spark, folder).select("value"), "value")
+    return found.groupBy("quote").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT p_partkey, p_name FROM part")

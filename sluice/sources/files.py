@@ -63,6 +63,17 @@ def read_objects(spark: SparkSession, path: str | list[str], whole: bool = False
     return spark.read.text(path, wholetext=whole).select("value", F.col("_metadata.file_path").alias("source_file"))
 
 
+def read_pieces(spark: SparkSession, path: str | list[str], separator: str = " ") -> DataFrame:
+    """Text of objects between separators, with the ``source_file`` it came from.
+
+    For searches in objects that may be one very long line, or whose findings may span lines: objects are split at
+    separators and nowhere else, by many tasks, and a row is as long as the text between two of them. A
+    finding that holds no separator is in one row, newlines included.
+    """
+    pieces = spark.read.option("lineSep", separator).text(path)
+    return pieces.select("value", F.col("_metadata.file_path").alias("source_file"))
+
+
 class BadRecordBudgetExceeded(ValueError):
     """More unreadable rows than the load may skip."""
 

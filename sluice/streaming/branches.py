@@ -8,11 +8,12 @@ beside the branches, as numbers have a meaning only together with it.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice.functions.hashing import HashKey
 from sluice.operators import sensitive
@@ -26,19 +27,20 @@ NOT_TEXT, NOT_A_NUMBER = "not text", "not a number"
 
 
 def write_branches(
-    stream: DataFrame, folder: str, branches: Callable[[DataFrame, int], Iterable[tuple[str, DataFrame]]]
-) -> None:
+    stream: DataFrame, folder: str, branches: Callable[[DataFrame, int], Iterable[tuple[str, DataFrame]]],
+    partition_by: Sequence[str] = (),
+) -> None:
     """Everything available now to the branches below ``folder``, then stop; run again for what arrived since.
 
     ``branches`` gets a batch and its number and tells the names and rows of its branches, always the same names.
-    The batch is kept while it is written, so it is read once; what an executor loses is read again.
+    Rows of a batch are laid out by the columns ``partition_by`` that every branch has. The batch is kept while it is written, so it is read once; what an executor loses is read again.
     """
 
     def write(batch: DataFrame, number: int) -> None:
         batch.persist()
         try:
             for name, rows in branches(batch, number):
-                rows.write.mode("overwrite").parquet(f"{folder}/{name}/{BATCH}={number}")
+                rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{folder}/{name}/{BATCH}={number}")
             files, mark = files_of(batch.sparkSession, f"{folder}/_done/{number}")
             files.create(mark, True).close()
         finally:
@@ -56,12 +58,20 @@ def last_done(spark: SparkSession, folder: str) -> int:
     return max((int(s.getPath().getName()) for s in files.listStatus(done)), default=-1)
 
 
-def read_branch(spark: SparkSession, folder: str, name: str, before: int | None = None) -> DataFrame:
-    """The rows of a branch in all batches that are done, or in those before a number."""
+def read_branch(
+    spark: SparkSession, folder: str, name: str, before: int | None = None, schema: T.StructType | str | None = None
+) -> DataFrame:
+    """The rows of a branch in all batches that are done, or in those before a number. Give the ``schema``
+    where the branch may have had no row yet and is laid out by columns."""
     last = last_done(spark, folder) if before is None else before - 1
     if last < 0:
         raise FileNotFoundError(f"no batch is done in {folder}")
-    return spark.read.parquet(f"{folder}/{name}").filter(F.col(BATCH) <= last)
+    reader = spark.read
+    if schema is not None:
+        given = spark.createDataFrame([], schema).schema
+        reader = reader.schema(T.StructType([*given.fields, T.StructField(BATCH, T.IntegerType())]))
+    rows = reader.parquet(f"{folder}/{name}")
+    return rows.filter(F.col(BATCH) <= last)
 
 
 def write_known(known: DataFrame, path: str, digits: int = 2) -> None:
@@ -130,6 +140,37 @@ def write_windows(stream: DataFrame, folder: str, ts: str = "ts", length: str =
     write_branches(stream, folder, branches)
 
 
+def write_first_arrivals(stream: DataFrame, folder: str, keys: Sequence[str], ts: str = "ts", bucket: str = "day") -> None:
+    """The first row of each key to the branch ``rows``, however much later the key comes again, and the others to ``repeats``.
+
+    A redelivery has the time of the row it repeats, so the rows kept before lie under the same ``bucket`` of time (``hour``,
+    ``day``, ``month``): a batch is joined with the buckets it has rows of and with no others, and no state grows with the
+    keys. Rows without a time have a bucket of their own. Rows of a key with different times in different buckets are
+    different rows. The driver gets the distinct buckets of a batch.
+    """
+
+    def branches(batch: DataFrame, number: int) -> Iterable[tuple[str, DataFrame]]:
+        time = F.date_trunc(bucket, F.col(ts).cast("timestamp"))
+        placed = batch.withColumn("bucket", F.coalesce(F.date_format(time, "yyyy-MM-dd-HH"), F.lit("none")))
+        first = F.row_number().over(Window.partitionBy("bucket", *keys).orderBy(F.col(ts).asc_nulls_last()))
+        ranked = placed.withColumn("_place", first)
+        fresh = ranked.filter("_place = 1")
+        try:
+            kept = read_branch(batch.sparkSession, folder, "rows", before=number)
+        except (FileNotFoundError, AnalysisException):
+            repeated = fresh.limit(0)
+        else:
+            buckets = [r[0] for r in placed.select("bucket").distinct().collect()]
+            kept = kept.filter(F.col("bucket").isin(buckets)).select(*(F.col(c).alias(f"_{c}") for c in ("bucket", *keys)))
+            same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ("bucket", *keys)]
+            repeated = fresh.join(kept, same, "left_semi")
+            fresh = fresh.join(kept, same, "left_anti")
+        yield "rows", fresh.drop("_place")
+        yield "repeats", repeated.unionByName(ranked.filter("_place > 1")).drop("_place")
+
+    write_branches(stream, folder, branches, partition_by=["bucket"])
+
+
 def window_counts(spark: SparkSession, folder: str, late: str = "1 minute") -> DataFrame:
     """``window_start, window_end, n, closed`` of :func:`write_windows`; a closed window gets no more rows."""
     mark = _watermark(spark, folder, late)

@@ -8,7 +8,7 @@ from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sluice.operators import listings
+from sluice.operators import listings, sensitive
 from sluice.plans import jobs
 from sluice.scratch import scratch_dir
 from sluice.sinks import tables as sinks
@@ -176,3 +176,20 @@ def test_old_files_are_streamed(spark, folder):
         os.utime(f"{folder}/in-{name}", (time.time() - age * 86400,) * 2)
         streams.drain(streams.file_stream(spark, folder, schema, "text", glob="in-*"), f"{folder}/out", f"{folder}/c")
     assert spark.read.parquet(f"{folder}/out").count() == 2
+
+
+def test_pieces_of_one_long_line(spark, folder):
+    """A file without line ends is searched by many tasks; findings at the borders of splits are found once."""
+    texts = [f"{'x' * (i % 37)} {i:03d}-12-{i:04d}\nnext 9{i:08d}" for i in range(900)]
+    with open(f"{folder}/one.txt", "w") as file:
+        file.write(" ".join(texts))
+    sizes = {"spark.sql.files.maxPartitionBytes": "500", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in sizes}
+    for k, v in sizes.items():
+        spark.conf.set(k, v)
+    pieces = files.read_pieces(spark, folder)
+    assert pieces.rdd.getNumPartitions() > 20
+    found = sorted(r.quote for r in sensitive.scan(pieces, "value").collect())
+    for k, v in before.items():
+        spark.conf.set(k, v)
+    assert found == sorted([f"{i:03d}-12-{i:04d}" for i in range(900)] + [f"9{i:08d}" for i in range(900)])

@@ -197,3 +197,16 @@ def test_schema_text_refuses_too_many_fields(spark):
     assert pv.schema_text(fields).first()[0].startswith("k:STRING,0_n:INTEGER")
     with pytest.raises(pv.PivotError, match="more than 5"):
         pv.schema_text(fields, max_fields=5)
+
+
+def test_strings_of_a_hot_cell_come_in_parts(spark):
+    many = spark.range(30_000).selectExpr("'k' AS k", "true AS p", "CAST(id % 25000 AS STRING) AS s")
+    few = spark.createDataFrame([("k", None, "b"), ("k", None, "a"), (None, False, "x"), (None, False, None), ("z", True, None)], many.schema)
+    parts = pv.string_parts(many.union(few), ["k"], "p", "s", part_size=1000).collect()
+    hot = [r for r in parts if r.label == "True"]
+    assert {r.part for r in hot} == set(range(25)) and {r.parts for r in hot} == {25}
+    assert sorted(s for r in hot for s in r.strings) == sorted(map(str, range(25_000)))
+    assert all(len(r.strings) < 1200 and r.strings == sorted(r.strings) for r in hot)
+    assert {(r.k, r.label, r.part, r.parts, tuple(r.strings)) for r in parts if r not in hot} == {
+        ("k", "None", 0, 1, ("a", "b")), (None, "False", 0, 1, ("x",))
+    }
