@@ -201,7 +201,7 @@ def test_schema_text_refuses_too_many_fields(spark):
 
 def test_strings_of_a_hot_cell_come_in_parts(spark):
     many = spark.range(30_000).selectExpr("'k' AS k", "true AS p", "CAST(id % 25000 AS STRING) AS s")
-    few = spark.createDataFrame([("k", None, "b"), ("k", None, "a"), (None, False, "x"), (None, False, None), ("z", True, None)], many.schema)
+    few = spark.createDataFrame([("k", None, "b"), ("k", None, "a"), (None, False, "x"), (None, False, None), ("z", True, None)], "k string, p boolean, s string")
     parts = pv.string_parts(many.union(few), ["k"], "p", "s", part_size=1000).collect()
     hot = [r for r in parts if r.label == "True"]
     assert {r.part for r in hot} == set(range(25)) and {r.parts for r in hot} == {25}
