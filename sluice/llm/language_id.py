@@ -314,6 +314,15 @@ def learn(
     return Model(languages, pieces, probability)
 
 
+def has_letter(words: set[str] | list[str]) -> bool:
+    """Whether some character is a letter by its Unicode category: fractions are none, ideographs that count are."""
+    from unicodedata import category
+
+    if not all(map(str.isnumeric, words)):  # a word of other than numerals has a letter
+        return True
+    return any(category(c)[0] == "L" for word in words for c in word)
+
+
 def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), text_col: str = "text") -> DataFrame:
     """The columns ``keep`` as ``row``, ``lang_pred`` and ``score`` per row.
 
@@ -344,7 +353,7 @@ def identify(docs: DataFrame, model: Model, keep: Sequence[str] = ("doc_id",), t
             table = np.vstack([table, lattice.scores(new)])
             langs, scores = [], []
             for own in texts:
-                if not known.languages or all(map(str.isnumeric, own)):  # such as fractions, which are no letters
+                if not known.languages or not has_letter(own):
                     langs.append("und")
                     scores.append(0.0)
                     continue

@@ -133,3 +133,8 @@ def test_held_out_accuracy(spark):
     rows = found.join(truth, "doc_id").filter("held_out").collect()
     assert len(rows) > 250 and sum(r.lang == r.lang_pred for r in rows) >= 0.99 * len(rows)
     assert not math.isnan(sum(r.score for r in rows))
+
+
+def test_letters_by_unicode_category():
+    found = {t: L.has_letter(L.words_of(t)) for t in ("一二三", "½", "½ ⅓", "½ a", "", "12", "Ⅷ", "é", "〇")}
+    assert found == {"一二三": True, "½": False, "½ ⅓": False, "½ a": True, "": False, "12": False, "Ⅷ": False, "é": True, "〇": False}
