@@ -38,17 +38,15 @@ URL_RULES = [
 ]
 
 
-def op1_sql(rounds: int = url_graph.ROUNDS, damping: float = url_graph.DAMPING) -> str:
-    """The rounds of :func:`url_graph.spread`, one after the other."""
-    ranks = "r0 AS (SELECT good, host, seed AS rank FROM seeds)"
-    for i in range(1, rounds + 1):
-        ranks += f""",
-     r{i} AS MATERIALIZED (SELECT good, host, sum(part) AS rank
-       FROM (SELECT good, taker AS host, {damping} * rank * share AS part
-             FROM r{i - 1} JOIN shares ON shares.g = r{i - 1}.good AND shares.giver = r{i - 1}.host
-             UNION ALL SELECT good, host, seed FROM seeds) GROUP BY good, host)"""
+def op1_sql(rounds: int = 1000, damping: float = url_graph.DAMPING) -> str:
+    """What seeds give away, followed link by link until it fades; a rank is all that arrives at a host."""
+    ranks = f"""walks AS (
+       SELECT 0 AS step, good, host, seed AS part FROM seeds
+       UNION ALL SELECT step + 1, good, taker, sum({damping} * part * share)
+       FROM walks JOIN shares ON shares.g = walks.good AND shares.giver = walks.host
+       WHERE step < {rounds} GROUP BY step, good, taker)"""
     return rf"""
-WITH located AS (
+WITH RECURSIVE located AS (
        SELECT page_id, html, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1),
                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
               regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
@@ -70,8 +68,8 @@ WITH located AS (
                  SELECT true AS good, host, {1 - damping}::DOUBLE * (a / n) AS seed FROM hosts
                  UNION ALL SELECT false, host, {1 - damping}::DOUBLE * ((n - a) / n) FROM hosts) WHERE seed > 0),
      {ranks},
-     verdicts AS (SELECT host, coalesce(sum(rank) FILTER (good), 0) AS trust, coalesce(sum(rank) FILTER (NOT good), 0) AS distrust
-                  FROM r{rounds} GROUP BY host)
+     verdicts AS (SELECT host, coalesce(sum(part) FILTER (good), 0) AS trust, coalesce(sum(part) FILTER (NOT good), 0) AS distrust
+                  FROM walks GROUP BY host)
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
             WHEN distrust > {url_graph.THRESHOLD} * (trust + distrust) THEN 'block' ELSE 'allow' END AS verdict

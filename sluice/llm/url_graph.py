@@ -7,7 +7,9 @@ among the hosts that link to it. Both are personalised PageRanks, and a host is
 distrust is more than ``threshold`` of the two together; a host that neither reaches is allowed.
 
 All of it is DataFrame work. A link between two hosts is one row however many pages make it; both
-ranks are one table whose rounds are written, so a round costs a join and a sum over the edges.
+ranks are one table whose rounds are written, so a round costs a join and a sum over the edges. A round passes
+on only what arrived in the one before. Rounds go on until no host is reached for the first time and none
+gains more than ``TOLERANCE`` of its rank: on links without cycles until the longest path ends, else some 85 rounds.
 """
 
 from __future__ import annotations
@@ -20,7 +22,10 @@ from pyspark.sql import functions as F
 from sluice.llm.common import discard, lower_ascii, materialise
 
 DAMPING = 0.85
-ROUNDS = 20
+#: The gain in a round, as a share of a host's rank, below which ranks are done.
+TOLERANCE = 1e-6
+#: More rounds than this are an error.
+ROUNDS = 5000
 THRESHOLD = 0.5
 LOCATION = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 #: The host of an absolute link in an anchor; no anchor reaches over the next tag.
@@ -64,10 +69,14 @@ def host_links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
     return links.select("src", lower_ascii(F.col("dst")).alias("dst")).filter("src != '' AND src != dst").distinct()
 
 
-def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+class NotConverged(RuntimeError):
+    """Ranks still changed after the last round allowed."""
+
+
+def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE, rounds: int = ROUNDS) -> DataFrame:
     """``host, trust, distrust`` of all hosts that either reaches, from ``seeds`` (``host, trust, distrust``).
 
-    Stops before ``rounds`` if a round changes nothing.
+    Raises :class:`NotConverged` if ``rounds`` do not end it.
     """
     both = materialise(
         edges.select(F.lit(True).alias("good"), F.col("src").alias("giver"), F.col("dst").alias("taker")).union(
@@ -77,24 +86,24 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds:
     )
     degree = both.groupBy("good", "giver").agg(F.count("*").alias("degree"))
     shares = materialise(both.join(degree, ["good", "giver"]).select("good", "giver", "taker", (1.0 / F.col("degree")).alias("share")), "shares")
-    good = seeds.select(F.lit(True).alias("good"), "host", ((1 - damping) * F.col("trust")).alias("seed"))
-    bad = seeds.select(F.lit(False).alias("good"), "host", ((1 - damping) * F.col("distrust")).alias("seed"))
-    seed = materialise(good.union(bad).filter("seed > 0"), "seeds")
-    now, seen = seed.withColumnRenamed("seed", "rank"), None
-
-    def state(df):
-        return df.agg(F.count("*"), F.sum(F.xxhash64("good", "host", "rank").cast("decimal(38,0)"))).first()
-
+    good = seeds.select(F.lit(True).alias("good"), "host", ((1 - damping) * F.col("trust")).alias("rank"))
+    bad = seeds.select(F.lit(False).alias("good"), "host", ((1 - damping) * F.col("distrust")).alias("rank"))
+    now = materialise(good.union(bad).filter("rank > 0").withColumn("gain", F.col("rank")), "ranks")
+    left = now.limit(1).count()
     for _ in range(rounds):
-        given = now.withColumnRenamed("host", "giver").join(shares, ["good", "giver"])
-        received = given.select("good", F.col("taker").alias("host"), (damping * F.col("rank") * F.col("share")).alias("part"))
-        parts = received.union(seed.select("good", "host", F.col("seed").alias("part")))
-        after = materialise(parts.groupBy("good", "host").agg(F.sum("part").alias("rank")), "ranks")
-        if seen is not None:
-            discard(now)
-        before, seen, now = seen, state(after), after
-        if seen == before:
+        if not left or left <= tolerance:
             break
+        givers = now.filter("gain > 0").select("good", F.col("host").alias("giver"), "gain")
+        arrived = givers.join(shares, ["good", "giver"]).select(
+            "good", F.col("taker").alias("host"), F.lit(0.0).alias("rank"), (damping * F.col("gain") * F.col("share")).alias("gain")
+        )
+        parts = arrived.union(now.select("good", "host", "rank", F.lit(0.0)))
+        sums = parts.groupBy("good", "host").agg(F.sum("rank").alias("rank"), F.sum("gain").alias("gain"))
+        after = materialise(sums.select("good", "host", (F.col("rank") + F.col("gain")).alias("rank"), "gain"), "ranks")
+        discard(now)
+        now, left = after, after.filter("gain > 0").agg(F.max(F.col("gain") / F.col("rank"))).first()[0]
+    else:
+        raise NotConverged(f"a host still gains {left} of its rank after {rounds} rounds")
     part = {name: F.sum(F.when(F.col("good") == value, F.col("rank")).otherwise(0.0)) for name, value in (("trust", True), ("distrust", False))}
     return now.groupBy("host").agg(*[c.alias(n) for n, c in part.items()])
 
@@ -104,6 +113,7 @@ def judge(
     rules: Sequence[Rule],
     threshold: float = THRESHOLD,
     damping: float = DAMPING,
+    tolerance: float = TOLERANCE,
     rounds: int = ROUNDS,
     id_col: str = "page_id",
     url_col: str = "url",
@@ -120,7 +130,7 @@ def judge(
     hosts = ruled.filter("host != '' AND verdict IS NOT NULL").groupBy("host").agg(allowed.alias("a"), blocked.alias("b"))
     total = F.col("a") + F.col("b")
     seeds = hosts.select("host", (F.col("a") / total).alias("trust"), (F.col("b") / total).alias("distrust"))
-    ranks = spread(host_links(pages, url_col, html_col), seeds, damping, rounds)
+    ranks = spread(host_links(pages, url_col, html_col), seeds, damping, tolerance, rounds)
     joined = ruled.join(ranks, "host", "left")
     bad = F.col("distrust") > threshold * (F.col("trust") + F.col("distrust"))
     verdict = F.coalesce("verdict", F.when(bad, "block").otherwise("allow"))
