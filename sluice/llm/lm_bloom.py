@@ -1,8 +1,7 @@
 """Language-model scores from a log-frequency Bloom filter.
 
 Counts of words and word pairs are gathered from all training texts and quantised on a
-logarithmic scale. The filter holds an n-gram together with every level up to its own, from the
-lowest kept; a count is read back by probing level after level until one is missing. A document's probability
+logarithmic scale. The filter holds an n-gram together with every level up to its own; a count is read back by probing level after level until one is missing. A document's probability
 comes from such probes alone::
 
     P(word | previous) = (pair + weight * P(word)) / (context + weight)
@@ -12,12 +11,10 @@ The weight is that of a fixed list under which all training texts are likeliest,
 occurrence being left out of its counts.
 
 A probe may wrongly succeed, with the chance that ``probes`` bits are set by accident, and then a
-count is read too high; none is read too low. Words count from one occurrence on; pairs from two,
-as a single one is level zero. The filter takes ``BITS_PER_LEVEL`` bits for each level stored. Up to
+count is read too high; none is read too low. Words and pairs count from one occurrence on. The filter takes ``BITS_PER_LEVEL`` bits for each level stored. Up to
 ``max_bits`` it is broadcast. A larger one is dealt by ranges of keys into filters of at most ``max_bits``: documents
 are dealt into buckets, each bucket asks every filter for the levels of its distinct n-grams in that range, and meets
 the answers. So every n-gram keeps its level whatever the corpus, and no worker holds more than one filter.
-Only :func:`build` by itself leaves out the rarest n-grams for the sake of size, words ``WORDS_AHEAD`` levels later than pairs.
 
 Besides, every score comes with an exact baseline by add-one word probabilities. Its counts are no
 broadcast: documents are dealt into buckets, each bucket asks for the counts of its distinct words by
@@ -49,9 +46,7 @@ BLOCKS = 4096
 #: Bits of a block at least: all levels of a frequent n-gram, up to some 360 bits, must leave it mostly empty.
 LEAST_BLOCK = 4096
 #: Weights of the word probability against the pair's context to choose from.
-WEIGHTS = [10.0 * 5**i for i in range(6)]
-#: Levels of pairs that are left out before words are.
-WORDS_AHEAD = 4
+WEIGHTS = [0.4 * 5**i for i in range(8)]
 #: All tasks hash words by this key.
 KEY = b"words"
 #: N-grams a task gathers before it passes them on.
@@ -243,8 +238,7 @@ def levels(texts: DataFrame) -> DataFrame:
             for k, c in zip(table.column("keys"), table.column("counts"), strict=True)
         ]
         keys, counts = summed(*(np.concatenate(x) for x in zip(*parts, strict=True)))
-        level = level_of(counts) + int(words)
-        keys, level = keys[level > 0], level[level > 0]
+        level = level_of(counts) + 1
         histogram = np.bincount(level, minlength=MAX_LEVEL + 2)
         return pa.table(
             {
@@ -273,23 +267,22 @@ def bit_places(keys, level, block_bits: int):
 
 
 class Filter:
-    """The filter, or its blocks from ``first`` on, the tokens and types it was made from, and the lowest levels
-    kept, of pairs and of words."""
+    """The filter, or its blocks from ``first`` on, and the tokens and types it was made from."""
 
-    def __init__(self, bits, tokens: int, types: int, least: dict[bool, int], first: int = 0):
-        self.bits, self.tokens, self.types, self.least, self.first = bits, tokens, types, least, first
+    def __init__(self, bits, tokens: int, types: int, first: int = 0):
+        self.bits, self.tokens, self.types, self.first = bits, tokens, types, first
 
     def fill(self) -> float:
         import numpy as np
 
         return float(np.bitwise_count(self.bits).sum() / (8 * self.bits.size))
 
-    def level(self, keys, words: bool):
-        """Levels of the keys of words, or pairs, by repeated probes; 0 if the n-gram is not there."""
+    def level(self, keys):
+        """Levels of keys by repeated probes; 0 if the n-gram is not there."""
         import numpy as np
 
         keys = keys >> np.uint64(16)
-        out, left, level = np.zeros(len(keys), np.int64), np.arange(len(keys)), self.least[words]
+        out, left, level = np.zeros(len(keys), np.int64), np.arange(len(keys)), 1
         width = 8 * self.bits.shape[1]
         flat = self.bits.ravel()
         while len(left) and level <= MAX_LEVEL + 1:
@@ -304,27 +297,25 @@ class Filter:
             level += 1
         return out
 
-    def counts(self, keys, words: bool):
+    def counts(self, keys):
         """Counts as read back: the middle of the level."""
         import numpy as np
 
         first = thresholds()
-        middle = np.r_[0.0, (first[:-1] + first[1:] - 1) / 2]
-        level = self.level(keys, words)
-        return middle[level] if words else np.where(level > 0, middle[np.minimum(level + 1, len(middle) - 1)], 0.0)
+        return np.r_[0.0, (first[:-1] + first[1:] - 1) / 2][self.level(keys)]
 
     def evidence(self, words, bounds):
         """For each token the counts of the pair, of the token before it, and of itself."""
         import numpy as np
 
         known, at = np.unique(np.r_[words, np.uint64(START)], return_inverse=True)
-        count = self.counts(word_keys(known), True)
+        count = self.counts(word_keys(known))
         now, before = at[: len(words)], np.empty(len(words), np.int64)
         before[1:] = now[:-1]
         before[bounds[:-1]] = at[-1]
         pairs, place = np.unique(pair_keys(known[before], words), return_inverse=True)
         context = count[before]
-        return np.minimum(self.counts(pairs, False)[place], context), context, count[now]
+        return np.minimum(self.counts(pairs)[place], context), context, count[now]
 
     def logs(self, words, bounds, training):
         """Two arrays [weight, text]: logarithms to base 10 of the texts' probabilities under each of ``WEIGHTS``, and
@@ -335,8 +326,6 @@ class Filter:
         out = np.zeros((2, len(WEIGHTS), len(first)))
         for left_out in (0, 1):
             pair, context, count = (np.maximum(x - left_out, 0.0) for x in evidence)
-            if left_out:
-                pair[pair < 2] = 0.0  # a pair seen once besides would not be in the filter
             alone = np.minimum((count + 1) / (self.tokens + self.types + 1 - left_out), 1.0)
             for i, weight in enumerate(WEIGHTS):
                 out[left_out, i] = np.add.reduceat(np.log((pair + weight * alone) / (context + weight)), first)
@@ -348,10 +337,10 @@ class Answers(Filter):
     """Levels of some keys as read from dealt filters, in the order of the keys."""
 
     def __init__(self, keys, levels, tokens: int, types: int):
-        super().__init__(None, tokens, types, EVERY)
+        super().__init__(None, tokens, types)
         self.keys, self.levels = keys, levels
 
-    def level(self, keys, words: bool):
+    def level(self, keys):
         import numpy as np
 
         own = keys >> np.uint64(16)
@@ -372,23 +361,11 @@ class Dealt:
         return min(BLOCKS, 1 << (max(least, self.bits // self.max_bits) - 1).bit_length())
 
 
-#: Lowest levels of pairs and words if none is left out.
-EVERY = {False: 1, True: 1}
-
-
-def stored_levels(packed: DataFrame) -> dict[bool, list[int]]:
-    """How many pairs (False) and words (True) have each level."""
-    sums = packed.select("words", F.posexplode("histogram").alias("level", "n")).groupBy("words", "level").agg(F.sum("n").alias("n"))
-    having: dict[bool, list[int]] = {True: [0] * (MAX_LEVEL + 2), False: [0] * (MAX_LEVEL + 2)}
-    for r in sums.collect():
-        having[r["words"]][r["level"]] = r["n"]
-    return having
-
-
-def needed(having: dict[bool, list[int]], least: dict[bool, int]) -> int:
-    """Bits for all levels from ``least`` on."""
-    total = sum(n * (level - least[w] + 1) for w in least for level, n in enumerate(having[w]) if level >= least[w])
-    return total * BITS_PER_LEVEL
+def needed(packed: DataFrame) -> int:
+    """Bits for all levels of all n-grams."""
+    stored = F.aggregate("histogram", F.struct(F.lit(0).cast("bigint").alias("at"), F.lit(0).cast("bigint").alias("sum")),
+                         lambda s, n: F.struct((s["at"] + 1).alias("at"), (s["sum"] + s["at"] * n).alias("sum")), lambda s: s["sum"])
+    return packed.agg(F.coalesce(F.sum(stored), F.lit(0))).first()[0] * BITS_PER_LEVEL
 
 
 def rounded(bits: int) -> int:
@@ -396,7 +373,7 @@ def rounded(bits: int) -> int:
     return max(LEAST_BLOCK * BLOCKS, 1 << (max(1, bits) - 1).bit_length())
 
 
-def set_bits(packed: DataFrame, least: dict[bool, int], width: int) -> DataFrame:
+def set_bits(packed: DataFrame, width: int) -> DataFrame:
     """``block``, ``bits``: blocks of ``width`` bits with the n-grams of one row of written levels; a block may have several rows."""
     import pyarrow as pa
 
@@ -406,10 +383,8 @@ def set_bits(packed: DataFrame, least: dict[bool, int], width: int) -> DataFrame
         import numpy as np
 
         for batch in slices(batches, 1):
-            words = batch.column(0)[0].as_py()
-            keys = np.cumsum(expanded(batch.column(1)[0].as_py()), dtype=np.uint64)
-            levels = np.frombuffer(batch.column(2)[0].as_py(), np.uint8)
-            keys, levels = keys[levels >= least[words]], levels[levels >= least[words]]
+            keys = np.cumsum(expanded(batch.column(0)[0].as_py()), dtype=np.uint64)
+            levels = np.frombuffer(batch.column(1)[0].as_py(), np.uint8)
             if not len(keys):
                 continue
             blocks = (keys >> np.uint64(36)).astype(np.int64)
@@ -419,7 +394,7 @@ def set_bits(packed: DataFrame, least: dict[bool, int], width: int) -> DataFrame
                     continue
                 block, own_keys, level = blocks[part], keys[part], levels[part]
                 own = np.zeros((int(block[-1]) - lowest + 1) * width, bool)
-                for n in range(least[words], int(level.max()) + 1):
+                for n in range(1, int(level.max()) + 1):
                     block, own_keys, level = (x[level >= n] for x in (block, own_keys, level))
                     for place in bit_places(own_keys, n, width):
                         own[(block - lowest) * width + place.astype(np.int64)] = True
@@ -430,38 +405,36 @@ def set_bits(packed: DataFrame, least: dict[bool, int], width: int) -> DataFrame
                     [pa.array(numbers[some]), pa.array([r.tobytes() for r in rows[some]], pa.binary())], names=["block", "bits"]
                 )
 
-    return packed.select("words", "keys", "levels").mapInArrow(placed, "block bigint, bits binary")
+    return packed.select("keys", "levels").mapInArrow(placed, "block bigint, bits binary")
 
 
 def build(packed: DataFrame, tokens: int, types: int, max_bits: int = MAX_BITS) -> Filter:
-    """The filter of written levels. Its bits come to the driver in ``BLOCKS`` rows, ``max_bits`` at most; see
-    :func:`model_of` for one that leaves nothing out."""
+    """The filter of written levels. Its bits come to the driver in ``BLOCKS`` rows, ``max_bits`` at most; more
+    is an error, see :func:`model_of`."""
     import numpy as np
     import pyarrow as pa
 
     if max_bits < LEAST_BLOCK * BLOCKS or max_bits & (max_bits - 1):
         raise ValueError(f"max_bits must be a power of two from {LEAST_BLOCK * BLOCKS} on: {max_bits}")
-    having = stored_levels(packed)
-    for lowest in range(1, MAX_LEVEL + WORDS_AHEAD + 2):
-        least = {False: lowest, True: max(1, lowest - WORDS_AHEAD)}
-        if needed(having, least) <= max_bits:
-            break
-    width = min(max_bits, rounded(needed(having, least))) // BLOCKS
+    bits = needed(packed)
+    if bits > max_bits:
+        raise ValueError(f"all n-grams take {bits} bits, more than {max_bits}")
+    width = rounded(bits) // BLOCKS
 
     def united(table: pa.Table) -> pa.Table:
         both = np.bitwise_or.reduce([np.frombuffer(b.as_py(), np.uint8) for b in table.column("bits")])
         return pa.table({"block": table.column("block")[:1], "bits": pa.array([both.tobytes()], pa.binary())})
 
-    blocks = set_bits(packed, least, width).groupBy("block").applyInArrow(united, "block bigint, bits binary")
+    blocks = set_bits(packed, width).groupBy("block").applyInArrow(united, "block bigint, bits binary")
     out = np.zeros((BLOCKS, width // 8), np.uint8)
     for r in blocks.collect():
         out[r["block"]] = np.frombuffer(r["bits"], np.uint8)
-    return Filter(out, tokens, types, least)
+    return Filter(out, tokens, types)
 
 
 def model_of(packed: DataFrame, tokens: int, types: int, max_bits: int = MAX_BITS) -> Filter | Dealt:
     """A filter of all written levels, or if that takes more than ``max_bits``, what is to be dealt into several."""
-    bits = needed(stored_levels(packed), EVERY)
+    bits = needed(packed)
     return build(packed, tokens, types, max_bits) if bits <= max_bits else Dealt(packed, tokens, types, rounded(bits), max_bits)
 
 
@@ -509,15 +482,15 @@ def read_levels(dealt: DataFrame, model: Dealt) -> DataFrame:
             bits = np.zeros((per, width // 8), np.uint8)
             for block, own in zip(blocks.column("block").to_pylist(), blocks.column("bits"), strict=True):
                 bits[block - first] |= np.frombuffer(own.as_py(), np.uint8)
-            own = Filter(bits, model_tokens, model_types, EVERY, first)
+            own = Filter(bits, model_tokens, model_types, first)
             for row in asks.column("keys"):
                 keys = np.cumsum(expanded(row.as_py()), dtype=np.uint64) << np.uint64(16)
-                out.append(zstandard.ZstdCompressor(level=1).compress(own.level(keys, False).astype(np.uint8).tobytes()))
+                out.append(zstandard.ZstdCompressor(level=1).compress(own.level(keys).astype(np.uint8).tobytes()))
         return pa.table({"bucket": asks.column("bucket"), "part": asks.column("part"), "levels": pa.array(out, pa.binary())})
 
     model_tokens, model_types = model.tokens, model.types
     asks = dealt.groupBy("bucket").applyInArrow(asked, "bucket bigint, part bigint, keys binary")
-    blocks = set_bits(model.packed, EVERY, width).withColumn("part", F.expr(f"block div {per}"))
+    blocks = set_bits(model.packed, width).withColumn("part", F.expr(f"block div {per}"))
     return asks.groupBy("part").cogroup(blocks.groupBy("part")).applyInArrow(answered, "bucket bigint, part bigint, levels binary")
 
 
