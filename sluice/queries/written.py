@@ -19,7 +19,7 @@ from sluice.queries.registry import query, spread_table, table
 from sluice.scratch import scratch_dir
 from sluice.sinks import tables as sinks
 from sluice.sinks import versions
-from sluice.sources import files, lookups, split_csv
+from sluice.sources import files, lookups, split_csv, split_json
 from sluice.streaming import branches, streams
 
 _LISTING_ROWS = f"SELECT {dirty.LISTING_ORACLE} FROM orders"
@@ -165,6 +165,19 @@ def lookup_file(spark, sf_dir):
     return lookups.explode_lookup(spark.read.text(folder), "value", _FIELD, "customer")
 
 
+@query(lookup_queries.ORACLE_LOOKUP)
+def lookup_one_object(spark, sf_dir):
+    """The same kept as a single object in a single file, read by as many tasks as the file has splits."""
+    folder = scratch_dir(spark, "one-object")
+    objects = lookup_queries.customer_lookup_json(spark, sf_dir)
+    least = objects.agg(F.min("value")).first()[0]
+    inner = F.regexp_replace("value", r"^\{|\}$", "")
+    entries = objects.select(F.lit(1).alias("at"), F.when(F.col("value") == least, inner).otherwise(F.concat(F.lit(","), inner)).alias("value"), "value")
+    lines = entries.toDF("at", "value", "whole").union(spark.createDataFrame([(0, "{", ""), (2, "}", "")], "at int, value string, whole string"))
+    lines.repartition(1).sortWithinPartitions("at", "whole").select("value").write.text(folder)
+    return split_json.read_split_lookup(spark, folder, _FIELD, "customer")
+
+
 _SCORED = f"""SELECT doc_id AS tweet_id, s.compound, w.word_sample
     FROM ({text_queries.SENTIMENT}) s JOIN ({text_queries.SAMPLE}) w USING (doc_id)"""
 
