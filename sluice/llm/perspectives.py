@@ -4,9 +4,10 @@ For each participant the dialogue is rendered with that speaker as the assistant
 users with their names; system turns stay system turns. The mask marks what the assistant says, which
 is what a model is to learn from that rendering.
 
-All of it is DataFrame work. A dialogue is cut into blocks of turn numbers, and a block into parts
-of at most ``part_turns`` turns, so that no dialogue, however long, is gathered in one row;
-usual dialogues are one part. Parts in the order of ``block`` and ``part`` give the whole.
+All of it is DataFrame work. A dialogue of up to ``part_turns`` turns is one row a participant. A longer one is
+cut into blocks by place: the turns whose number has from ``block * part_turns`` earlier turns on, up to the next block. Only of
+one number may a block have more turns, and is then cut into parts; so no dialogue, however long, is gathered
+in one row. Parts in the order of ``block`` and ``part`` give the whole.
 """
 
 from __future__ import annotations
@@ -14,12 +15,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sluice.llm.common import materialise
+
 SYSTEM = "system"
 PART_TURNS = 512
 #: Marks of the rendering. In names and texts ``<|`` becomes ``< |``, so that no turn can forge one.
 OPEN, CLOSE = "<|", "<|end|>"
 
 
+def blocks_of_long(rows: DataFrame, part_turns: int) -> DataFrame:
+    """``of, at, block`` per conversation and turn number of ``rows`` (``conv_id, turn``), for conversations of more than ``part_turns`` turns.
+
+    Written. Turns are counted by number first and summed in ranges of numbers, so no task meets a whole conversation.
+    """
+    number = rows.groupBy("conv_id", "turn").agg(F.count(F.lit(1)).alias("n"))
+    number = number.select(F.col("conv_id").alias("of"), F.col("turn").alias("at"), F.floor(F.col("turn") / part_turns).alias("range"), "n")
+    ranges = number.groupBy("of", "range").agg(F.sum("n").alias("n"))
+    whole = Window.partitionBy("of")
+    before = F.sum("n").over(whole.orderBy("range")) - F.col("n")
+    long = ranges.select("of", "range", before.alias("before"), F.sum("n").over(whole).alias("all")).filter(F.col("all") > part_turns)
+    earlier = F.sum("n").over(Window.partitionBy("of", "range").orderBy("at")) - F.col("n")
+    placed = number.select("of", "range", "at", earlier.alias("earlier")).alias("n")
+    same = F.col("n.of").eqNullSafe(F.col("l.of")) & (F.col("n.range") == F.col("l.range"))
+    joined = placed.join(long.alias("l"), same)
+    block = F.floor((F.col("before") + F.col("earlier")) / part_turns)
+    return materialise(joined.select("n.of", "at", block.alias("block")), "blocks")
+
+
 def rotate(
     turns: DataFrame,
     part_turns: int = PART_TURNS,
@@ -33,7 +55,7 @@ def rotate(
     ``mask`` lists the spans of ``text`` to learn from as ``start-end``, joined by commas, counted in code
     points, the end mark of a turn included. Participants are the roles of the dialogue but ``system``.
     Turns are ordered by number, of equal numbers by role and text; a NULL number is -1, a NULL text
-    empty, and a NULL or empty role an unnamed user and no participant. Repeated rows are turns
+    empty, and a NULL or empty role an unnamed user and no participant. A very long text is one turn. Repeated rows are turns
     each. Rows without conversation are one conversation. A dialogue without participants, and an
     empty table, give no rows. Other columns are not read.
     """
@@ -43,7 +65,10 @@ def rotate(
         F.coalesce(F.col(turn_col).cast("bigint"), F.lit(-1)).alias("turn"),
         safe[role_col].alias("role"),
         safe[text_col].alias("said"),
-    ).withColumn("block", F.floor(F.col("turn") / part_turns))
+    )
+    known = blocks_of_long(rows.select("conv_id", "turn"), part_turns)
+    long = rows.join(known, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("turn") == F.col("at")), "left").drop("of", "at")
+    rows = long.withColumn("block", F.coalesce("block", F.lit(0).cast("bigint")))
     place = F.row_number().over(Window.partitionBy("conv_id", "block").orderBy("turn", "role", "said"))
     parts = (
         rows.withColumn("place", place)

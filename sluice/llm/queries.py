@@ -130,7 +130,9 @@ def op6_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP7_SQL = """
 WITH t AS (SELECT conv_id, coalesce(turn, -1) AS turn, replace(coalesce(role, ''), '<|', '< |') AS role,
-             replace(coalesce(text, ''), '<|', '< |') AS said, floor(coalesce(turn, -1) / 512)::BIGINT AS block
+             replace(coalesce(text, ''), '<|', '< |') AS said,
+             CASE WHEN count(*) OVER (PARTITION BY conv_id) > 512
+                  THEN (rank() OVER (PARTITION BY conv_id ORDER BY coalesce(turn, -1)) - 1) // 512 ELSE 0 END::BIGINT AS block
            FROM conversations),
      placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id, block ORDER BY turn, role, said) AS place FROM t),
      speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM t WHERE role NOT IN ('system', '')),

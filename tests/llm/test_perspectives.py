@@ -20,7 +20,8 @@ def plain(rows, part_turns):
         )
         blocks: dict = {}
         for turn in own:
-            blocks.setdefault(turn[0] // part_turns, []).append(turn)
+            earlier = sum(t[0] < turn[0] for t in own)
+            blocks.setdefault(earlier // part_turns if len(own) > part_turns else 0, []).append(turn)
         for speaker in {r for _, r, _ in own} - {"", "system"}:
             for block, turns in blocks.items():
                 for part in range(0, len(turns), part_turns):
@@ -60,6 +61,12 @@ def test_every_side_is_rendered(spark, part_turns):
     assert got == plain(rows, part_turns)
 
 
+def test_a_short_dialogue_is_whole_whatever_its_numbers(spark):
+    rows = [(conv, n, "ab"[n % 2], f"turn {n}") for conv in (1, None) for n in (511, 512, 513, 40_000)]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string")
+    assert [(r.block, r.part, r.n_turns) for r in P.rotate(df).collect()] == [(0, 0, 4)] * 4
+
+
 def test_masks_cover_what_the_speaker_says(spark):
     df = spark.createDataFrame([(1, 0, "a", "é🙂"), (1, 1, "b", "yes"), (1, 2, "a", "no")], "conv_id long, turn int, role string, text string")
     for r in P.rotate(df).collect():
