@@ -90,25 +90,33 @@ def lexicon_polarity(texts: DataFrame, lexicon: DataFrame, id_column: str, text_
 
 
 def all_scores(
-    texts: DataFrame, lexicon: DataFrame, id_column: str, text_column: str, carry: Sequence[str] = ()
-) -> DataFrame:
+    texts: DataFrame, lexicon: DataFrame, id_column: str, text_column: str, carry: Sequence[str] = (),
+    vectors: DataFrame | None = None, width: int | None = None,
+) -> DataFrame:
     """Sentiment, polarity and word sample of each text, from one pass over its tokens.
 
     The columns in ``carry`` come along with the first token of a text, so that they need no join back.
+    With ``vectors`` (``token, vector``, see :func:`document_vector`) the same pass adds the mean ``vector``.
+    Words that neither knows are no more than a number of the text, which its first token carries as well, and
+    are dropped before the aggregate.
     """
-    split = texts.select(
-        id_column, *carry, F.posexplode_outer(tokens(F.col(text_column))).alias("pos", "token")
-    )
+    split = texts.select(id_column, *carry, tokens(F.col(text_column)).alias("_tokens"))
+    split = split.select(id_column, *carry, F.size("_tokens").alias("_size"), F.posexplode_outer("_tokens").alias("pos", "token"))
     first = F.coalesce(F.col("pos"), F.lit(0)) == 0
-    spread = split.select(
-        id_column, "pos", "token", *([F.when(first, F.struct(*carry)).alias("_carried")] if carry else [])
-    )
-    exact = _exact(lexicon, "valence", "polarity", "subjectivity").withColumn("_known", F.lit(True))
+    spread = split.select(id_column, "pos", "token", F.when(first, F.struct("_size", *carry)).alias("_carried"))
+    spread = spread.join(_exact(lexicon, "valence", "polarity", "subjectivity").withColumn("_known", F.lit(True)), "token", "left")
+    counts, sums = F.col("_known") | F.col("_carried").isNotNull(), []
+    if vectors is not None:
+        width = vector_width(vectors) if width is None else width
+        spread, sums = spread.join(_one_vector(vectors, "token", "vector", width), "token", "left"), _vector_sums(width)
+        counts |= F.col("_vector").isNotNull()
     hits = F.collect_list(F.when(F.col("_known"), F.struct("pos", "token")))
-    folded = spread.join(exact, "token", "left").groupBy(id_column).agg(
-        *_sums_of_valence(), *_means_of_assessed(), F.sort_array(hits).alias("_hits"),
-        *([F.first("_carried", ignorenulls=True).alias("_carried")] if carry else []),
+    folded = spread.filter(counts).groupBy(id_column).agg(
+        *_sums_of_valence(), *_means_of_assessed(), F.sort_array(hits).alias("_hits"), *sums,
+        F.first("_carried", ignorenulls=True).alias("_carried"), F.count_if(F.col("valence") != 0).alias("_loaded"),
     )
+    neutral = F.coalesce(F.col("_carried._size"), F.lit(0)) - F.col("_loaded")
+    folded = folded.withColumn("_u", neutral.cast("double"))
     return folded.select(
         id_column,
         *(F.col("_carried").getField(c).alias(c) for c in carry),
@@ -116,6 +124,7 @@ def all_scores(
         "polarity",
         "subjectivity",
         F.transform("_hits", lambda h: h["token"]).alias("word_sample"),
+        *([_mean_of_sums(width).alias("vector")] if sums else []),
     )
 
 
@@ -142,23 +151,45 @@ def mean_vector(vectors: DataFrame, id_column: str, vector_column: str) -> DataF
     return means.groupBy(id_column).agg(F.transform(in_order, lambda e: e["m"]).alias(vector_column))
 
 
+def vector_width(vectors: DataFrame, vector: str = "vector") -> int:
+    """How many numbers the vectors have: the largest size, from one scan of their table."""
+    return vectors.agg(F.max(F.size(vector))).first()[0] or 0
+
+
+def _one_vector(vectors: DataFrame, token: str, vector: str, width: int) -> DataFrame:
+    """One vector per token, of several the largest, of which each has ``width`` numbers."""
+    fits = F.size("_vector") == width
+    wrong = F.raise_error(F.concat(F.lit(f"not of {width} numbers: the vector of "), F.col(token)))
+    one = vectors.filter(F.col(vector).isNotNull()).groupBy(token).agg(F.max(vector).alias("_vector"))
+    return one.select(token, F.when(fits, F.col("_vector")).otherwise(wrong).alias("_vector"))
+
+
+def _vector_sums(width: int) -> list[Column]:
+    """A sum per number of the vectors, and how many vectors there are."""
+    return [
+        *(F.sum(F.col("_vector")[i].cast("double")).alias(f"_x{i}") for i in range(width)),
+        F.count("_vector").alias("_vectors"),
+    ]
+
+
+def _mean_of_sums(width: int) -> Column:
+    means = F.array(*(F.col(f"_x{i}") / F.col("_vectors") for i in range(width))).cast("array<double>")
+    return F.when(F.col("_vectors") > 0, means)
+
+
 def document_vector(
-    texts: DataFrame, vectors: DataFrame, id_column: str, text_column: str, token: str = "token", vector: str = "vector"
-) -> DataFrame:
+    texts: DataFrame, vectors: DataFrame, id_column: str, text_column: str, token: str = "token", vector: str = "vector",
+    width: int | None = None,
+) -> DataFrame:
     """``id_column`` and the mean of the vectors of a text's tokens, each occurrence counted, as
     ``array<double>``; tokens without a vector are left out, and NULL is the vector of a text without any.
 
-    Tokens meet the list of known tokens first, are counted per text, and then meet their vectors, whose
-    numbers are summed by (text, dimension) with map-side combining. ``vectors`` has one row per token; of several the largest counts.
+    ``vectors`` has one row per token; of several the largest counts. All have ``width`` numbers, another size is an
+    error; without ``width`` it is read from their table. Each number is a sum of its own, so that
+    a token stays one row, and the exchange carries one row of sums per text.
     """
-    words = texts.select(id_column, F.explode(tokens(F.col(text_column))).alias(token))
-    words = words.join(vectors.select(token), token, "left_semi")
-    counts = words.groupBy(id_column, token).agg(F.count(F.lit(1)).alias("_n"))
-    one = vectors.groupBy(token).agg(F.max(vector).alias("_vector"))
-    spread = counts.join(one, token).select(id_column, "_n", F.posexplode("_vector").alias("_dim", "_x"))
-    means = spread.groupBy(id_column, "_dim").agg(
-        (F.sum(F.col("_x").cast("double") * F.col("_n")) / F.sum("_n")).alias("_m")
-    )
-    in_order = F.sort_array(F.collect_list(F.struct("_dim", "_m")))
-    found = means.groupBy(id_column).agg(F.transform(in_order, lambda e: e["_m"]).alias(vector))
-    return texts.select(id_column).distinct().join(found, id_column, "left")
+    width = vector_width(vectors, vector) if width is None else width
+    words = texts.select(id_column, F.posexplode_outer(tokens(F.col(text_column))).alias("_pos", token))
+    found = words.join(_one_vector(vectors, token, vector, width), token, "left")
+    found = found.filter(F.col("_vector").isNotNull() | (F.coalesce("_pos", F.lit(0)) == 0))  # a text keeps its first
+    return found.groupBy(id_column).agg(*_vector_sums(width)).select(id_column, _mean_of_sums(width).alias(vector))

@@ -106,28 +106,30 @@ def load_with_demographics(
     return _load_csv(spark, csv_path, listings_path, counts_path, supplement, multi_line)
 
 
-def score_texts(texts: DataFrame, lexicon: DataFrame, vectors: DataFrame | None = None) -> DataFrame:
+def score_texts(
+    texts: DataFrame, lexicon: DataFrame, vectors: DataFrame | None = None, width: int | None = None
+) -> DataFrame:
     """``(tweet_id, tweet)`` to the columns of a scored text, one row per row whatever the ids.
 
     Each row has a key of its own, and its id and text travel with its first token, so the texts
-    move once and nothing is joined back. ``vectors`` (``token, vector``) adds the mean vector of each
-    text's tokens as ``tok2vec``; it depends on the text alone and is joined by the text's hash.
+    move once and nothing is joined back. ``vectors`` (``token, vector``, each of ``width`` numbers) adds the mean
+    vector of each text's tokens as ``tok2vec``, summed in the same pass.
     """
     clean = texts.select(
         F.monotonically_increasing_id().alias("_row"), "tweet_id", cleaning.ascii_only(F.col("tweet")).alias("tweet")
     )
-    scores = scoring.all_scores(clean, lexicon, "_row", "tweet", carry=["tweet_id", "tweet"]).drop("_row")
+    scores = scoring.all_scores(clean, lexicon, "_row", "tweet", ["tweet_id", "tweet"], vectors, width).drop("_row")
     if vectors is None:
         return scores.withColumn("tok2vec", F.lit(None).cast("array<double>"))
-    hashed = clean.select(F.sha2("tweet", 256).alias("_text"), "tweet")
-    means = scoring.document_vector(hashed, vectors, "_text", "tweet").select("_text", F.col("vector").alias("tok2vec"))
-    return scores.join(means, F.sha2("tweet", 256) == F.col("_text"), "left").drop("_text")
+    return scores.withColumnRenamed("vector", "tok2vec")
 
 
-def hand_off_scores(texts: DataFrame, lexicon: DataFrame, folder: str, vectors: DataFrame | None = None) -> None:
+def hand_off_scores(
+    texts: DataFrame, lexicon: DataFrame, folder: str, vectors: DataFrame | None = None, width: int | None = None
+) -> None:
     """Score texts and write them as CSV for :func:`route_scores`."""
     names = ["tweet_id", "tweet", *scored.SCORES, "word_sample", "tok2vec"]
-    sinks.write_csv(score_texts(texts, lexicon, vectors).select(*names), folder, mode="append")
+    sinks.write_csv(score_texts(texts, lexicon, vectors, width).select(*names), folder, mode="append")
 
 
 def route_scores(spark: SparkSession, folder: str, target: str, checkpoint: str, **options) -> DataFrame:

@@ -33,6 +33,10 @@ DOCUMENT_VECTOR = f"""WITH words AS (SELECT * FROM (VALUES {", ".join(f"('{w[0]}
     SELECT doc_id, dim, avg(x) AS x FROM ({_TOKENS_SQL}) JOIN spread USING (token) GROUP BY doc_id, dim"""
 
 
+#: Numbers of an embedding.
+VECTOR_WIDTH = 64
+
+
 def token_vectors(spark, sf_dir):
     words = spark.createDataFrame([(w[0], i) for i, w in enumerate(LEXICON)], "token string, vec_id bigint")
     embeddings = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
@@ -197,6 +201,6 @@ def scored_labels(spark, sf_dir):
 def document_vector(spark, sf_dir):
     """The mean vector of each document's words that have one."""
     docs = spread_table(spark, sf_dir, "documents")
-    means = scoring.document_vector(docs, token_vectors(spark, sf_dir), "doc_id", "text")
+    means = scoring.document_vector(docs, token_vectors(spark, sf_dir), "doc_id", "text", width=VECTOR_WIDTH)
     spread = means.select("doc_id", F.posexplode("vector").alias("dim", "x"))
     return spread.select("doc_id", F.col("dim").cast("bigint").alias("dim"), F.round("x", 6).alias("x"))

@@ -493,7 +493,7 @@ def job_sentiment_feed(spark, sf_dir):
     """Documents scored, handed over as CSV, routed, and appended by label."""
     folder = scratch_dir(spark, "feed")
     vectors = text_queries.token_vectors(spark, sf_dir)
-    jobs.hand_off_scores(_tweets(spark, sf_dir), text_queries.lexicon(spark), f"{folder}/csv", vectors)
+    jobs.hand_off_scores(_tweets(spark, sf_dir), text_queries.lexicon(spark), f"{folder}/csv", vectors, text_queries.VECTOR_WIDTH)
     return _as_text(jobs.route_scores(spark, f"{folder}/csv", f"{folder}/out", f"{folder}/checkpoint"))
 
 

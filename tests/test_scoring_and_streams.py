@@ -88,6 +88,31 @@ def test_vector_of_a_text(spark):
     assert rows(scoring.document_vector(texts, vectors, "id", "text")) == [(1, [2 / 3, 1.0]), (2, None), (3, None)]
 
 
+def test_vectors_are_summed_with_the_scores(spark, inputs):
+    vectors = spark.createDataFrame(
+        [("good", [1.0, 0.0]), ("good", [0.5, 9.0]), ("day", [0.0, 3.0]), ("bad", None)], "token string, vector array<float>"
+    )
+    pairs = [(1, "good day, Good"), (1, "good day, Good"), (None, "bad"), (2, None), (3, ""), (4, "day " * 50_000)]
+    texts = spark.createDataFrame(pairs, "tweet_id bigint, tweet string")
+    for width in (2, None):
+        got = jobs.score_texts(texts, inputs[1], vectors, width).collect()
+        assert sorted(((r["tweet_id"], r["tok2vec"]) for r in got), key=repr) == sorted(
+            [(1, [2 / 3, 1.0])] * 2 + [(None, None), (2, None), (3, None), (4, [0.0, 3.0])], key=repr
+        )
+    plain = jobs.score_texts(texts, inputs[1]).drop("tok2vec")
+    assert rows(plain) == rows(jobs.score_texts(texts, inputs[1], vectors).select(*plain.columns))
+    none = vectors.limit(0)
+    assert {r["vector"] for r in scoring.document_vector(texts.distinct(), none, "tweet_id", "tweet").collect()} == {None}
+    assert scoring.document_vector(texts.limit(0), vectors, "tweet_id", "tweet").collect() == []
+
+
+def test_vectors_of_other_sizes_are_refused(spark):
+    vectors = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [3.0])], "token string, vector array<double>")
+    texts = spark.createDataFrame([(1, "a b")], "id int, text string")
+    with pytest.raises(Exception, match="not of 2 numbers: the vector of b"):
+        scoring.document_vector(texts, vectors, "id", "text").collect()
+
+
 def at(seconds):
     return datetime.datetime(2024, 1, 1) + datetime.timedelta(seconds=seconds)
 
