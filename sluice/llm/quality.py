@@ -111,13 +111,20 @@ RULES: dict[str, Callable[[bytes, list[bytes]], bool]] = {
 }
 
 
+def fails_base(words: list[bytes], repeats: int, min_words: int, max_repeat_percent: int) -> bool:
+    """Whether a text goes before the cascade: too few words, or too many of them in repeated windows."""
+    return len(words) < min_words or 100 * repeats > max_repeat_percent * len(words)
+
+
 def calibrate(
-    docs: DataFrame, rules: dict[str, Callable] = RULES, text_col: str = "text", sample_rows: int = SAMPLE_ROWS
-) -> list[dict]:
+    docs: DataFrame, rules: dict[str, Callable] = RULES, text_col: str = "text", sample_rows: int = SAMPLE_ROWS,
+    min_words: int = 20, max_repeat_percent: int = 30,
+) -> list[dict]:
     """The rules in the order of the cascade, each with ``cost`` (seconds a text, alone), ``rejects`` (share
-    of all sampled texts) and ``rejects_here`` (share of the texts that reach it).
+    of all sampled texts that meet the cascade) and ``rejects_here`` (share of the texts that reach it).
 
-    The sample is about ``sample_rows`` rows spread over the table. An empty table leaves the order as given.
+    The sample is about ``sample_rows`` rows spread over the table; those that fail the base measures meet no
+    rule and count nowhere. If none meets the cascade, as in an empty table, the order is left as given.
     """
     import pyarrow as pa
 
@@ -132,6 +139,8 @@ def calibrate(
             out = []
             for raw in byte_texts(batch.column(0)):
                 words, seconds, verdicts = raw.split(), [], []
+                if fails_base(words, repeat_words(words), min_words, max_repeat_percent):
+                    continue
                 for rule in own.values():
                     began = time.perf_counter()
                     verdicts.append(rule(raw, words))
@@ -178,11 +187,12 @@ def judge(
 
     The measures are of the whole text; NULL is empty and has no words. A text of under
     ``min_words`` words, or with more than ``max_repeat_percent`` percent of them in repeated
-    windows, fails before the cascade and meets no rule. Repeated rows are judged alike.
+    windows, fails before the cascade and meets no rule. Repeated rows are judged alike; an empty table
+    gives no rows.
     """
     import pyarrow as pa
 
-    order = calibrate(docs, rules, text_col, sample_rows)
+    order = calibrate(docs, rules, text_col, sample_rows, min_words, max_repeat_percent)
     package = shipped(docs.sparkSession, [rules[o["rule"]] for o in order])
     carried = Carried(docs, text_col, keep)
     schema = carried.schema(
@@ -199,7 +209,7 @@ def judge(
             for raw in byte_texts(batch.column(0)):
                 words = raw.split()
                 n_words, repeats = len(words), repeat_words(words)
-                failed = n_words < min_words or 100 * repeats > max_repeat_percent * n_words
+                failed = fails_base(words, repeats, min_words, max_repeat_percent)
                 kept = not failed and not any(rule(raw, words) for rule in cascade)
                 out.append(
                     (n_words, word_chars(words), n_of(raw, SYMBOLS), lines_and_repeats(raw)[1], repeats, failed, kept)

@@ -87,6 +87,20 @@ def test_order_is_rejections_per_cost(spark):
     assert {o["rule"]: o["rejects_here"] for o in order} == {"fast": 1.0, "slow": 0.0, "never": 0.0}
 
 
+def test_order_comes_from_texts_that_pass_the_base(spark):
+    def short(raw, words):  # rejects only what the base has rejected
+        return len(words) < 20
+
+    def rare(raw, words):
+        return raw.startswith(b"Rare")
+
+    texts = ["too short"] * 50 + [" ".join(["again and"] * 30)] * 20 + [GOOD] * 9 + ["Rare " + GOOD]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    order = Q.calibrate(docs, {"short": short, "rare": rare})
+    assert [(o["rule"], o["rejects"]) for o in order] == [("rare", 0.1), ("short", 0.0)]
+    assert {o["rejects"] for o in Q.calibrate(docs.limit(50), {"short": short, "rare": rare})} == {0.0}
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], DOCS)
     assert Q.judge(docs).collect() == [] and len(Q.calibrate(docs)) == len(Q.RULES)
