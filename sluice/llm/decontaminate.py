@@ -7,11 +7,13 @@ words are marked. The items of a hit are looked up by its words.
 
 The items are put into the automaton block by block: a block holds about ``block_words`` words
 at most, so what is broadcast has a bound however many items there are. Usually there is one
-block, and the documents are read once.
+block, and the documents are read once. Further blocks read them again but write no texts, only
+what they hit.
 """
 
 from __future__ import annotations
 
+import itertools
 import pickle
 import re
 from collections.abc import Iterable, Iterator
@@ -177,7 +179,12 @@ def find_items(
 
 
 def _matched(rows, items, window, item_id_col, item_text_col, block_words) -> DataFrame:
-    """``rows``, whose second column is the text, with ``n_words``, ``spans`` and ``items``."""
+    """``rows``, whose second column is the text, with ``n_words``, ``spans`` and ``items``.
+
+    With one block of items the rows go through it once. With more, each block writes only the hits,
+    by a digest of their text, and the rows meet all hits of their text in one join at the end: what is
+    written grows with the hits and not with texts times blocks.
+    """
     import pyarrow as pa
 
     span = T.StructType([T.StructField("first", T.IntegerType()), T.StructField("end", T.IntegerType())])
@@ -186,43 +193,62 @@ def _matched(rows, items, window, item_id_col, item_text_col, block_words) -> Da
         T.StructField("spans", T.ArrayType(span)),
         T.StructField("items", T.ArrayType(T.StringType())),
     ]
-    schema = T.StructType([*rows.schema.fields, *added])
     span_type = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
     text_batches(rows.sparkSession)
-    spark, state, width, names_out = rows.sparkSession, rows, len(rows.columns), schema.names
+    spark = rows.sparkSession
+
+    def matcher(block: Items, width: int, names: list[str], only_hits: bool):
+        """Batches with the text second to their first ``width`` columns and what the block finds."""
+        shared = shipped(spark, block)
 
-    def matcher(shared, first):
         def matched(batches):
-            block = pickle.loads(shared.value)
+            own = pickle.loads(shared.value)
             for batch in slices(batches, 256):
-                texts = byte_texts(batch.column(1))
-                earlier = [(None, [], [])] * len(texts)
-                if not first:
-                    earlier = list(zip(*(batch.column(c).to_pylist() for c in ("n_words", "spans", "items")), strict=True))
-                counts, spans, names = [], [], []
-                for text, (_, old_spans, old_items) in zip(texts, earlier, strict=True):
+                counts, spans, found = [], [], []
+                for text in byte_texts(batch.column(1)):
                     words = words_of(text)
-                    hit, found = block.hits(words)
-                    hit = merged(hit + [(s["first"], s["end"]) for s in old_spans])
+                    hit, items = own.hits(words)
                     counts.append(len(words))
-                    spans.append([{"first": a, "end": b} for a, b in hit])
-                    names.append(sorted({x for x in found if x is not None}.union(old_items)))
-                columns = batch.columns[:width]
-                columns += [pa.array(counts, pa.int64()), pa.array(spans, span_type), pa.array(names, pa.list_(pa.string()))]
-                yield pa.RecordBatch.from_arrays(columns, names=names_out)
+                    spans.append([{"first": a, "end": b} for a, b in merged(hit)])
+                    found.append(sorted(x for x in items if x is not None))
+                columns = [pa.array(counts, pa.int64()), pa.array(spans, span_type), pa.array(found, pa.list_(pa.string()))]
+                out = pa.RecordBatch.from_arrays([*batch.columns[:width], *columns], names=names)
+                yield out.filter(pa.array([bool(s) for s in spans], pa.bool_())) if only_hits else out
 
         return matched
 
-    number = 0
-    for number, block in enumerate(item_blocks(items, item_id_col, item_text_col, block_words), 1):
-        if number > 1:
-            state = materialise(state, "decontaminated")
-        shared = shipped(spark, Items(block, window))
-        state = state.mapInArrow(matcher(shared, number == 1), schema)
-    if not number:
-        shared = shipped(spark, Items([], window))
-        state = state.mapInArrow(matcher(shared, True), schema)
-    return state
+    blocks = item_blocks(items, item_id_col, item_text_col, block_words)
+    first, second = next(blocks, []), next(blocks, None)
+    whole = T.StructType([*rows.schema.fields, *added])
+    if second is None:
+        return rows.mapInArrow(matcher(Items(first, window), len(rows.columns), whole.names, False), whole)
+
+    # a NULL text has no words, hence no hits
+    keyed = rows.select(F.sha2(F.col("text").cast("binary"), 256).alias("digest"), "text").filter("text IS NOT NULL")
+    hit_type = T.StructType([T.StructField("digest", T.StringType()), *added])
+    hits = None
+    for block in itertools.chain([first, second], blocks):
+        part = keyed.mapInArrow(matcher(Items(block, window), 1, hit_type.names, True), hit_type)
+        part = materialise(part.dropDuplicates(["digest"]), "hits").select("digest", "spans", "items")
+        hits = part if hits is None else hits.unionAll(part)
+    folded = hits.groupBy("digest").agg(
+        F.sort_array(F.flatten(F.collect_list("spans"))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
+    )
+    joined = rows.withColumn("digest", F.sha2(F.col("text").cast("binary"), 256)).join(folded, "digest", "left")
+
+    def finished(batches):
+        for batch in slices(batches, 256):
+            counts = [len(words_of(text)) for text in byte_texts(batch.column(1))]
+            spans = [
+                [{"first": a, "end": b} for a, b in merged([(s["first"], s["end"]) for s in own or ()])]
+                for own in batch.column("spans").to_pylist()
+            ]
+            found = [own or [] for own in batch.column("items").to_pylist()]
+            columns = [pa.array(counts, pa.int64()), pa.array(spans, span_type), pa.array(found, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], *columns], names=whole.names)
+
+    return joined.select(*rows.columns, "spans", "items").mapInArrow(finished, whole)
 
 
 def remove_items(

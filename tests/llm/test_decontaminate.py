@@ -70,6 +70,36 @@ def test_equals_brute_force(spark, block_words):
     assert any(r[3] for r in rows) and any(not r[3] for r in rows)
 
 
+def test_blocks_write_hits_and_no_texts(spark, monkeypatch):
+    written = []
+
+    def noted(df, purpose):
+        out = materialise(df, purpose)
+        written.append((df.columns, out.count()))
+        return out
+
+    materialise = D.materialise
+    monkeypatch.setattr(D, "materialise", noted)
+    items = [(i, " ".join(f"item{i}word{j}" for j in range(12))) for i in range(30)]
+    docs = [(i, f"clean text {i}", "x", 1) for i in range(200)] + [(900, items[3][1] + " and " + items[4][1], "x", 1)] * 50
+    found = D.find_items(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id int, text string"), block_words=30)
+    hit = [r for r in found.collect() if r.spans]
+    assert len(hit) == 50 and all(r["items"] == ["3", "4"] and [tuple(s) for s in r.spans] == [(0, 12), (13, 25)] for r in hit)
+    assert found.count() == 250 and len(written) > 5
+    assert all("text" not in columns for columns, _ in written) and 1 <= sum(n for _, n in written) <= 2
+
+
+def test_very_long_texts(spark):
+    long = "filler words here " * 100_000
+    docs = [(1, long + "one two three four " + long, "x", 1), (2, long, "x", 1)]
+    items = spark.createDataFrame([(1, "one two three four"), (2, "x y z w")], "item_id int, text string")
+    for block_words in (D.BLOCK_WORDS, 1):
+        found = D.find_items(spark.createDataFrame(docs, DOCS), items, block_words=block_words)
+        assert {r.doc_id: (r.n_words, [tuple(s) for s in r.spans]) for r in found.collect()} == {
+            1: (600_004, [(300_000, 300_004)]), 2: (300_000, [])
+        }
+
+
 def test_cut_leaves_the_rest_alone(spark):
     items = spark.createDataFrame([(1, "one two three four"), (2, "x y")], "item_id int, text string")
     docs = spark.createDataFrame(
