@@ -9,7 +9,8 @@ letters, lower-cased.
 The piece probabilities are learned by expectation maximisation on a bounded sample of labelled
 texts: a forward and a backward pass give the expected count of every piece over all
 segmentations. Words of equal length go through the passes together, as arrays. Letters that are no
-piece of the vocabulary are pieces of their own, at one small probability for all.
+piece of the vocabulary are pieces of their own, at one small probability for all of them, the same in
+every language, so that such a letter speaks for none.
 """
 
 from __future__ import annotations
@@ -33,8 +34,6 @@ PASSES = 3
 ALPHA = 0.05
 #: Languages a model may have: its size is at most this times the vocabulary.
 MAX_LANGUAGES = 200
-#: Characters a piece may have; longer pieces of the vocabulary are left out.
-LONGEST = 8
 #: Words of a language that go through a pass of learning together.
 WORDS_AT_ONCE = 20_000
 #: Words whose scores a task remembers.
@@ -49,7 +48,7 @@ def read_pieces(model_path: str) -> list[str]:
     model = sentencepiece.SentencePieceProcessor(model_file=model_path)
     found = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())}
     letters = re.compile(f"{WORD_START}?{LETTERS}|{WORD_START}").fullmatch
-    return sorted(p for p in found if letters(p) and len(p) <= LONGEST)
+    return sorted(filter(letters, found))
 
 
 def words_of(text: str) -> list[str]:
@@ -308,8 +307,10 @@ def learn(
         column_of = {lang: i for i, lang in enumerate(languages)}
         for r in expected.groupBy("lang", "row").agg(F.sum("n").alias("n")).collect():
             probability[r["row"], column_of[r["lang"]]] += r["n"]
-        probability[0] = ALPHA
-        probability /= probability.sum(axis=0)
+        probability[0] = 0.0
+        totals = probability.sum(axis=0)
+        probability /= totals
+        probability[0] = ALPHA / totals.max()
     counted.unpersist()
     return Model(languages, pieces, probability)
 

@@ -112,6 +112,24 @@ def test_odd_rows(spark):
     assert found[7][2] == "xx"  # equally likely: the first by name
 
 
+def test_unknown_letters_speak_for_no_language(spark):
+    few = labelled(spark).filter("lang = 'xx' OR doc_id < 6")  # yy has a tenth of the words
+    model = L.learn(few, L.read_pieces(public_tokenizers.path("piece_bpe_32k.model")))
+    assert model.probability[0, 0] == model.probability[0, 1] > 0
+    assert all(model.probability[1:].min(axis=0) >= model.probability[0])
+    assert abs(model.probability[1:].sum(axis=0) - 1).max() < 1e-9
+
+
+def test_long_pieces_are_used(spark):
+    pieces = L.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    longest = max(pieces, key=len)
+    assert len(longest) > 8
+    word = longest.lstrip(L.WORD_START)
+    docs = spark.createDataFrame([(i, f"{word} a", "xx", 1, "", "") for i in range(9)], DOCS)
+    model = L.learn(docs, pieces)
+    assert model.probability[1 + pieces.index(longest), 0] > 1e-3
+
+
 def test_nothing_to_learn_from(spark):
     docs = labelled(spark)
     model = L.learn(docs.limit(0), ["a"])
