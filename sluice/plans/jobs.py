@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from sluice.functions import cleaning
 from sluice.functions.hashing import HashKey
+from sluice.functions.patterns import evaluated_once
 from sluice.operators import enrichment, listings, pivot, scored, scoring, sensitive
 from sluice.operators.counts import count_per_key
 from sluice.sinks import tables as sinks
@@ -111,14 +112,11 @@ def score_texts(
 ) -> DataFrame:
     """``(tweet_id, tweet)`` to the columns of a scored text, one row per row whatever the ids.
 
-    Each row has a key of its own, and its id and text travel with its first token, so the texts
-    move once and nothing is joined back. ``vectors`` (``token, vector``, each of ``width`` numbers) adds the mean
-    vector of each text's tokens as ``tok2vec``, summed in the same pass.
+    Each text is folded where it stands: nothing is moved, sorted or joined back. ``vectors`` (``token, vector``, each of
+    ``width`` numbers) adds the mean vector of each text's tokens as ``tok2vec``, summed in the same pass.
     """
-    clean = texts.select(
-        F.monotonically_increasing_id().alias("_row"), "tweet_id", cleaning.ascii_only(F.col("tweet")).alias("tweet")
-    )
-    scores = scoring.all_scores(clean, lexicon, "_row", "tweet", ["tweet_id", "tweet"], vectors, width).drop("_row")
+    clean = texts.select("tweet_id", evaluated_once(cleaning.ascii_only(F.col("tweet"))).alias("tweet"))
+    scores = scoring.row_scores(clean, lexicon, "tweet", vectors, width)
     if vectors is None:
         return scores.withColumn("tok2vec", F.lit(None).cast("array<double>"))
     return scores.withColumnRenamed("vector", "tok2vec")

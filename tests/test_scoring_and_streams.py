@@ -106,6 +106,44 @@ def test_vectors_are_summed_with_the_scores(spark, inputs):
     assert scoring.document_vector(texts.limit(0), vectors, "tweet_id", "tweet").collect() == []
 
 
+def test_texts_are_scored_where_they_stand(spark, inputs):
+    vectors = spark.createDataFrame([("good", [1.0, 0.0]), ("day", [0.0, 3.0])], "token string, vector array<float>")
+    texts = spark.range(0, 600, 1, 3).select(F.col("id").alias("tweet_id"), F.lit("a good day, so bad").alias("tweet"))
+    for scored in (jobs.score_texts(texts, inputs[1]), jobs.score_texts(texts, inputs[1], vectors, 2)):
+        placed = scored.select("tweet_id", F.spark_partition_id().alias("part"), "word_sample").collect()
+        assert {(r["tweet_id"], r["part"]) for r in placed} == {(i, i // 200) for i in range(600)} and len(placed) == 600
+        assert {tuple(r["word_sample"]) for r in placed} == {("good", "bad")}
+
+
+REPEATED = [(1, "good day"), (1, "so odd, so good"), (1, "good day"), (None, "a day"), (None, None), (2, "s p null")]
+ENTRIES = [("good", -1.0, None, 0.75), ("so", 0.0, None, None), ("odd", None, 0.5, None), (None, 9.0, 9.0, 9.0)]
+
+
+def test_repeated_words_count_by_their_entries(spark):
+    lexicon = spark.createDataFrame([("good", 2.0, 0.5, 0.25), *ENTRIES], "token string, valence double, polarity double, subjectivity double")
+    vectors = spark.createDataFrame([("good", [1.0, None]), ("day", [4.0, None]), (None, [9.0, 9.0])], "token string, vector array<double>")
+    texts = spark.createDataFrame(REPEATED, "id int, text string")
+    scores = scoring.all_scores(texts, lexicon, "id", "text", vectors=vectors).collect()
+    got = {r["id"]: (r["compound"], r["polarity"], r["subjectivity"], r["word_sample"], r["vector"]) for r in scores}
+    words = ["good"] * 4 + ["so", "odd", "so", "good", "good"]
+    assert got == {
+        1: (round(3 / math.sqrt(9 + 15), 4), 0.5, 0.5, words, [14 / 8, None]),
+        None: (0.0, 0.0, 0.0, [], [4.0, None]), 2: (0.0, 0.0, 0.0, [], None),
+    }
+
+
+def test_repeated_ids_and_names_of_sums(spark):
+    lexicon = spark.createDataFrame(ENTRIES, "token string, valence double, polarity double, subjectivity double")
+    texts = spark.createDataFrame(REPEATED, "id int, text string")
+    together = {r["id"]: r.asDict() for r in scoring.all_scores(texts, lexicon, "id", "text").collect()}
+    for separate in (scoring.lexicon_sentiment, scoring.lexicon_polarity):
+        for r in separate(texts, lexicon, "id", "text").collect():
+            assert r.asDict().items() <= together[r["id"]].items()
+    named = texts.select(F.col("id").alias("s"), F.col("id").alias("size"), "text")
+    alone = scoring.all_scores(texts.withColumn("_n", F.monotonically_increasing_id()), lexicon, "_n", "text", ["id", "text"])
+    assert rows(scoring.row_scores(named, lexicon, "text").drop("size")) == rows(alone.drop("_n"))
+
+
 def test_vectors_of_other_sizes_are_refused(spark):
     vectors = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [3.0])], "token string, vector array<double>")
     texts = spark.createDataFrame([(1, "a b")], "id int, text string")
